@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The reference describes batch SQL only (samples, procedures, views;
+SELECT, JOIN, basic analytics) and names no stream, watermark or state.
+Every query in relkit is a batch DataFrame plan.
+"""
