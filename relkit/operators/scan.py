@@ -6,11 +6,13 @@ to one task; a key with a third of the table then runs in one task.
 Here the rows are first range-partitioned on ``(key, order...)``, so a
 hot key is cut into several contiguous *chunks* (one per range
 partition).  Each chunk gets its own running sum; a per-chunk total,
-summed over the earlier chunks of the same key (a window over at most
-``#keys + #partitions`` rows), is the offset added back.
+summed over the earlier chunks of the same key, is the offset added
+back.
 
-Shuffles: the range exchange, one hash exchange on ``(key, chunk)`` for
-the in-chunk window, and two small exchanges over the chunk totals.
+Full-data work: the range exchange (checkpointed once, so every branch
+sees the same chunks) and one hash exchange on ``(key, chunk)`` for the
+in-chunk window.  The offsets concern only keys at chunk edges -- at
+most three rows per chunk -- and are broadcast.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relkit.session import ensure_checkpoint_dir
+
 _KEY = "_rk_key"
 _CHUNK = "_rk_chunk"
 _WITHIN = "_rk_within"
@@ -37,33 +41,68 @@ def _num_chunks(df: DataFrame, chunks: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _edge_keys(ranged: DataFrame, keys: list[str]) -> DataFrame:
+    """First and last key of every chunk, as ``_KEY`` structs: a superset
+    of the keys that reach into more than one chunk (at most 2 per
+    chunk, plus the null key)."""
+    if len(keys) == 1:
+        k = F.col(keys[0])
+        dtype = ranged.schema[keys[0]].dataType
+        per_chunk = ranged.groupBy(_CHUNK).agg(F.min(k).alias("_lo"), F.max(k).alias("_hi"),
+                                               F.max(k.isNull()).alias("_nul"))
+        cands = F.array(F.struct(F.col("_lo").alias(keys[0])),
+                        F.struct(F.col("_hi").alias(keys[0])),
+                        F.when(F.col("_nul"), F.struct(F.lit(None).cast(dtype).alias(keys[0]))))
+    else:
+        # Structs order field by field with nulls first, like the range
+        # partitioning; min/max of a struct is a sort-based aggregate.
+        per_chunk = ranged.groupBy(_CHUNK).agg(F.min(_KEY).alias("_lo"), F.max(_KEY).alias("_hi"))
+        cands = F.array("_lo", "_hi")
+    return (per_chunk.select(F.explode(cands).alias(_KEY))
+                     .where(F.col(_KEY).isNotNull()).distinct())
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                 value: str, out: str, chunks: int | None = None) -> DataFrame:
     """``sum(value) OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN
     UNBOUNDED PRECEDING AND CURRENT ROW)``, computed without putting one
     key in one task.  ``order`` must be a total order within a key (add a
     unique tie-breaker), as for the plain window.  Null keys form their
-    own group and null values are skipped, as in the plain window."""
+    own group and null values are skipped, as in the plain window.
+
+    Select only the needed columns first: the range-partitioned rows are
+    checkpointed once (to ``spark.checkpoint.dir``)."""
     keys = list(keys)
-    # A struct of the keys compares null fields as equal, so one column
-    # serves as a null-safe join key that keeps the hash partitioning of
-    # the in-chunk window (no reshuffle of the big side at the join).
-    ranged = (df.repartitionByRange(_num_chunks(df, chunks), *_cols(keys), *_cols(order))
+    n = _num_chunks(df, chunks)
+    ensure_checkpoint_dir(df.sparkSession)
+    # The chunk id is the range partition index.  Range bounds come from
+    # a sample whose seed depends on the exchange instance, so every
+    # branch below must read the same materialised partitions: the
+    # checkpoint pins the chunk ids (and survives executor loss).
+    ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
                 .withColumn(_CHUNK, F.spark_partition_id())
+                .checkpoint(eager=True)
+                # A struct of the keys compares null fields as equal: one
+                # column serves as a null-safe join key.
                 .withColumn(_KEY, F.struct(*keys)))
 
     in_chunk = (Window.partitionBy(_KEY, _CHUNK).orderBy(*_cols(order))
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = ranged.withColumn(_WITHIN, F.sum(value).over(in_chunk))
 
+    # Range chunks hold contiguous key ranges, so a key reaches into
+    # another chunk only if it is the first or last key of its chunk:
+    # at most 2n + 1 such keys and at most 3n + 1 (key, chunk) pairs.
+    # Only those pairs need an offset; both tables are broadcast.
     earlier = (Window.partitionBy(_KEY).orderBy(_CHUNK)
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (ranged.groupBy(_KEY, _CHUNK).agg(F.sum(value).alias(_TOTAL))
+    offsets = (ranged.join(F.broadcast(_edge_keys(ranged, keys)), _KEY)
+                     .groupBy(_KEY, _CHUNK).agg(F.sum(value).alias(_TOTAL))
                      .select(_KEY, _CHUNK, F.sum(_TOTAL).over(earlier).alias(_OFFSET)))
 
     total = F.when(F.col(_WITHIN).isNull() & F.col(_OFFSET).isNull(), F.lit(None)) \
              .otherwise(F.coalesce(F.col(_WITHIN), F.lit(0)) + F.coalesce(F.col(_OFFSET), F.lit(0)))
-    return (within.join(offsets, [_KEY, _CHUNK])
+    return (within.join(F.broadcast(offsets), [_KEY, _CHUNK], "left")
                   .withColumn(out, total.cast(within.schema[_WITHIN].dataType))
                   .drop(_KEY, _CHUNK, _WITHIN, _OFFSET))
 

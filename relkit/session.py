@@ -48,16 +48,24 @@ def build_session(master: str | None = None, app: str = "relkit",
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder of the session.  A cluster names a shared
+    one in ``spark.checkpoint.dir``; only when none is set (a local run)
+    is a local folder made."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="relkit-ckpt-"))
+    return sc.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in
     ``spark.checkpoint.dir``.  Only when the session names none (a local
     test run) do we make one -- never on a configured cluster."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="relkit-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+    current = ensure_checkpoint_dir(spark)
     # getCheckpointDir() appends a per-application subfolder; written
     # tables live beside it so that they outlive one application.
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
