@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from relkit.functions import charge, money, month_start, net_price
 from relkit.operators.joins import monthly_orders
 from relkit.operators.scan import exact_median, running_sum
-from relkit.plans.strategies import broadcast_if_bounded
 from relkit.sources import Tables
 
 
@@ -68,7 +67,7 @@ def monthly_totals(t: Tables) -> DataFrame:
 
 def balance_rollup(t: Tables) -> DataFrame:
     """Subtotals by region and segment, per region, and overall."""
-    n = broadcast_if_bounded(t.nation.select("n_nationkey", "n_regionkey"))
+    n = t.nation.select("n_nationkey", "n_regionkey")        # broadcast by size
     c = t.customer.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return (c.rollup("n_regionkey", "c_mktsegment")
              .agg(F.count(F.lit(1)).alias("n_customers"),

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relkit.functions import money, month_start, net_price
-from relkit.plans.strategies import (band_join, broadcast_if_bounded, left_outer_join,
-                                     right_outer_join)
+from relkit.plans.strategies import band_join, left_outer_join, right_outer_join
 from relkit.sources import Tables
 
 BIG_ORDER = 300_000
@@ -59,10 +58,12 @@ def rich_suppliers_full_join_nations(t: Tables, min_balance: float = 5000,
 
 
 def customer_regions(t: Tables) -> DataFrame:
-    """customer -> region name; nation and region are fixed-size
-    dimension tables, broadcast after a row-count check."""
-    n = broadcast_if_bounded(t.nation.select("n_nationkey", "n_regionkey"))
-    r = broadcast_if_bounded(t.region.select("r_regionkey", "r_name"))
+    """customer -> region name.  Nation and region are dimension tables
+    of fixed size (25 and 5 rows at any scale): their scans fall under
+    the broadcast threshold, so Catalyst broadcasts them by size, and
+    would plan a sort-merge join if they ever grew past it."""
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    r = t.region.select("r_regionkey", "r_name")
     return (t.customer.select("c_custkey", "c_nationkey")
              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
              .join(r, F.col("n_regionkey") == F.col("r_regionkey"))

@@ -9,7 +9,10 @@ partition).  Each chunk gets its own running sum; a per-chunk total,
 summed over the earlier chunks of the same key, is the offset added
 back.
 
-Full-data work: the range exchange (checkpointed once, so every branch
+This is used only when some key is in fact that hot (found exactly, in
+two passes without a shuffle); otherwise the plain window runs.
+
+Full-data work of the split form: the range exchange (checkpointed once, so every branch
 sees the same chunks) and one hash exchange on ``(key, chunk)`` for the
 in-chunk window.  The offsets concern only keys at chunk edges -- at
 most three rows per chunk -- and are broadcast.
@@ -22,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relkit.plans.skew import hot_keys
 from relkit.session import ensure_checkpoint_dir
 
 _KEY = "_rk_key"
@@ -63,17 +67,34 @@ def _edge_keys(ranged: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                value: str, out: str, chunks: int | None = None) -> DataFrame:
+                value: str, out: str, chunks: int | None = None,
+                split: bool | None = None) -> DataFrame:
     """``sum(value) OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN
     UNBOUNDED PRECEDING AND CURRENT ROW)``, computed without putting one
     key in one task.  ``order`` must be a total order within a key (add a
     unique tie-breaker), as for the plain window.  Null keys form their
     own group and null values are skipped, as in the plain window.
 
-    Select only the needed columns first: the range-partitioned rows are
-    checkpointed once (to ``spark.checkpoint.dir``)."""
+    ``split=None`` decides at run time: if some key holds more than one
+    task's share of the rows (more than ``1 / chunks`` of them and more
+    than ``TASK_ROWS``; found exactly by :func:`relkit.plans.skew.hot_keys`),
+    the rows are split into range chunks; otherwise the plain window is
+    used.  Both give the same
+    result.  Select only the needed columns first: in the split form the
+    range-partitioned rows are checkpointed once (``spark.checkpoint.dir``)."""
     keys = list(keys)
     n = _num_chunks(df, chunks)
+    if split is None:
+        split = bool(hot_keys(df, keys, 1.0 / n))
+    if not split:
+        w = (Window.partitionBy(*keys).orderBy(*_cols(order))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumn(out, F.sum(value).over(w))
+    return _chunked_running_sum(df, keys, order, value, out, n)
+
+
+def _chunked_running_sum(df: DataFrame, keys: list[str], order: Sequence[str | Column],
+                         value: str, out: str, n: int) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     # The chunk id is the range partition index.  Range bounds come from
     # a sample whose seed depends on the exchange instance, so every
@@ -108,7 +129,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
-                 chunks: int | None = None) -> DataFrame:
+                 chunks: int | None = None, split: bool | None = None) -> DataFrame:
     """Exact median of ``value`` per group (mean of the two middle values
     for an even count; null for a group without values), one row per
     group.
@@ -120,9 +141,14 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
     positions are picked out."""
     keys = list(keys)
     key = F.struct(*keys)
+    if split is None:
+        # A group's distinct values are at most its rows: a group that is
+        # not hot in the input is not hot in the value counts either.
+        split = bool(hot_keys(df.where(F.col(value).isNotNull()), keys,
+                              1.0 / _num_chunks(df, chunks)))
     counts = (df.where(F.col(value).isNotNull())
                 .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rk_n")))
-    cum = running_sum(counts, keys, [value, ], "_rk_n", "_rk_cum", chunks)
+    cum = running_sum(counts, keys, [value], "_rk_n", "_rk_cum", chunks, split)
     sizes = df.groupBy(*keys).agg(F.count(value).alias("_rk_size"))
 
     lo = F.floor((F.col("_rk_size") + 1) / 2)          # 1-based middle positions

@@ -1,9 +1,13 @@
 """Join strategies chosen for scale.
 
-* ``broadcast_if_bounded`` -- hint a broadcast only after checking the
-  row count against a bound; beyond it the join is left to Catalyst
-  (sort-merge, or a runtime broadcast if adaptive execution finds the
-  side small after all).
+Broadcasts: no query hints one on a table that grows with the data.
+Catalyst broadcasts a side whose estimated size is under
+``spark.sql.autoBroadcastJoinThreshold`` and plans a sort-merge join
+otherwise; adaptive execution re-checks the real size of each shuffled
+side at runtime and converts to a broadcast join only under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Explicit hints are
+used only where the size bound is structural (``operators.scan``).
+
 * ``left_outer_join`` -- a left outer join as inner join plus anti join
   against the *distinct* right keys, so a hot key on the right side can
   be split by adaptive skew handling (which cannot split the buffered
@@ -20,18 +24,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables of the test schema that do not grow with the scale
-# factor (5 regions, 25 nations) stay far below this.
-DIMENSION_ROW_BOUND = 100_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_ROW_BOUND) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
-    The check reads at most ``max_rows + 1`` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
 
 def left_outer_join(left: DataFrame, right: DataFrame,
                     on: Sequence[tuple[str, str]]) -> DataFrame:

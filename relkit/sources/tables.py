@@ -24,6 +24,25 @@ TABLES = (
 )
 
 
+# The schemas of the relational test tables.  Declaring
+# them skips schema inference (a job that reads Parquet footers, one per
+# file at scale) on every read.  Other tables are inferred.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def dataset_token(root: str) -> str:
     """Short stable id for a data folder; used to give views, functions
     and written tables distinct names per data set, because a view made
@@ -58,7 +77,10 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         df = self._frames.get(name)
         if df is None:
-            df = self.spark.read.parquet(self.path(name))
+            reader = self.spark.read
+            if name in SCHEMAS:
+                reader = reader.schema(SCHEMAS[name])
+            df = reader.parquet(self.path(name))
             self._frames[name] = df
         return df
 

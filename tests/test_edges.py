@@ -14,6 +14,7 @@ from relkit.operators import analytics as A
 from relkit.operators import joins as J
 from relkit.operators import select as S
 from relkit.operators.scan import exact_median, running_sum
+from relkit.plans.skew import hot_keys
 from relkit.plans.strategies import band_join, left_outer_join, right_outer_join
 from relkit.sources import Tables
 
@@ -115,7 +116,7 @@ def test_running_sum_matches_window(spark, chunks):
     df = _hot_rows(spark)
     w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("run", F.round(F.sum("v").over(w), 6))
-    got = running_sum(df, ["k"], ["seq"], "v", "run", chunks=chunks) \
+    got = running_sum(df, ["k"], ["seq"], "v", "run", chunks=chunks, split=True) \
         .withColumn("run", F.round("run", 6))
     assert same(got.select(*want.columns), want)
 
@@ -132,13 +133,14 @@ def test_running_sum_two_keys_with_nulls(spark, chunks):
     w = (Window.partitionBy("k1", "k2").orderBy(F.col("day").desc(), "seq")
          .rowsBetween(Window.unboundedPreceding, 0))
     want = df.withColumn("run", F.sum("v").over(w))
-    got = running_sum(df, ["k1", "k2"], [F.col("day").desc(), "seq"], "v", "run", chunks=chunks)
+    got = running_sum(df, ["k1", "k2"], [F.col("day").desc(), "seq"], "v", "run", chunks=chunks,
+                      split=True)
     assert same(got.select(*want.columns), want)
 
 
 def test_running_sum_splits_hot_key(spark):
     df = _hot_rows(spark)
-    got = running_sum(df, ["k"], ["seq"], "v", "run", chunks=8)
+    got = running_sum(df, ["k"], ["seq"], "v", "run", chunks=8, split=True)
     # the hot key's rows land in several range chunks
     chunks = (df.repartitionByRange(8, "k", "seq")
                 .where(F.col("k") == 0)
@@ -147,15 +149,46 @@ def test_running_sum_splits_hot_key(spark):
     assert got.count() == df.count()
 
 
+def test_hot_keys_exact(spark):
+    df = _hot_rows(spark)           # key 0: a third of the rows
+    assert [r.k for r in hot_keys(df, ["k"], 1 / 8, min_rows=0)] == [0]
+    assert hot_keys(df, ["k"], 0.5, min_rows=0) == []
+    # a key above its share but below a task's worth of rows is not hot
+    assert hot_keys(df, ["k"], 1 / 8, min_rows=1000) == []
+    assert hot_keys(df, ["k"], 1 / 8) == []
+    nulls = spark.createDataFrame([(None, 1)] * 6 + [(1, 2)] * 2, "k int, v int")
+    assert [r.k for r in hot_keys(nulls, ["k"], 0.5, min_rows=0)] == [None]
+
+
+def test_running_sum_auto_picks_form(spark, monkeypatch):
+    import relkit.plans.skew as skew
+    monkeypatch.setattr(skew, "TASK_ROWS", 0)
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (0,))
+    hot = _hot_rows(spark)
+    assert "_rk_chunk" in _plan(running_sum(hot, ["k"], ["seq"], "v", "run", chunks=8))
+    even = spark.range(4000).select((F.col("id") % 500).alias("k"), F.col("id").alias("seq"),
+                                    F.col("id").cast("double").alias("v"))
+    assert "_rk_chunk" not in _plan(running_sum(even, ["k"], ["seq"], "v", "run", chunks=8))
+    # both forms agree
+    a = running_sum(even, ["k"], ["seq"], "v", "run", chunks=8)
+    b = running_sum(even, ["k"], ["seq"], "v", "run", chunks=8, split=True)
+    assert same(a, b.select(*a.columns))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
 def test_running_sum_all_null_values(spark):
     df = spark.createDataFrame([(1, 1, None), (1, 2, None), (2, 1, 3.0)], "k int, seq int, v double")
-    got = {(r.k, r.seq): r.run for r in running_sum(df, ["k"], ["seq"], "v", "run", chunks=3).collect()}
+    got = {(r.k, r.seq): r.run
+           for r in running_sum(df, ["k"], ["seq"], "v", "run", chunks=3, split=True).collect()}
     assert got == {(1, 1): None, (1, 2): None, (2, 1): 3.0}
 
 
 def test_running_sum_integer_values_stay_integer(spark):
     df = spark.createDataFrame([(1, i, i) for i in range(10)], "k int, seq int, v bigint")
-    out = running_sum(df, ["k"], ["seq"], "v", "run", chunks=4)
+    out = running_sum(df, ["k"], ["seq"], "v", "run", chunks=4, split=True)
     assert dict(out.dtypes)["run"] == "bigint"
     assert sorted(r.run for r in out.collect()) == [sum(range(i + 1)) for i in range(10)]
 
@@ -169,9 +202,10 @@ def test_exact_median_matches_builtin(spark):
     rows += [("nulls", None), ("nulls", None)]
     rows += [(None, 1.0), (None, 9.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", chunks=5).collect()}
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
-    assert got == want
+    for split in (True, False, None):
+        got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", chunks=5, split=split).collect()}
+        assert got == want
     assert got["even"] == 2.5 and got["odd"] == 2.0 and got["nulls"] is None and got[None] == 5.0
 
 

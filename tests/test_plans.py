@@ -1,0 +1,77 @@
+"""Plan shape: the properties the queries were written for."""
+
+import contextlib
+import io
+
+import pytest
+
+from conftest import SF001
+from relkit.catalog import BY_NAME, QUERIES
+
+
+def plan(spark, name: str) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        BY_NAME[name].run(spark, SF001).explain("formatted")
+    return buf.getvalue()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {q.name: plan(spark, q.name) for q in QUERIES}
+
+
+def test_no_nested_loop_or_cartesian_join(plans):
+    for name, p in plans.items():
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, name
+
+
+def test_single_partition_only_over_bounded_inputs(plans):
+    # global aggregates (one partial row per task) and windows over one
+    # row per calendar month
+    bounded = {"a1_global_agg", "a8_share_of_total", "s6_scalar_subquery",
+               "a11_moving_average", "a12_period_change"}
+    for name, p in plans.items():
+        if "SinglePartition" in p:
+            assert name in bounded, name
+
+
+def test_top_n_per_group_limits_before_shuffle(plans):
+    p = plans["a9_top_n_per_group"]
+    tree = p.split("\n\n")[0]
+    assert tree.count("WindowGroupLimit") == 2   # partial and final
+
+
+def test_filters_pushed_to_scan(plans):
+    p = plans["s2_filter"]
+    pushed = next(line for line in p.splitlines() if line.startswith("PushedFilters"))
+    for f in ("GreaterThanOrEqual(o_totalprice,1000.0)", "LessThanOrEqual(o_totalprice,50000.0)",
+              "In(o_orderstatus, [O,P])", "StringStartsWith(o_orderpriority,1)"):
+        assert f in pushed
+
+
+def test_columns_pruned_at_scan(plans):
+    p = plans["s1_projection"]
+    assert ("ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,"
+            "l_extendedprice:double,l_discount:double>") in p
+
+
+def test_star_join_aggregates_lineitem_before_joining(plans):
+    p = plans["j3_star_join"]
+    # lineitem is reduced to one row per order (partial + final aggregate
+    # on l_orderkey) before it meets orders
+    assert "Keys [1]: [l_orderkey" in p
+    assert "Functions [1]: [partial_sum(" in p
+
+
+def test_running_total_uses_plain_window_without_hot_customer(plans):
+    # no customer holds more than one task's share of the orders
+    p = plans["a10_running_total"]
+    assert "_rk_chunk" not in p
+    assert "windowspecdefinition(o_custkey" in p
+
+
+def test_semi_join_right_side_is_distinct(plans):
+    p = plans["j4_semi_join"]
+    assert "LeftSemi" in p
+    assert "Keys [1]: [o_custkey" in p
