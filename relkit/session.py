@@ -27,6 +27,8 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoint files of a finished query are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
