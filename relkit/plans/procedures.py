@@ -93,3 +93,47 @@ def register_orders_above(t: Tables) -> str:
 def orders_above(t: Tables, lo: float) -> DataFrame:
     fn = register_orders_above(t)
     return t.spark.sql(f"SELECT * FROM {fn}(:lo)", args={"lo": float(lo)})
+
+
+SEGMENT_SCRIPT = """
+BEGIN
+  DECLARE lo DOUBLE DEFAULT :min_total;
+  IF lo IS NULL THEN
+    SET lo = (SELECT avg(o_totalprice) FROM {orders});
+  END IF;
+  INSERT OVERWRITE TABLE {target}
+  SELECT c_mktsegment,
+         count(*)                    AS n_orders,
+         round(sum(o_totalprice), 2) AS total_price
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+  WHERE o_totalprice > lo
+  GROUP BY c_mktsegment;
+END"""
+
+
+def segment_report_script(t: Tables, min_total: float | None = None,
+                          location: str | None = None) -> DataFrame:
+    """A procedure written as a SQL script: a parameter whose default
+    (the average order total) is computed in SQL, a branch, and an
+    INSERT OVERWRITE that runs as a distributed job.  Returns the
+    refreshed table.
+
+    A script hands back its last result through the driver, so the
+    script ends in the write and the rows are read back from the table
+    instead."""
+    spark = t.spark
+    orders, customer = f"orders_{t.token}", f"customer_{t.token}"
+    target = f"segment_orders_{t.token}"
+    t.orders.createOrReplaceTempView(orders)
+    t.customer.createOrReplaceTempView(customer)
+    path = location or f"{shared_dir(spark)}/tables/{target}"
+    # external table: dropping it keeps the files; re-creating it applies
+    # the location asked for now
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"""
+        CREATE TABLE {target}
+            (c_mktsegment STRING, n_orders BIGINT, total_price DOUBLE)
+        USING parquet LOCATION '{path}'""")
+    spark.sql(SEGMENT_SCRIPT.format(orders=orders, customer=customer, target=target),
+              args={"min_total": None if min_total is None else float(min_total)})
+    return spark.table(target)

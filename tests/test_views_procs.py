@@ -106,3 +106,15 @@ def test_table_function_parameter(spark):
     t = Tables.from_dir(spark, SF0001)
     assert P.orders_above(t, 200000).count() == 900
     assert P.orders_above(t, 1e12).count() == 0
+
+
+def test_sql_script_procedure(spark, scratch_dir):
+    t = Tables.from_dir(spark, SF0001)
+    loc = os.path.join(scratch_dir, "segments")
+    by_avg = P.segment_report_script(t, location=loc)
+    avg = t.orders.agg(F.avg("o_totalprice")).collect()[0][0]
+    want = t.orders.where(F.col("o_totalprice") > avg).count()
+    assert by_avg.agg(F.sum("n_orders")).collect()[0][0] == want
+    # an explicit threshold overwrites the table
+    fixed = P.segment_report_script(t, 200000, location=loc)
+    assert fixed.agg(F.sum("n_orders")).collect()[0][0] == 900
