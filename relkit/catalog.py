@@ -204,6 +204,19 @@ QUERIES: list[Query] = [
                round(stddev_samp(c_acctbal), 4) AS stddev_balance,
                round(median(c_acctbal), 4) AS median_balance
         FROM customer GROUP BY c_mktsegment""", 5),
+    Query("a14_rank_within_group", A.balance_ranks, """
+        SELECT c_custkey, c_nationkey, c_acctbal,
+               rank()         OVER w AS balance_rank,
+               dense_rank()   OVER w AS balance_dense_rank,
+               percent_rank() OVER w AS balance_pct_rank
+        FROM customer
+        WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal DESC)""", 1500),
+    Query("a15_pivot", A.orders_by_year_and_status, """
+        SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+               count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,
+               count(*) FILTER (WHERE o_orderstatus = 'O') AS n_o,
+               count(*) FILTER (WHERE o_orderstatus = 'P') AS n_p
+        FROM orders GROUP BY 1""", 7),
     # --- views ---------------------------------------------------------
     Query("v1_view", V.big_orders, """
         SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate

@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relkit.functions import charge, money, month_start, net_price
+from relkit.functions import charge, money, net_price, year_of
 from relkit.operators.joins import monthly_orders
-from relkit.operators.scan import exact_median, running_sum
+from relkit.operators.scan import exact_median, rank_within, running_sum
 from relkit.sources import Tables
 
 
@@ -137,3 +137,27 @@ def balance_spread(t: Tables) -> DataFrame:
     return (spread.join(med, spread.c_mktsegment.eqNullSafe(med.c_mktsegment))
                   .select(spread.c_mktsegment, "stddev_balance",
                           money(F.col("_median"), 4).alias("median_balance")))
+
+
+def balance_ranks(t: Tables) -> DataFrame:
+    """Every customer's rank, dense rank and percent rank by balance
+    within its nation (highest first), without holding a nation's
+    customers in one task."""
+    c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
+    return rank_within(c, ["c_nationkey"], "c_acctbal", descending=True,
+                       rank="balance_rank", dense_rank="balance_dense_rank",
+                       percent_rank="balance_pct_rank")
+
+
+# The order status codes of the test data.
+ORDER_STATUSES = ("F", "O", "P")
+
+
+def orders_by_year_and_status(t: Tables) -> DataFrame:
+    """Pivot: one row per year, one count column per order status.  The
+    status values are given, so no job runs to discover them."""
+    counts = (t.orders.groupBy(year_of("o_orderdate").alias("year"))
+                      .pivot("o_orderstatus", list(ORDER_STATUSES))
+                      .agg(F.count(F.lit(1))))
+    return counts.select("year", *[F.coalesce(F.col(s), F.lit(0)).alias(f"n_{s.lower()}")
+                                   for s in ORDER_STATUSES])

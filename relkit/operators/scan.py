@@ -67,34 +67,40 @@ def _edge_keys(ranged: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                value: str, out: str, chunks: int | None = None,
-                split: bool | None = None) -> DataFrame:
+                value: str | Sequence[str], out: str | Sequence[str],
+                chunks: int | None = None, split: bool | None = None) -> DataFrame:
     """``sum(value) OVER (PARTITION BY keys ORDER BY order ROWS BETWEEN
     UNBOUNDED PRECEDING AND CURRENT ROW)``, computed without putting one
-    key in one task.  ``order`` must be a total order within a key (add a
-    unique tie-breaker), as for the plain window.  Null keys form their
-    own group and null values are skipped, as in the plain window.
+    key in one task.  ``value``/``out`` may be lists to take several
+    running sums in one pass.  ``order`` must be a total order within a
+    key (add a unique tie-breaker), as for the plain window.  Null keys
+    form their own group and null values are skipped, as in the plain
+    window.
 
     ``split=None`` decides at run time: if some key holds more than one
     task's share of the rows (more than ``1 / chunks`` of them and more
     than ``TASK_ROWS``; found exactly by :func:`relkit.plans.skew.hot_keys`),
     the rows are split into range chunks; otherwise the plain window is
-    used.  Both give the same
-    result.  Select only the needed columns first: in the split form the
-    range-partitioned rows are checkpointed once (``spark.checkpoint.dir``)."""
+    used.  Both give the same result.  Select only the needed columns
+    first: in the split form the range-partitioned rows are checkpointed
+    once (``spark.checkpoint.dir``)."""
     keys = list(keys)
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
+    if len(values) != len(outs):
+        raise ValueError("one output column per value column")
     n = _num_chunks(df, chunks)
     if split is None:
         split = bool(hot_keys(df, keys, 1.0 / n))
     if not split:
         w = (Window.partitionBy(*keys).orderBy(*_cols(order))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(out, F.sum(value).over(w))
-    return _chunked_running_sum(df, keys, order, value, out, n)
+        return df.withColumns({o: F.sum(v).over(w) for v, o in zip(values, outs)})
+    return _chunked_running_sum(df, keys, order, values, outs, n)
 
 
 def _chunked_running_sum(df: DataFrame, keys: list[str], order: Sequence[str | Column],
-                         value: str, out: str, n: int) -> DataFrame:
+                         values: list[str], outs: list[str], n: int) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     # The chunk id is the range partition index.  Range bounds come from
     # a sample whose seed depends on the exchange instance, so every
@@ -106,10 +112,13 @@ def _chunked_running_sum(df: DataFrame, keys: list[str], order: Sequence[str | C
                 # A struct of the keys compares null fields as equal: one
                 # column serves as a null-safe join key.
                 .withColumn(_KEY, F.struct(*keys)))
+    within_c = [f"{_WITHIN}{i}" for i in range(len(values))]
+    total_c = [f"{_TOTAL}{i}" for i in range(len(values))]
+    offset_c = [f"{_OFFSET}{i}" for i in range(len(values))]
 
     in_chunk = (Window.partitionBy(_KEY, _CHUNK).orderBy(*_cols(order))
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = ranged.withColumn(_WITHIN, F.sum(value).over(in_chunk))
+    within = ranged.withColumns({w: F.sum(v).over(in_chunk) for v, w in zip(values, within_c)})
 
     # Range chunks hold contiguous key ranges, so a key reaches into
     # another chunk only if it is the first or last key of its chunk:
@@ -118,14 +127,19 @@ def _chunked_running_sum(df: DataFrame, keys: list[str], order: Sequence[str | C
     earlier = (Window.partitionBy(_KEY).orderBy(_CHUNK)
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (ranged.join(F.broadcast(_edge_keys(ranged, keys)), _KEY)
-                     .groupBy(_KEY, _CHUNK).agg(F.sum(value).alias(_TOTAL))
-                     .select(_KEY, _CHUNK, F.sum(_TOTAL).over(earlier).alias(_OFFSET)))
+                     .groupBy(_KEY, _CHUNK)
+                     .agg(*[F.sum(v).alias(t) for v, t in zip(values, total_c)])
+                     .select(_KEY, _CHUNK, *[F.sum(t).over(earlier).alias(o)
+                                             for t, o in zip(total_c, offset_c)]))
+
+    def total(w: str, o: str) -> Column:
+        return (F.when(F.col(w).isNull() & F.col(o).isNull(), F.lit(None))
+                 .otherwise(F.coalesce(F.col(w), F.lit(0)) + F.coalesce(F.col(o), F.lit(0)))
+                 .cast(within.schema[w].dataType))
 
-    total = F.when(F.col(_WITHIN).isNull() & F.col(_OFFSET).isNull(), F.lit(None)) \
-             .otherwise(F.coalesce(F.col(_WITHIN), F.lit(0)) + F.coalesce(F.col(_OFFSET), F.lit(0)))
     return (within.join(F.broadcast(offsets), [_KEY, _CHUNK], "left")
-                  .withColumn(out, total.cast(within.schema[_WITHIN].dataType))
-                  .drop(_KEY, _CHUNK, _WITHIN, _OFFSET))
+                  .withColumns({out: total(w, o) for out, w, o in zip(outs, within_c, offset_c)})
+                  .drop(_KEY, _CHUNK, *within_c, *offset_c))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
@@ -166,3 +180,39 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
     return (sizes.withColumn(_KEY, key)
                  .join(picked, _KEY, "left")
                  .drop(_KEY, "_rk_size"))
+
+
+def rank_within(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True,
+                chunks: int | None = None, split: bool | None = None,
+                rank: str = "rank", dense_rank: str = "dense_rank",
+                percent_rank: str = "percent_rank") -> DataFrame:
+    """``rank``, ``dense_rank`` and ``percent_rank`` over ``PARTITION BY
+    keys ORDER BY value [DESC]`` (nulls last when descending, first when
+    ascending, as in Spark), added to every row of ``df``.
+
+    A ranking window holds a whole group in one task.  Here equal values
+    are counted first (combined map-side); running sums of those counts
+    (rows, and distinct values) give each value's rank, split across
+    tasks as in :func:`running_sum`; the ranks are joined back on
+    ``(keys, value)``."""
+    keys = list(keys)
+    v = F.col(value).desc() if descending else F.col(value).asc()
+    if split is None:
+        split = bool(hot_keys(df, keys, 1.0 / _num_chunks(df, chunks)))
+    counts = (df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rk_n"))
+                .withColumn("_rk_one", F.lit(1).cast("bigint")))
+    cum = running_sum(counts, keys, [v], ["_rk_n", "_rk_one"], ["_rk_cum", "_rk_dense"],
+                      chunks, split)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rk_size"))
+    size = F.col("_rk_size")
+    pos = F.col("_rk_cum") - F.col("_rk_n") + 1
+    ranked = (cum.withColumn(_KEY, F.struct(*keys))
+                 .join(sizes.select(F.struct(*keys).alias(_KEY), "_rk_size"), _KEY)
+                 .select(F.struct(_KEY, value).alias("_rk_kv"),
+                         pos.alias(rank),
+                         F.col("_rk_dense").alias(dense_rank),
+                         F.when(size > 1, (pos - 1) / (size - 1)).otherwise(F.lit(0.0))
+                          .alias(percent_rank)))
+    return (df.withColumn("_rk_kv", F.struct(F.struct(*keys).alias(_KEY), F.col(value)))
+              .join(ranked, "_rk_kv")
+              .drop("_rk_kv"))

@@ -13,7 +13,7 @@ from oracle import rows_of
 from relkit.operators import analytics as A
 from relkit.operators import joins as J
 from relkit.operators import select as S
-from relkit.operators.scan import exact_median, running_sum
+from relkit.operators.scan import exact_median, rank_within, running_sum
 from relkit.plans.skew import hot_keys
 from relkit.plans.strategies import band_join, left_outer_join, right_outer_join
 from relkit.sources import Tables
@@ -259,3 +259,38 @@ def test_empty_orders(spark):
     assert A.order_totals(t).collect()[0].total_price is None
     assert A.monthly_totals(t).count() == 0
     assert A.running_customer_spend(t).count() == 0
+
+
+@pytest.mark.parametrize("split", [True, False])
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_within_matches_window_functions(spark, split, descending):
+    rnd = random.Random(21)
+    rows = []
+    for i in range(600):
+        k = "hot" if i % 2 == 0 else rnd.choice(["a", "b", None])
+        v = None if i % 41 == 0 else float(rnd.randint(0, 30))      # many ties
+        rows.append((i, k, v))
+    df = spark.createDataFrame(rows, "id int, k string, v double")
+    order = F.col("v").desc() if descending else F.col("v").asc()
+    w = Window.partitionBy("k").orderBy(order)
+    want = df.select("id", "k", "v", F.rank().over(w).cast("bigint").alias("rank"),
+                     F.dense_rank().over(w).cast("bigint").alias("dense_rank"),
+                     F.percent_rank().over(w).alias("percent_rank"))
+    got = rank_within(df, ["k"], "v", descending=descending, chunks=4, split=split)
+    assert same(got.select(*want.columns), want)
+
+
+def test_rank_within_single_row_group(spark):
+    df = spark.createDataFrame([(1, "x", 5.0)], "id int, k string, v double")
+    r = rank_within(df, ["k"], "v", split=True, chunks=2).collect()[0]
+    assert (r["rank"], r["dense_rank"], r["percent_rank"]) == (1, 1, 0.0)
+
+
+def test_running_sum_several_values(spark):
+    df = _hot_rows(spark).withColumn("one", F.lit(1))
+    w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumns({"run": F.round(F.sum("v").over(w), 6), "cnt": F.sum("one").over(w)})
+    for split in (True, False):
+        got = running_sum(df, ["k"], ["seq"], ["v", "one"], ["run", "cnt"], chunks=5, split=split) \
+            .withColumn("run", F.round("run", 6))
+        assert same(got.select(*want.columns), want)
