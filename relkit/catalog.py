@@ -123,6 +123,10 @@ QUERIES: list[Query] = [
         SELECT c_custkey, c_name FROM customer
         WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)""",
           30),
+    Query("j5b_not_in", J.customers_not_in_big_order_keys, """
+        SELECT c_custkey, c_name FROM customer
+        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)""",
+          30),
     Query("j6_self_join", J.year_over_year, _MONTHLY + """
         SELECT cur.month, cur.n_orders, round(cur.total, 2) AS total,
                prev.n_orders AS prev_n_orders, round(prev.total, 2) AS prev_total

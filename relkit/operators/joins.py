@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relkit.functions import money, month_start, net_price
-from relkit.plans.strategies import band_join, left_outer_join, right_outer_join
+from relkit.plans.strategies import band_join, left_outer_join, not_in, right_outer_join
 from relkit.sources import Tables
 
 BIG_ORDER = 300_000
@@ -110,6 +110,13 @@ def customers_without_big_order(t: Tables) -> DataFrame:
              .select("c_custkey", "c_name"))
 
 
+def customers_not_in_big_order_keys(t: Tables) -> DataFrame:
+    """``c_custkey NOT IN (keys of orders above 300000)`` -- the NOT IN
+    form, whose answer differs from NOT EXISTS once nulls appear."""
+    keys = _big_orders(t).select("o_custkey")
+    return not_in(t.customer, "c_custkey", keys, "o_custkey").select("c_custkey", "c_name")
+
+
 def monthly_orders(t: Tables) -> DataFrame:
     return (t.orders.groupBy(month_start("o_orderdate").alias("month"))
                     .agg(F.count(F.lit(1)).alias("n_orders"),

@@ -13,6 +13,10 @@ used only where the size bound is structural (``operators.scan``).
   be split by adaptive skew handling (which cannot split the buffered
   side of an outer sort-merge join).
 * ``right_outer_join`` -- the same with the sides mirrored.
+* ``not_in`` -- ``a NOT IN (subquery)`` with its null rules, as an anti
+  join against distinct keys plus two scalar aggregates.  Spark's own
+  null-aware anti join exists only as a broadcast join; past the
+  broadcast size NOT IN becomes a nested-loop join.
 * ``band_join`` -- ``|a - b| <= width`` as an equi-join on width-sized
   buckets plus the exact predicate, instead of a nested-loop join.
 """
@@ -55,6 +59,24 @@ def right_outer_join(left: DataFrame, right: DataFrame,
     return mirrored.select(*left.columns, *right.columns)
 
 
+def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
+    """Rows of ``left`` where ``left_col NOT IN (SELECT right_col FROM
+    right)`` is true:
+
+    * ``right`` empty: every row (a null ``left_col`` included);
+    * otherwise: rows whose value is not null, not in ``right``, and only
+      if ``right`` holds no null (a null makes the test unknown)."""
+    if left_col == right_col:
+        raise ValueError("give the two columns different names")
+    stats = right.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                               F.count_if(F.col(right_col).isNull()).alias("nulls"))).scalar()
+    keep = (stats.getField("n") == 0) | (
+        F.col(left_col).isNotNull() & (stats.getField("nulls") == 0))
+    keys = right.select(right_col).where(F.col(right_col).isNotNull()).distinct()
+    return (left.join(keys, F.col(left_col) == F.col(right_col), "left_anti")
+                .where(keep))
+
+
 def band_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
               width: float) -> DataFrame:
     """Pairs with ``|left_col - right_col| <= width`` (inner join).

@@ -15,7 +15,7 @@ from relkit.operators import joins as J
 from relkit.operators import select as S
 from relkit.operators.scan import exact_median, rank_within, running_sum
 from relkit.plans.skew import hot_keys
-from relkit.plans.strategies import band_join, left_outer_join, right_outer_join
+from relkit.plans.strategies import band_join, left_outer_join, not_in, right_outer_join
 from relkit.sources import Tables
 
 
@@ -294,3 +294,26 @@ def test_running_sum_several_values(spark):
         got = running_sum(df, ["k"], ["seq"], ["v", "one"], ["run", "cnt"], chunks=5, split=split) \
             .withColumn("run", F.round("run", 6))
         assert same(got.select(*want.columns), want)
+
+
+@pytest.mark.parametrize("right_rows", [
+    [(1,), (2,)],                 # no null
+    [(1,), (None,)],              # a null: nothing passes
+    [],                           # empty: everything passes, null included
+    [(None,)],
+])
+def test_not_in_matches_sql_not_in(spark, right_rows):
+    left = spark.createDataFrame([(1,), (3,), (None,), (4,)], "a int")
+    right = spark.createDataFrame(right_rows, "b int")
+    left.createOrReplaceTempView("not_in_left")
+    right.createOrReplaceTempView("not_in_right")
+    want = spark.sql("SELECT a FROM not_in_left WHERE a NOT IN (SELECT b FROM not_in_right)")
+    got = not_in(left, "a", right, "b")
+    assert same(got, want)
+
+
+def test_not_in_query_with_null_order_key(spark, small):
+    # an order above 300000 without a customer key: NOT IN keeps nobody,
+    # NOT EXISTS still keeps the customers without big orders
+    assert J.customers_not_in_big_order_keys(small).count() == 0
+    assert J.customers_without_big_order(small).count() == 4
