@@ -88,3 +88,12 @@ class Tables:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         return self.table(name)
+
+    def register_views(self, names: tuple[str, ...] = tuple(SCHEMAS)) -> list[str]:
+        """Register the tables as temp views under their own names, so SQL
+        text can name them (``spark.sql("SELECT ... FROM orders")``).
+        A later registration under the same name replaces the view, and
+        SQL-text views built on top see the new table."""
+        for name in names:
+            self.table(name).createOrReplaceTempView(name)
+        return list(names)
