@@ -175,8 +175,9 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
                  .join(sizes.select(key.alias(_KEY), "_rk_size"), _KEY)
                  .where(covers_lo | covers_hi)
                  .groupBy(_KEY)
-                 .agg(((F.max(F.when(covers_lo, F.col(value))) +
-                        F.max(F.when(covers_hi, F.col(value)))) / 2).alias(out)))
+                 .agg(((F.max(F.when(covers_lo, F.col(value).cast("double"))) +
+                        F.max(F.when(covers_hi, F.col(value).cast("double")))) / 2)
+                      .alias(out)))
     return (sizes.withColumn(_KEY, key)
                  .join(picked, _KEY, "left")
                  .drop(_KEY, "_rk_size"))
