@@ -212,9 +212,15 @@ QUERIES: list[Query] = [
         SELECT c_custkey, c_nationkey, c_acctbal,
                rank()         OVER w AS balance_rank,
                dense_rank()   OVER w AS balance_dense_rank,
-               percent_rank() OVER w AS balance_pct_rank
+               percent_rank() OVER w AS balance_pct_rank,
+               cume_dist()    OVER w AS balance_cume_dist
         FROM customer
         WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal DESC)""", 1500),
+    Query("a16_ntile", A.balance_quartiles, """
+        SELECT c_custkey, c_nationkey, c_acctbal,
+               ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey)
+                 AS balance_quartile
+        FROM customer""", 1500),
     Query("a15_pivot", A.orders_by_year_and_status, """
         SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
                count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,

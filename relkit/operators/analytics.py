@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from relkit.functions import charge, money, net_price, year_of
 from relkit.operators.joins import monthly_orders
-from relkit.operators.scan import exact_median, rank_within, running_sum
+from relkit.operators.scan import exact_median, ntile_within, rank_within, running_sum
 from relkit.sources import Tables
 
 
@@ -146,7 +146,15 @@ def balance_ranks(t: Tables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
     return rank_within(c, ["c_nationkey"], "c_acctbal", descending=True,
                        rank="balance_rank", dense_rank="balance_dense_rank",
-                       percent_rank="balance_pct_rank")
+                       percent_rank="balance_pct_rank", cume_dist="balance_cume_dist")
+
+
+def balance_quartiles(t: Tables) -> DataFrame:
+    """Quartile (ntile 4) of every customer's balance within its nation,
+    highest first; the customer key breaks ties."""
+    c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
+    return ntile_within(c, ["c_nationkey"], [F.col("c_acctbal").desc(), F.col("c_custkey")],
+                        4, out="balance_quartile")
 
 
 # The order status codes of the test data.

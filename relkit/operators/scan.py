@@ -186,10 +186,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, descending: bool = True,
                 chunks: int | None = None, split: bool | None = None,
                 rank: str = "rank", dense_rank: str = "dense_rank",
-                percent_rank: str = "percent_rank") -> DataFrame:
-    """``rank``, ``dense_rank`` and ``percent_rank`` over ``PARTITION BY
-    keys ORDER BY value [DESC]`` (nulls last when descending, first when
-    ascending, as in Spark), added to every row of ``df``.
+                percent_rank: str = "percent_rank", cume_dist: str = "cume_dist") -> DataFrame:
+    """``rank``, ``dense_rank``, ``percent_rank`` and ``cume_dist`` over
+    ``PARTITION BY keys ORDER BY value [DESC]`` (nulls last when
+    descending, first when ascending, as in Spark), added to every row of
+    ``df``.
 
     A ranking window holds a whole group in one task.  Here equal values
     are counted first (combined map-side); running sums of those counts
@@ -213,7 +214,33 @@ def rank_within(df: DataFrame, keys: Sequence[str], value: str, descending: bool
                          pos.alias(rank),
                          F.col("_rk_dense").alias(dense_rank),
                          F.when(size > 1, (pos - 1) / (size - 1)).otherwise(F.lit(0.0))
-                          .alias(percent_rank)))
+                          .alias(percent_rank),
+                         (F.col("_rk_cum") / size).alias(cume_dist)))
     return (df.withColumn("_rk_kv", F.struct(F.struct(*keys).alias(_KEY), F.col(value)))
               .join(ranked, "_rk_kv")
               .drop("_rk_kv"))
+
+
+def ntile_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                 buckets: int, out: str = "ntile", chunks: int | None = None,
+                 split: bool | None = None) -> DataFrame:
+    """``ntile(buckets) OVER (PARTITION BY keys ORDER BY order)``: the
+    first ``size % buckets`` buckets get one row more.  ``order`` must be
+    a total order within a key.  The row number is a running count
+    (:func:`running_sum`), so a large group is not held in one task."""
+    if buckets < 1:
+        raise ValueError("buckets must be positive")
+    keys = list(keys)
+    numbered = running_sum(df.withColumn("_rk_one", F.lit(1).cast("bigint")), keys, order,
+                           "_rk_one", "_rk_row", chunks, split)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rk_size"))
+    row, size = F.col("_rk_row"), F.col("_rk_size")
+    small = F.floor(size / buckets)                   # rows in the later buckets
+    extra = size % buckets                            # buckets with one row more
+    in_big = extra * (small + 1)                      # rows in those buckets
+    tile = F.when(row <= in_big, F.floor((row - 1) / (small + 1)) + 1) \
+            .otherwise(extra + F.floor((row - in_big - 1) / small) + 1)
+    return (numbered.withColumn(_KEY, F.struct(*keys))
+                    .join(sizes.select(F.struct(*keys).alias(_KEY), "_rk_size"), _KEY)
+                    .withColumn(out, tile.cast("bigint"))
+                    .drop(_KEY, "_rk_one", "_rk_row", "_rk_size"))

@@ -13,7 +13,7 @@ from oracle import rows_of
 from relkit.operators import analytics as A
 from relkit.operators import joins as J
 from relkit.operators import select as S
-from relkit.operators.scan import exact_median, rank_within, running_sum
+from relkit.operators.scan import exact_median, ntile_within, rank_within, running_sum
 from relkit.plans.skew import hot_keys
 from relkit.plans.strategies import band_join, left_outer_join, not_in, right_outer_join
 from relkit.sources import Tables
@@ -275,7 +275,8 @@ def test_rank_within_matches_window_functions(spark, split, descending):
     w = Window.partitionBy("k").orderBy(order)
     want = df.select("id", "k", "v", F.rank().over(w).cast("bigint").alias("rank"),
                      F.dense_rank().over(w).cast("bigint").alias("dense_rank"),
-                     F.percent_rank().over(w).alias("percent_rank"))
+                     F.percent_rank().over(w).alias("percent_rank"),
+                     F.cume_dist().over(w).alias("cume_dist"))
     got = rank_within(df, ["k"], "v", descending=descending, chunks=4, split=split)
     assert same(got.select(*want.columns), want)
 
@@ -317,3 +318,17 @@ def test_not_in_query_with_null_order_key(spark, small):
     # NOT EXISTS still keeps the customers without big orders
     assert J.customers_not_in_big_order_keys(small).count() == 0
     assert J.customers_without_big_order(small).count() == 4
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 4, 7, 50])
+@pytest.mark.parametrize("split", [True, False])
+def test_ntile_matches_window_function(spark, buckets, split):
+    rnd = random.Random(buckets)
+    rows = [(i, "hot" if i % 2 else rnd.choice(["a", "b", None]), float(rnd.randint(0, 9)))
+            for i in range(203)]
+    df = spark.createDataFrame(rows, "id int, k string, v double")
+    order = [F.col("v").desc(), F.col("id")]
+    w = Window.partitionBy("k").orderBy(*order)
+    want = df.withColumn("ntile", F.ntile(buckets).over(w).cast("bigint"))
+    got = ntile_within(df, ["k"], order, buckets, chunks=4, split=split)
+    assert same(got.select(*want.columns), want)

@@ -62,7 +62,8 @@ def test_rank_with_hot_nation(spark, monkeypatch):
     want = cust.select("c_custkey", "c_nationkey", "c_acctbal",
                        F.rank().over(w).cast("bigint").alias("balance_rank"),
                        F.dense_rank().over(w).cast("bigint").alias("balance_dense_rank"),
-                       F.percent_rank().over(w).alias("balance_pct_rank"))
+                       F.percent_rank().over(w).alias("balance_pct_rank"),
+                       F.cume_dist().over(w).alias("balance_cume_dist"))
     got = A.balance_ranks(t)
     assert "_rk_chunk" in got._jdf.queryExecution().analyzed().toString()
     assert same(got.select(*want.columns), want)
