@@ -34,6 +34,34 @@ SCALE_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def sizing_conf(input_bytes: int, scan_split_bytes: int = 256 * MB,
+                shuffle_bytes_per_partition: int = 1024 * MB,
+                min_partitions: int = 8, max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized to the input, so that scan splits and shuffle
+    partitions fit in executor memory:
+
+    * scan tasks read ``scan_split_bytes`` of Parquet each (100 TB ->
+      about 400k scan tasks);
+    * shuffles start with one partition per ``shuffle_bytes_per_partition``
+      of *input* (the shuffled data is smaller after pruning and partial
+      aggregation) and adaptive execution coalesces them to the advisory
+      size or splits skewed ones.
+
+    The shuffle partition count is also the chunk count of the skew-safe
+    running sums (:mod:`relkit.operators.scan`)."""
+    parts = -(-int(input_bytes) // shuffle_bytes_per_partition)
+    parts = max(min_partitions, min(max_partitions, parts))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+    }
+
+
 def build_session(master: str | None = None, app: str = "relkit",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

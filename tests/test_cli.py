@@ -25,3 +25,13 @@ def test_register_views(spark):
     names = Tables.from_dir(spark, SF0001).register_views()
     assert "orders" in names
     assert spark.sql("SELECT count(*) FROM orders").collect()[0][0] == 1500
+
+
+def test_sizing_conf():
+    from relkit.session import sizing_conf
+    tb = 1 << 40
+    big = sizing_conf(100 * tb)
+    assert big["spark.sql.shuffle.partitions"] == "100000"       # capped
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert sizing_conf(10 << 30)["spark.sql.shuffle.partitions"] == "10"
+    assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "8"
