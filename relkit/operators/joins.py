@@ -57,36 +57,33 @@ def rich_suppliers_full_join_nations(t: Tables, min_balance: float = 5000,
             .select("s_nationkey", "n_rich_suppliers", "n_nationkey", "n_name")
 
 
-def customer_regions(t: Tables) -> DataFrame:
-    """customer -> region name.  Nation and region are dimension tables
-    of fixed size (25 and 5 rows at any scale): their scans fall under
-    the broadcast threshold, so Catalyst broadcasts them by size, and
-    would plan a sort-merge join if they ever grew past it."""
-    n = t.nation.select("n_nationkey", "n_regionkey")
-    r = t.region.select("r_regionkey", "r_name")
-    return (t.customer.select("c_custkey", "c_nationkey")
-             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-             .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-             .select("c_custkey", "r_name"))
-
-
 def revenue_by_region(t: Tables) -> DataFrame:
     """Star join: lineitem -> orders -> customer -> nation -> region,
     net revenue per region.
 
-    Revenue is summed per order before the orders join and per customer
-    before the customer join.  Each aggregate is combined map-side, so
-    the big joins see one row per order / per customer, hot keys are
-    collapsed before any shuffle, and the per-order aggregate is already
-    partitioned on the orders join key."""
+    Each join meets the smallest grain that still carries its key:
+    revenue is summed per order before the orders join, per customer
+    before the customer join, and per nation before the nation and
+    region joins (25 rows; the dimension tables are broadcast by size).
+    Every aggregate is combined map-side, so hot keys collapse before
+    any shuffle, and the per-order aggregate is already partitioned on
+    the orders join key."""
     per_order = (t.lineitem.groupBy("l_orderkey")
                            .agg(F.sum(net_price()).alias("_rev")))
     per_customer = (t.orders.select("o_orderkey", "o_custkey")
                      .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
                      .groupBy("o_custkey").agg(F.sum("_rev").alias("_rev")))
-    return (per_customer.join(customer_regions(t), F.col("o_custkey") == F.col("c_custkey"))
-                        .groupBy("r_name")
-                        .agg(money(F.sum("_rev")).alias("revenue")))
+    per_nation = (per_customer
+                  .join(t.customer.select("c_custkey", "c_nationkey"),
+                        F.col("o_custkey") == F.col("c_custkey"))
+                  .groupBy("c_nationkey").agg(F.sum("_rev").alias("_rev")))
+    return (per_nation
+            .join(t.nation.select("n_nationkey", "n_regionkey"),
+                  F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(t.region.select("r_regionkey", "r_name"),
+                  F.col("n_regionkey") == F.col("r_regionkey"))
+            .groupBy("r_name")
+            .agg(money(F.sum("_rev")).alias("revenue")))
 
 
 def _big_order_customers(t: Tables) -> DataFrame:
