@@ -95,17 +95,19 @@ def orders_above(t: Tables, lo: float) -> DataFrame:
     return t.spark.sql(f"SELECT * FROM {fn}(:lo)", args={"lo": float(lo)})
 
 
+# Constant text: table names and the threshold are bound as parameters
+# (IDENTIFIER(:name) for names), never formatted into the script.
 SEGMENT_SCRIPT = """
 BEGIN
   DECLARE lo DOUBLE DEFAULT :min_total;
   IF lo IS NULL THEN
-    SET lo = (SELECT avg(o_totalprice) FROM {orders});
+    SET lo = (SELECT avg(o_totalprice) FROM IDENTIFIER(:orders));
   END IF;
-  INSERT OVERWRITE TABLE {target}
+  INSERT OVERWRITE TABLE IDENTIFIER(:target)
   SELECT c_mktsegment,
          count(*)                    AS n_orders,
          round(sum(o_totalprice), 2) AS total_price
-  FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+  FROM IDENTIFIER(:orders) JOIN IDENTIFIER(:customer) ON o_custkey = c_custkey
   WHERE o_totalprice > lo
   GROUP BY c_mktsegment;
 END"""
@@ -134,6 +136,7 @@ def segment_report_script(t: Tables, min_total: float | None = None,
         CREATE TABLE {target}
             (c_mktsegment STRING, n_orders BIGINT, total_price DOUBLE)
         USING parquet LOCATION '{path}'""")
-    spark.sql(SEGMENT_SCRIPT.format(orders=orders, customer=customer, target=target),
-              args={"min_total": None if min_total is None else float(min_total)})
+    spark.sql(SEGMENT_SCRIPT, args={
+        "min_total": None if min_total is None else float(min_total),
+        "orders": orders, "customer": customer, "target": target})
     return spark.table(target)
