@@ -26,6 +26,9 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 WARM_DIR = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+# Stage and task times: set BENCH_EVENT_LOG_DIR to a scratch folder and
+# read Spark's event log there (the UI stays off).
+EVENT_LOG_DIR = os.environ.get("BENCH_EVENT_LOG_DIR")
 
 
 def run(spark, data_dir: str, q) -> float:
@@ -35,9 +38,11 @@ def run(spark, data_dir: str, q) -> float:
 
 
 def main() -> None:
+    extra = {"spark.driver.memory": "16g"}
+    if EVENT_LOG_DIR:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": EVENT_LOG_DIR})
     spark = build_session(f"local[{CPUS}]", app="relkit-bench", shuffle_partitions=CPUS,
-                          extra={"spark.ui.showConsoleProgress": "false",
-                                 "spark.driver.memory": "16g"})
+                          extra=extra)
     if os.path.isdir(WARM_DIR):
         for q in QUERIES:
             run(spark, WARM_DIR, q)
