@@ -2,7 +2,9 @@
 SQL that must return the same rows on the same Parquet tables.
 
 Every builder takes ``(spark, data_dir)`` and reads the whole tables
-under ``data_dir``.  Column names are identical on both sides; floating
+under ``data_dir``.  Null ordering is spelled out in the SQL where it
+matters: Spark sorts nulls first when ascending and last when
+descending; DuckDB sorts them last by default.  Column names are identical on both sides; floating
 totals are rounded the same way on both sides because sums of doubles
 differ in their last digits with the order of addition.
 """
@@ -68,7 +70,7 @@ QUERIES: list[Query] = [
         SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem""", 6),
     Query("s5_order_limit", S.top_orders, """
         SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate
-        FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""", 10),
+        FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey NULLS FIRST LIMIT 10""", 10),
     Query("s6_scalar_subquery", S.above_average_balance, """
         SELECT c_custkey, c_name, c_acctbal FROM customer
         WHERE c_acctbal > (SELECT avg(c_acctbal) FROM customer)""", 725),
@@ -183,25 +185,28 @@ QUERIES: list[Query] = [
         SELECT c_nationkey, c_custkey, c_acctbal, rn FROM (
             SELECT c_nationkey, c_custkey, c_acctbal,
                    row_number() OVER (PARTITION BY c_nationkey
-                                      ORDER BY c_acctbal DESC, c_custkey) AS rn
+                                      ORDER BY c_acctbal DESC NULLS LAST,
+                                               c_custkey NULLS FIRST) AS rn
             FROM customer)
         WHERE rn <= 3""", 75),
     Query("a10_running_total", A.running_customer_spend, """
         SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
                round(sum(o_totalprice) OVER (PARTITION BY o_custkey
-                                             ORDER BY o_orderdate, o_orderkey
+                                             ORDER BY o_orderdate NULLS FIRST,
+                                                      o_orderkey NULLS FIRST
                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2)
                  AS running_total
         FROM orders""", 15000),
     Query("a11_moving_average", A.moving_average, _MONTHLY + """
         SELECT month, round(total, 2) AS total,
-               round(avg(total) OVER (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2)
+               round(avg(total) OVER (ORDER BY month NULLS FIRST
+                                     ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2)
                  AS moving_avg_3m
         FROM m""", 80),
     Query("a12_period_change", A.month_over_month, _MONTHLY + """
         SELECT month, round(total, 2) AS total,
-               round(lag(total) OVER (ORDER BY month), 2) AS prev_total,
-               round(total - lag(total) OVER (ORDER BY month), 2) AS change
+               round(lag(total) OVER (ORDER BY month NULLS FIRST), 2) AS prev_total,
+               round(total - lag(total) OVER (ORDER BY month NULLS FIRST), 2) AS change
         FROM m""", 80),
     Query("a13_spread_median", A.balance_spread, """
         SELECT c_mktsegment,
@@ -215,10 +220,11 @@ QUERIES: list[Query] = [
                percent_rank() OVER w AS balance_pct_rank,
                cume_dist()    OVER w AS balance_cume_dist
         FROM customer
-        WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal DESC)""", 1500),
+        WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal DESC NULLS LAST)""", 1500),
     Query("a16_ntile", A.balance_quartiles, """
         SELECT c_custkey, c_nationkey, c_acctbal,
-               ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey)
+               ntile(4) OVER (PARTITION BY c_nationkey
+                              ORDER BY c_acctbal DESC NULLS LAST, c_custkey NULLS FIRST)
                  AS balance_quartile
         FROM customer""", 1500),
     Query("a15_pivot", A.orders_by_year_and_status, """

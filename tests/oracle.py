@@ -4,6 +4,7 @@ columns sorted by name, rows compared as a bag."""
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 import pandas as pd
@@ -11,11 +12,14 @@ import pandas as pd
 from relkit.sources import TABLES
 
 
-def duck(data_dir: str) -> duckdb.DuckDBPyConnection:
+def duck(data_dir: str, tables=TABLES) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{data_dir}/{t}.parquet')")
+    for t in tables:
+        path = f"{data_dir}/{t}.parquet"
+        if os.path.isdir(path):                 # written by Spark: a folder of parts
+            path += "/*.parquet"
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 
