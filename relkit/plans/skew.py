@@ -1,9 +1,19 @@
-"""Finding hot keys exactly, cheaply.
-
-``freqItems`` (one pass, a bounded counter map per task, merged once)
-returns every key above the support -- and possibly some below it.  A
-second pass counts just those candidates, together with the total, so
-the answer is exact.  Neither pass shuffles the rows.
+"""Finding hot keys exactly, at any size.
+
+1. ``count()`` -- on a Parquet scan this reads only footers.  A table
+   of at most ``min_rows`` rows has no hot key.
+2. A uniform sample of about ``SAMPLE_ROWS`` rows is counted per key (an
+   ordinary distributed aggregate).  A key holding more than ``bound``
+   rows is expected ``bound * f`` times in the sample; every key seen at
+   least half that often is a candidate.  There are at most
+   ``2 * total / bound`` candidates, so they are broadcast.
+3. One pass counts the candidates exactly; only keys above ``bound``
+   are returned.
+
+The answer only chooses between two plans that give the same result, so
+a borderline key missed by the sample costs time, never correctness; a
+key far above its share (the case that matters) cannot be missed.
+Nothing here merges per-task state in one task (``freqItems`` would).
 """
 
 from __future__ import annotations
@@ -14,34 +24,31 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 _HK = "_hot_key"
-MIN_SUPPORT = 1e-4          # the smallest support freqItems accepts
 # One task handles this many rows of a single key without trouble; a
 # key is worth splitting only above it (and above its share).
 TASK_ROWS = 1_000_000
+SAMPLE_ROWS = 10_000_000
+SEED = 20240917
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float,
              min_rows: int = TASK_ROWS) -> list[Row]:
     """The keys (as Rows of the key columns) that hold more than
-    ``share`` of the rows of ``df`` and more than ``min_rows`` rows.
-
-    The row count comes first: on a Parquet scan it reads only footers,
-    and a table of at most ``min_rows`` rows has no hot key."""
+    ``share`` of the rows of ``df`` and more than ``min_rows`` rows."""
     keys = list(keys)
-    if min_rows > 0 and df.count() <= min_rows:
+    total = df.count()
+    bound = max(share * total, min_rows)
+    if total <= bound:
         return []
+    fraction = min(1.0, SAMPLE_ROWS / total)
+    cutoff = max(1, int(bound * fraction / 2))
     key = F.struct(*keys).alias(_HK)
-    support = min(max(share, MIN_SUPPORT), 1.0)
-    candidates = df.select(key).stat.freqItems([_HK], support=support).first()[0]
-    if not candidates:
-        return []
-    types = {f.name: f.dataType for f in df.schema.fields}
-    lits = [F.struct(*[F.lit(c[k]).cast(types[k]).alias(k) for k in keys]) for c in candidates]
-    # at most len(candidates) + 1 groups come back
-    counted = (df.select(key)
-                 .groupBy(F.when(F.col(_HK).isin(*lits), F.col(_HK)).alias(_HK))
-                 .agg(F.count(F.lit(1)).alias("n"))
-                 .collect())
-    total = sum(r["n"] for r in counted)
-    bound = max(share * total, min_rows)
-    return [r[_HK] for r in counted if r[_HK] is not None and r["n"] > bound]
+    sample = df.sample(fraction=fraction, seed=SEED) if fraction < 1.0 else df
+    candidates = (sample.select(key).groupBy(_HK).agg(F.count(F.lit(1)).alias("n"))
+                        .where(F.col("n") >= cutoff).select(_HK))
+    # at most 2 * total / bound candidates: a proven bound for the broadcast
+    counted = (df.select(key).join(F.broadcast(candidates), _HK)
+                 .groupBy(_HK).agg(F.count(F.lit(1)).alias("n"))
+                 .where(F.col("n") > bound)
+                 .collect())                      # at most total / bound rows
+    return [r[_HK] for r in counted]
