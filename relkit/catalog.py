@@ -227,6 +227,34 @@ QUERIES: list[Query] = [
                               ORDER BY c_acctbal DESC NULLS LAST, c_custkey NULLS FIRST)
                  AS balance_quartile
         FROM customer""", 1500),
+    Query("a17_first_last", A.first_and_last_orders, """
+        SELECT o_custkey, count(*) AS n_orders,
+               min(o_orderdate) AS first_order_date,
+               min(CASE WHEN rf = 1 AND o_orderdate IS NOT NULL THEN o_orderkey END)
+                 AS first_orderkey,
+               max(o_orderdate) AS last_order_date,
+               min(CASE WHEN rl = 1 AND o_orderdate IS NOT NULL THEN o_orderkey END)
+                 AS last_orderkey
+        FROM (SELECT o_custkey, o_orderkey, o_orderdate,
+                     row_number() OVER (PARTITION BY o_custkey, o_orderdate IS NULL
+                                        ORDER BY o_orderdate, o_orderkey) AS rf,
+                     row_number() OVER (PARTITION BY o_custkey, o_orderdate IS NULL
+                                        ORDER BY o_orderdate DESC, o_orderkey DESC) AS rl
+              FROM orders)
+        GROUP BY o_custkey""", 1500),
+    Query("a18_pareto", A.spend_pareto, """
+        WITH spent AS (SELECT o_custkey, sum(o_totalprice) AS s FROM orders GROUP BY o_custkey)
+        SELECT o_custkey, round(s, 2) AS total_spent,
+               round(sum(s) OVER (ORDER BY s DESC NULLS LAST, o_custkey NULLS FIRST
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                     / (SELECT sum(o_totalprice) FROM orders), 6) AS cum_share
+        FROM spent""", 1500),
+    Query("a19_relational_division", A.customers_every_year, """
+        SELECT o_custkey, count(DISTINCT year(o_orderdate)) AS n_years
+        FROM orders WHERE o_orderdate IS NOT NULL
+        GROUP BY o_custkey
+        HAVING count(DISTINCT year(o_orderdate)) =
+               (SELECT count(DISTINCT year(o_orderdate)) FROM orders)""", 195),
     Query("a15_pivot", A.orders_by_year_and_status, """
         SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
                count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,

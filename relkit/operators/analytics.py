@@ -170,3 +170,44 @@ def orders_by_year_and_status(t: Tables) -> DataFrame:
     return (t.orders.groupBy(year_of("o_orderdate").alias("year"))
                     .agg(*[F.count_if(status == s).alias(f"n_{s.lower()}")
                            for s in ORDER_STATUSES]))
+
+
+def first_and_last_orders(t: Tables) -> DataFrame:
+    """Each customer's first and last dated order (earliest date, then
+    smallest key; latest date, then largest key).  ``min_by``/``max_by``
+    are aggregates, combined per task before the shuffle, so a customer
+    with very many orders is one partial row per task."""
+    o = t.orders
+    dated = F.col("o_orderdate").isNotNull()
+    ord_key = F.when(dated, F.struct("o_orderdate", "o_orderkey"))   # null: skipped
+    return o.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.min("o_orderdate").alias("first_order_date"),
+        F.min_by("o_orderkey", ord_key).alias("first_orderkey"),
+        F.max("o_orderdate").alias("last_order_date"),
+        F.max_by("o_orderkey", ord_key).alias("last_orderkey"))
+
+
+def spend_pareto(t: Tables) -> DataFrame:
+    """Customers by total spend, highest first (customer key breaks
+    ties), with the cumulative share of all spend.  The running sum has
+    no partition key: on more than one task's worth of customers it is
+    split into range chunks (:func:`running_sum`), never one task."""
+    o = t.orders
+    per_customer = o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("_spent"))
+    total = o.select(F.sum("o_totalprice")).scalar()
+    cum = running_sum(per_customer, [], [F.col("_spent").desc(), F.col("o_custkey")],
+                      "_spent", "_cum")
+    return cum.select("o_custkey", money(F.col("_spent")).alias("total_spent"),
+                      money(F.col("_cum") / total, 6).alias("cum_share"))
+
+
+def customers_every_year(t: Tables) -> DataFrame:
+    """Relational division: customers with a dated order in every year
+    that has any order.  Distinct (customer, year) pairs are counted per
+    customer; the number of years is a scalar subquery."""
+    o = t.orders.where(F.col("o_orderdate").isNotNull())
+    year = year_of("o_orderdate")
+    all_years = t.orders.select(F.count_distinct(year)).scalar()
+    return (o.groupBy("o_custkey").agg(F.count_distinct(year).alias("n_years"))
+             .where(F.col("n_years") == all_years))

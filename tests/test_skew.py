@@ -67,3 +67,14 @@ def test_rank_with_hot_nation(spark, monkeypatch):
     got = A.balance_ranks(t)
     assert "_rk_chunk" in got._jdf.queryExecution().analyzed().toString()
     assert same(got.select(*want.columns), want)
+
+
+def test_pareto_splits_global_running_sum(spark, monkeypatch):
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (0,))
+    t = Tables.from_dir(spark, SF001)
+    got = A.spend_pareto(t)
+    assert "_rk_chunk" in got._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (10**12,))
+    plain = A.spend_pareto(t)
+    assert "_rk_chunk" not in plain._jdf.queryExecution().analyzed().toString()
+    assert same(got, plain)
