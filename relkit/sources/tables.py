@@ -52,14 +52,18 @@ def dataset_token(root: str) -> str:
 
 class Tables:
     def __init__(self, spark: SparkSession, root: str | None = None,
-                 frames: Mapping[str, DataFrame] | None = None):
+                 frames: Mapping[str, DataFrame] | None = None, infer_schema: bool = False):
         self.spark = spark
         self.root = root.rstrip("/") if root else None
         self._frames = dict(frames or {})
+        self.infer_schema = infer_schema
 
     @classmethod
-    def from_dir(cls, spark: SparkSession, root: str) -> "Tables":
-        return cls(spark, root=root)
+    def from_dir(cls, spark: SparkSession, root: str, infer_schema: bool = False) -> "Tables":
+        """Tables under ``root`` (``<root>/<name>.parquet``).  The known
+        tables are read with their declared schemas; ``infer_schema=True``
+        reads the Parquet footers instead (for data whose types differ)."""
+        return cls(spark, root=root, infer_schema=infer_schema)
 
     @classmethod
     def from_frames(cls, spark: SparkSession, **frames: DataFrame) -> "Tables":
@@ -78,7 +82,7 @@ class Tables:
         df = self._frames.get(name)
         if df is None:
             reader = self.spark.read
-            if name in SCHEMAS:
+            if name in SCHEMAS and not self.infer_schema:
                 reader = reader.schema(SCHEMAS[name])
             df = reader.parquet(self.path(name))
             self._frames[name] = df

@@ -35,3 +35,10 @@ def test_sizing_conf():
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert sizing_conf(10 << 30)["spark.sql.shuffle.partitions"] == "10"
     assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_inferred_schema_matches_declared(spark):
+    declared = Tables.from_dir(spark, SF0001)
+    inferred = Tables.from_dir(spark, SF0001, infer_schema=True)
+    for name in ("orders", "lineitem", "customer", "nation"):
+        assert declared.table(name).schema.simpleString() == inferred.table(name).schema.simpleString()
