@@ -255,6 +255,18 @@ QUERIES: list[Query] = [
         GROUP BY o_custkey
         HAVING count(DISTINCT year(o_orderdate)) =
                (SELECT count(DISTINCT year(o_orderdate)) FROM orders)""", 195),
+    Query("a20_gaps_and_islands", A.order_streaks, """
+        WITH months AS (
+            SELECT DISTINCT o_custkey,
+                   year(o_orderdate) * 12 + month(o_orderdate) - 1 AS m
+            FROM orders WHERE o_orderdate IS NOT NULL),
+        runs AS (
+            SELECT o_custkey,
+                   m - row_number() OVER (PARTITION BY o_custkey ORDER BY m) AS run
+            FROM months)
+        SELECT o_custkey, max(len) AS longest_streak, count(*) AS n_streaks
+        FROM (SELECT o_custkey, run, count(*) AS len FROM runs GROUP BY o_custkey, run)
+        GROUP BY o_custkey""", 1500),
     Query("a15_pivot", A.orders_by_year_and_status, """
         SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
                count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,

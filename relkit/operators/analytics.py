@@ -211,3 +211,22 @@ def customers_every_year(t: Tables) -> DataFrame:
     all_years = t.orders.select(F.count_distinct(year)).scalar()
     return (o.groupBy("o_custkey").agg(F.count_distinct(year).alias("n_years"))
              .where(F.col("n_years") == all_years))
+
+
+def order_streaks(t: Tables) -> DataFrame:
+    """Gaps and islands: per customer, the longest run of consecutive
+    calendar months with at least one order, and the number of runs.
+
+    The months of a customer are numbered in order (a running count,
+    split across tasks for customers with very many months); within a
+    run, month index minus that number is constant and names the run."""
+    o = t.orders.where(F.col("o_orderdate").isNotNull())
+    months = o.select("o_custkey",
+                      (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1)
+                      .alias("_month")).distinct()
+    numbered = running_sum(months.withColumn("_one", F.lit(1).cast("bigint")),
+                           ["o_custkey"], ["_month"], "_one", "_n")
+    runs = (numbered.groupBy("o_custkey", (F.col("_month") - F.col("_n")).alias("_run"))
+                    .agg(F.count(F.lit(1)).alias("_len")))
+    return runs.groupBy("o_custkey").agg(F.max("_len").alias("longest_streak"),
+                                         F.count(F.lit(1)).alias("n_streaks"))

@@ -78,3 +78,11 @@ def test_pareto_splits_global_running_sum(spark, monkeypatch):
     plain = A.spend_pareto(t)
     assert "_rk_chunk" not in plain._jdf.queryExecution().analyzed().toString()
     assert same(got, plain)
+
+
+def test_streaks_with_hot_customer(skewed, monkeypatch):
+    plain = A.order_streaks(skewed)
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (0,))
+    split = A.order_streaks(skewed)
+    assert "_rk_chunk" in split._jdf.queryExecution().analyzed().toString()
+    assert same(split, plain)
