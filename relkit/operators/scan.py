@@ -12,10 +12,10 @@ back.
 This is used only when some key is in fact that hot (found exactly by
 :func:`relkit.plans.skew.hot_keys`); otherwise the plain window runs.
 
-Full-data work of the split form: the range exchange (checkpointed once,
-so every branch sees the same chunks) and one hash exchange on ``(key, chunk)`` for the
-in-chunk window.  The offsets concern only keys at chunk edges -- at
-most three rows per chunk -- and are broadcast.
+Full-data work of the split form: the range exchange (checkpointed
+once, so every branch sees the same chunks) and one hash exchange on
+``(key, chunk)`` for the in-chunk window.  The offsets concern only keys
+at chunk edges -- at most three rows per chunk -- and are broadcast.
 """
 
 from __future__ import annotations
