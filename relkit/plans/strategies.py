@@ -14,9 +14,10 @@ used only where the size bound is structural (``operators.scan``).
   side of an outer sort-merge join).
 * ``right_outer_join`` -- the same with the sides mirrored.
 * ``not_in`` -- ``a NOT IN (subquery)`` with its null rules, as an anti
-  join against distinct keys plus two scalar aggregates.  Spark's own
-  null-aware anti join exists only as a broadcast join; past the
-  broadcast size NOT IN becomes a nested-loop join.
+  join against distinct keys plus one scalar aggregate.  Spark plans a
+  single-column NOT IN as a null-aware anti join that broadcasts the
+  subquery side whatever its size (even with size-based broadcasts
+  off); here the anti join is an ordinary one that can sort-merge.
 * ``band_join`` -- ``|a - b| <= width`` as an equi-join on width-sized
   buckets plus the exact predicate, instead of a nested-loop join.
 """

@@ -77,3 +77,43 @@ def test_semi_join_right_side_is_distinct(plans):
     p = plans["j4_semi_join"]
     assert "LeftSemi" in p
     assert "Keys [1]: [o_custkey" in p
+
+
+@pytest.fixture()
+def no_auto_broadcast(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_large_table_plans_have_no_nested_loop(no_auto_broadcast):
+    """With size-based broadcasts off (every table treated as large, as at
+    100 TB) no query falls back to a nested-loop or cartesian join; the
+    only broadcasts left are the explicit, size-bounded ones."""
+    for q in QUERIES:
+        p = plan(no_auto_broadcast, q.name)
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, q.name
+
+
+def test_large_table_plan_of_star_join(no_auto_broadcast):
+    p = plan(no_auto_broadcast, "j3_star_join")
+    tree = p.split("\n\n")[0]
+    assert tree.count("SortMergeJoin") == 4
+    assert "BroadcastHashJoin" not in tree
+
+
+def test_not_in_does_not_broadcast_unbounded_side(no_auto_broadcast):
+    from relkit.sources import Tables
+    spark = no_auto_broadcast
+    Tables.from_dir(spark, SF001).register_views()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        spark.sql(BY_NAME["j5b_not_in"].sql).explain()
+    # Spark's own NOT IN: a null-aware anti join that must broadcast
+    assert "BroadcastHashJoin" in buf.getvalue() and "LeftAnti, BuildRight, true" in buf.getvalue()
+    tree = plan(spark, "j5b_not_in").split("\n\n")[0]
+    assert "SortMergeJoin LeftAnti" in tree and "BroadcastHashJoin" not in tree
