@@ -36,18 +36,26 @@ def left_outer_join(left: DataFrame, right: DataFrame,
 
     Same rows as Spark's left join (both key columns kept, right columns
     null for unmatched left rows).  Column names of the two sides must
-    differ."""
+    differ.
+
+    Left rows with a null key can match nothing and are set aside first;
+    the inner join and the anti join then read the same non-null left
+    side, so Spark shuffles it once and reuses the exchange."""
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"column names on both sides: {sorted(clash)}")
     cond = None
+    has_null = None
     for lk, rk in on:
         c = F.col(lk) == F.col(rk)
         cond = c if cond is None else cond & c
-    matched = left.join(right, cond, "inner")
+        n = F.col(lk).isNull()
+        has_null = n if has_null is None else has_null | n
+    keyed = left.where(~has_null)
+    matched = keyed.join(right, cond, "inner")
     # Distinct keys: combined map-side, so no key is hot any more.
     right_keys = right.select(*[rk for _, rk in on]).distinct()
-    unmatched = left.join(right_keys, cond, "left_anti")
+    unmatched = keyed.join(right_keys, cond, "left_anti").unionByName(left.where(has_null))
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
     return matched.unionByName(unmatched.select(*left.columns, *nulls))
 

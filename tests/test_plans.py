@@ -117,3 +117,10 @@ def test_not_in_does_not_broadcast_unbounded_side(no_auto_broadcast):
     assert "BroadcastHashJoin" in buf.getvalue() and "LeftAnti, BuildRight, true" in buf.getvalue()
     tree = plan(spark, "j5b_not_in").split("\n\n")[0]
     assert "SortMergeJoin LeftAnti" in tree and "BroadcastHashJoin" not in tree
+
+
+def test_outer_join_shuffles_left_side_once(no_auto_broadcast):
+    df = BY_NAME["j2a_left_join"].run(no_auto_broadcast, SF001)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final
