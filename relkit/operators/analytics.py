@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 from relkit.functions import charge, money, net_price, year_of
 from relkit.operators.joins import monthly_orders
 from relkit.operators.scan import exact_median, ntile_within, rank_within, running_sum
+from relkit.plans.skew import hot_keys
 from relkit.sources import Tables
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def order_totals(t: Tables) -> DataFrame:
     """Global aggregate: one row.  Partial aggregates per task, one
     final merge of ``#tasks`` rows."""
@@ -196,8 +201,11 @@ def spend_pareto(t: Tables) -> DataFrame:
     o = t.orders
     per_customer = o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("_spent"))
     total = o.select(F.sum("o_totalprice")).scalar()
+    # There are at most as many customers as orders: decide the split on
+    # the orders (a footer count) instead of computing the aggregate twice.
+    split = bool(hot_keys(o, [], 1.0 / _shuffle_partitions(o)))
     cum = running_sum(per_customer, [], [F.col("_spent").desc(), F.col("o_custkey")],
-                      "_spent", "_cum")
+                      "_spent", "_cum", split=split)
     return cum.select("o_custkey", money(F.col("_spent")).alias("total_spent"),
                       money(F.col("_cum") / total, 6).alias("cum_share"))
 
@@ -224,8 +232,11 @@ def order_streaks(t: Tables) -> DataFrame:
     months = o.select("o_custkey",
                       (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1)
                       .alias("_month")).distinct()
+    # A customer has at most as many months as orders: decide the split on
+    # the orders themselves, not on the distinct months (no extra pass).
+    split = bool(hot_keys(t.orders, ["o_custkey"], 1.0 / _shuffle_partitions(o)))
     numbered = running_sum(months.withColumn("_one", F.lit(1).cast("bigint")),
-                           ["o_custkey"], ["_month"], "_one", "_n")
+                           ["o_custkey"], ["_month"], "_one", "_n", split=split)
     runs = (numbered.groupBy("o_custkey", (F.col("_month") - F.col("_n")).alias("_run"))
                     .agg(F.count(F.lit(1)).alias("_len")))
     return runs.groupBy("o_custkey").agg(F.max("_len").alias("longest_streak"),
