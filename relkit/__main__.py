@@ -5,6 +5,7 @@ text over the tables.
   python -m relkit run j3_star_join --data /root/testdata/sf0.01 [--rows 20]
   python -m relkit explain a10_running_total --data ...
   python -m relkit sql "SELECT r_name, count(*) FROM region GROUP BY 1" --data ...
+  python -m relkit sql --file report.sql --data ...
 
 Results are shown with ``show()``: only the first ``--rows`` rows reach
 the driver.
@@ -28,7 +29,8 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--data", default=DEFAULT_DATA)
         c.add_argument("--rows", type=int, default=20)
     c = sub.add_parser("sql")
-    c.add_argument("text")
+    c.add_argument("text", nargs="?")
+    c.add_argument("--file", help="read the SQL text from this file")
     c.add_argument("--data", default=DEFAULT_DATA)
     c.add_argument("--rows", type=int, default=20)
     args = p.parse_args(argv)
@@ -43,8 +45,12 @@ def main(argv: list[str] | None = None) -> int:
     from relkit.sources import Tables
     spark = build_session(app="relkit-cli")
     if args.cmd == "sql":
+        text = open(args.file).read() if args.file else args.text
+        if not text:
+            print("give SQL text or --file", file=sys.stderr)
+            return 2
         Tables.from_dir(spark, args.data).register_views()
-        spark.sql(args.text).show(args.rows, truncate=False)
+        spark.sql(text).show(args.rows, truncate=False)
         return 0
     if args.name not in BY_NAME:
         print(f"unknown query {args.name!r}; see `python -m relkit list`", file=sys.stderr)

@@ -42,3 +42,10 @@ def test_inferred_schema_matches_declared(spark):
     inferred = Tables.from_dir(spark, SF0001, infer_schema=True)
     for name in ("orders", "lineitem", "customer", "nation"):
         assert declared.table(name).schema.simpleString() == inferred.table(name).schema.simpleString()
+
+
+def test_sql_file(spark, capsys, tmp_path):
+    f = tmp_path / "q.sql"
+    f.write_text("SELECT count(*) AS n_regions FROM region")
+    assert main(["sql", "--file", str(f), "--data", SF0001]) == 0
+    assert "n_regions" in capsys.readouterr().out
