@@ -300,6 +300,10 @@ QUERIES: list[Query] = [
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)
         GROUP BY c_mktsegment""", 5),
+    Query("p6_versioned_refresh", P.publish_order_summary, """
+        SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year,
+               count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
+        FROM orders GROUP BY 1, 2""", 21),
     Query("p4_table_function", lambda t: P.orders_above(t, 300_000), """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 300000""",
           6033),

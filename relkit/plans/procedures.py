@@ -9,6 +9,8 @@ the summary refresh, whose action is the write itself.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,3 +142,24 @@ def segment_report_script(t: Tables, min_total: float | None = None,
         "min_total": None if min_total is None else float(min_total),
         "orders": orders, "customer": customer, "target": target})
     return spark.table(target)
+
+
+def publish_order_summary(t: Tables, base_dir: str | None = None,
+                          version: str | None = None) -> DataFrame:
+    """Refresh the order summary as a new version and switch a view to it.
+
+    The summary is written to ``<base_dir>/v=<version>`` (a folder no
+    reader uses yet); only when the write has committed is the view
+    ``order_summary_<token>`` replaced to read it.  Readers of the view
+    see the old version or the new one, never a half-written table.
+    Older versions stay until removed.  Returns the view."""
+    spark = t.spark
+    base = (base_dir or f"{shared_dir(spark)}/tables/order_summary_versions_{t.token}").rstrip("/")
+    if t.root and base.startswith(t.root):
+        raise ValueError("refusing to write into the input folder")
+    version = version or uuid.uuid4().hex
+    path = f"{base}/v={version}"
+    order_summary(t).write.mode("errorifexists").parquet(path)
+    view = f"order_summary_{t.token}"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+    return spark.table(view)

@@ -118,3 +118,21 @@ def test_sql_script_procedure(spark, scratch_dir):
     # an explicit threshold overwrites the table
     fixed = P.segment_report_script(t, 200000, location=loc)
     assert fixed.agg(F.sum("n_orders")).collect()[0][0] == 900
+
+
+def test_versioned_refresh_switches_view(spark, scratch_dir):
+    full = Tables.from_dir(spark, SF001)
+    base = os.path.join(scratch_dir, "versions")
+    v1 = P.publish_order_summary(full, base, version="1")
+    assert v1.agg(F.sum("n_orders")).collect()[0][0] == 15000
+    half = Tables(spark, root=SF001, frames={
+        "orders": full.orders.where(F.col("o_orderkey") % 2 == 0)})
+    v2 = P.publish_order_summary(half, base, version="2")
+    n2 = v2.agg(F.sum("n_orders")).collect()[0][0]
+    assert n2 < 15000
+    # the view now reads version 2; version 1 is untouched
+    assert spark.table(f"order_summary_{full.token}").agg(F.sum("n_orders")).collect()[0][0] == n2
+    assert spark.read.parquet(os.path.join(base, "v=1")).agg(F.sum("n_orders")).collect()[0][0] == 15000
+    # a version is never overwritten
+    with pytest.raises(Exception):
+        P.publish_order_summary(full, base, version="1")
