@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from relkit.functions import charge, money, net_price, year_of
 from relkit.operators.joins import monthly_orders
 from relkit.operators.scan import exact_median, ntile_within, rank_within, running_sum
-from relkit.plans.skew import hot_keys
+from relkit.plans.skew import split_needed
 from relkit.sources import Tables
 
 
@@ -203,7 +203,7 @@ def spend_pareto(t: Tables) -> DataFrame:
     total = o.select(F.sum("o_totalprice")).scalar()
     # There are at most as many customers as orders: decide the split on
     # the orders (a footer count) instead of computing the aggregate twice.
-    split = bool(hot_keys(o, [], 1.0 / _shuffle_partitions(o)))
+    split = split_needed(o, [], _shuffle_partitions(o))
     cum = running_sum(per_customer, [], [F.col("_spent").desc(), F.col("o_custkey")],
                       "_spent", "_cum", split=split)
     return cum.select("o_custkey", money(F.col("_spent")).alias("total_spent"),
@@ -234,7 +234,7 @@ def order_streaks(t: Tables) -> DataFrame:
                       .alias("_month")).distinct()
     # A customer has at most as many months as orders: decide the split on
     # the orders themselves, not on the distinct months (no extra pass).
-    split = bool(hot_keys(t.orders, ["o_custkey"], 1.0 / _shuffle_partitions(o)))
+    split = split_needed(t.orders, ["o_custkey"], _shuffle_partitions(o))
     numbered = running_sum(months.withColumn("_one", F.lit(1).cast("bigint")),
                            ["o_custkey"], ["_month"], "_one", "_n", split=split)
     runs = (numbered.groupBy("o_custkey", (F.col("_month") - F.col("_n")).alias("_run"))

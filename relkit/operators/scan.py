@@ -10,7 +10,7 @@ summed over the earlier chunks of the same key, is the offset added
 back.
 
 This is used only when some key is in fact that hot (found exactly by
-:func:`relkit.plans.skew.hot_keys`); otherwise the plain window runs.
+:func:`relkit.plans.skew.split_needed`); otherwise the plain window runs.
 
 Full-data work of the split form: the range exchange (checkpointed
 once, so every branch sees the same chunks) and one hash exchange on
@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relkit.plans.skew import hot_keys
+from relkit.plans.skew import split_needed
 from relkit.session import ensure_checkpoint_dir
 
 _KEY = "_rk_key"
@@ -77,11 +77,11 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     form their own group and null values are skipped, as in the plain
     window.
 
-    ``split=None`` decides at run time: if some key holds more than one
-    task's share of the rows (more than ``1 / chunks`` of them and more
-    than ``TASK_ROWS``; found exactly by :func:`relkit.plans.skew.hot_keys`),
-    the rows are split into range chunks; otherwise the plain window is
-    used.  Both give the same result.  Select only the needed columns
+    ``split=None`` decides at run time: if some key would keep one task
+    busy for longer than splitting costs (more than ``SPLIT_FACTOR`` tasks'
+    share of the rows and more than ``TASK_ROWS`` rows; found exactly by
+    :func:`relkit.plans.skew.split_needed`), the rows are split into
+    range chunks; otherwise the plain window is used.  Both give the same result.  Select only the needed columns
     first: in the split form the range-partitioned rows are checkpointed
     once (``spark.checkpoint.dir``)."""
     keys = list(keys)
@@ -91,7 +91,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         raise ValueError("one output column per value column")
     n = _num_chunks(df, chunks)
     if split is None:
-        split = bool(hot_keys(df, keys, 1.0 / n))
+        split = split_needed(df, keys, n)
     if not split:
         w = (Window.partitionBy(*keys).orderBy(*_cols(order))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -158,8 +158,8 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,
     if split is None:
         # A group's distinct values are at most its rows: a group that is
         # not hot in the input is not hot in the value counts either.
-        split = bool(hot_keys(df.where(F.col(value).isNotNull()), keys,
-                              1.0 / _num_chunks(df, chunks)))
+        split = split_needed(df.where(F.col(value).isNotNull()), keys,
+                             _num_chunks(df, chunks))
     counts = (df.where(F.col(value).isNotNull())
                 .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rk_n")))
     cum = running_sum(counts, keys, [value], "_rk_n", "_rk_cum", chunks, split)
@@ -200,7 +200,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], value: str, descending: bool
     keys = list(keys)
     v = F.col(value).desc() if descending else F.col(value).asc()
     if split is None:
-        split = bool(hot_keys(df, keys, 1.0 / _num_chunks(df, chunks)))
+        split = split_needed(df, keys, _num_chunks(df, chunks))
     counts = (df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rk_n"))
                 .withColumn("_rk_one", F.lit(1).cast("bigint")))
     cum = running_sum(counts, keys, [v], ["_rk_n", "_rk_one"], ["_rk_cum", "_rk_dense"],

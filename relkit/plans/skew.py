@@ -1,7 +1,8 @@
 """Finding hot keys exactly, at any size.
 
 1. ``count()`` -- on a Parquet scan this reads only footers.  A table
-   of at most ``min_rows`` rows has no hot key.
+   of at most ``min_rows`` rows has no hot key; one of at most
+   ``SAMPLE_ROWS`` rows is counted per key exactly, in one pass.
 2. A uniform sample of about ``SAMPLE_ROWS`` rows is counted per key (an
    ordinary distributed aggregate).  A key holding more than ``bound``
    rows is expected ``bound * f`` times in the sample; every key seen at
@@ -24,28 +25,46 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 _HK = "_hot_key"
-# One task handles this many rows of a single key without trouble; a
-# key is worth splitting only above it (and above its share).
-TASK_ROWS = 1_000_000
+# One task windows or sorts this many rows of a single key without
+# trouble (spilling if it must); a key is worth splitting only above it.
+TASK_ROWS = 10_000_000
+# The split form costs about this many average tasks' worth of extra
+# work (range shuffle, checkpoint, second shuffle), so a key is worth
+# splitting only when it holds more than SPLIT_FACTOR tasks' share.
+SPLIT_FACTOR = 4
 SAMPLE_ROWS = 10_000_000
 SEED = 20240917
 
 
+def split_needed(df: DataFrame, keys: Sequence[str], tasks: int) -> bool:
+    """Whether some key of ``df`` would keep one of ``tasks`` tasks busy
+    for longer than splitting costs: more than ``SPLIT_FACTOR`` tasks'
+    share of the rows and more than ``TASK_ROWS`` rows."""
+    return bool(hot_keys(df, keys, min(1.0, SPLIT_FACTOR / max(1, tasks))))
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float,
-             min_rows: int = TASK_ROWS) -> list[Row]:
+             min_rows: int | None = None) -> list[Row]:
     """The keys (as Rows of the key columns) that hold more than
-    ``share`` of the rows of ``df`` and more than ``min_rows`` rows."""
+    ``share`` of the rows of ``df`` and more than ``min_rows`` rows
+    (default ``TASK_ROWS``)."""
     keys = list(keys)
+    min_rows = TASK_ROWS if min_rows is None else min_rows
     total = df.count()
     bound = max(share * total, min_rows)
     if total <= bound:
         return []
     fraction = min(1.0, SAMPLE_ROWS / total)
-    cutoff = max(1, int(bound * fraction / 2))
     key = F.struct(*keys).alias(_HK)
-    sample = df.sample(fraction=fraction, seed=SEED) if fraction < 1.0 else df
-    candidates = (sample.select(key).groupBy(_HK).agg(F.count(F.lit(1)).alias("n"))
-                        .where(F.col("n") >= cutoff).select(_HK))
+    if fraction >= 1.0:
+        # small enough to count every key exactly in one pass
+        return [r[_HK] for r in (df.select(key).groupBy(_HK)
+                                   .agg(F.count(F.lit(1)).alias("n"))
+                                   .where(F.col("n") > bound).collect())]
+    cutoff = max(1, int(bound * fraction / 2))
+    candidates = (df.sample(fraction=fraction, seed=SEED).select(key)
+                    .groupBy(_HK).agg(F.count(F.lit(1)).alias("n"))
+                    .where(F.col("n") >= cutoff).select(_HK))
     # at most 2 * total / bound candidates: a proven bound for the broadcast
     counted = (df.select(key).join(F.broadcast(candidates), _HK)
                  .groupBy(_HK).agg(F.count(F.lit(1)).alias("n"))

@@ -163,7 +163,7 @@ def test_hot_keys_exact(spark):
 def test_running_sum_auto_picks_form(spark, monkeypatch):
     import relkit.plans.skew as skew
     monkeypatch.setattr(skew, "TASK_ROWS", 0)
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (0,))
+    monkeypatch.setattr(skew, "SPLIT_FACTOR", 1)
     hot = _hot_rows(spark)
     assert "_rk_chunk" in _plan(running_sum(hot, ["k"], ["seq"], "v", "run", chunks=8))
     even = spark.range(4000).select((F.col("id") % 500).alias("k"), F.col("id").alias("seq"),

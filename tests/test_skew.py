@@ -28,13 +28,19 @@ def same(a, b):
     return rows_of(a.toPandas()) == rows_of(b.toPandas())
 
 
+def eager_split(monkeypatch):
+    """Split any key above one task's share, however few rows it has."""
+    monkeypatch.setattr(skew, "TASK_ROWS", 0)
+    monkeypatch.setattr(skew, "SPLIT_FACTOR", 1)
+
+
 def test_hot_customer_is_found(skewed):
     hot = skew.hot_keys(skewed.orders, ["o_custkey"], 1 / 8, min_rows=0)
     assert [r.o_custkey for r in hot] == [7]
 
 
 def test_running_total_splits_hot_customer(skewed, monkeypatch):
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (0,))
+    eager_split(monkeypatch)
     got = A.running_customer_spend(skewed)
     assert "_rk_chunk" in got._jdf.queryExecution().analyzed().toString()
     w = (Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
@@ -53,7 +59,7 @@ def test_outer_joins_with_hot_customer(skewed):
 
 
 def test_rank_with_hot_nation(spark, monkeypatch):
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (0,))
+    eager_split(monkeypatch)
     base = Tables.from_dir(spark, SF001)
     cust = base.customer.withColumn(
         "c_nationkey", F.when(F.col("c_custkey") % 2 == 0, F.lit(3)).otherwise(F.col("c_nationkey")))
@@ -70,11 +76,11 @@ def test_rank_with_hot_nation(spark, monkeypatch):
 
 
 def test_pareto_splits_global_running_sum(spark, monkeypatch):
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (0,))
+    eager_split(monkeypatch)
     t = Tables.from_dir(spark, SF001)
     got = A.spend_pareto(t)
     assert "_rk_chunk" in got._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (10**12,))
+    monkeypatch.setattr(skew, "TASK_ROWS", 10**12)
     plain = A.spend_pareto(t)
     assert "_rk_chunk" not in plain._jdf.queryExecution().analyzed().toString()
     assert same(got, plain)
@@ -82,10 +88,10 @@ def test_pareto_splits_global_running_sum(spark, monkeypatch):
 
 def test_streaks_with_hot_customer(skewed, monkeypatch):
     # the split is decided on the raw orders, where customer 7 is hot
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (0,))
+    eager_split(monkeypatch)
     split = A.order_streaks(skewed)
     assert "_rk_chunk" in split._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (10**12,))
+    monkeypatch.setattr(skew, "TASK_ROWS", 10**12)
     plain = A.order_streaks(skewed)
     assert "_rk_chunk" not in plain._jdf.queryExecution().analyzed().toString()
     assert same(split, plain)
