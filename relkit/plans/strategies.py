@@ -6,7 +6,8 @@ Catalyst broadcasts a side whose estimated size is under
 otherwise; adaptive execution re-checks the real size of each shuffled
 side at runtime and converts to a broadcast join only under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Explicit hints are
-used only where the size bound is structural (``operators.scan``).
+used only where the size bound is structural (``operators.scan``,
+``plans.skew``).
 
 * ``left_outer_join`` -- a left outer join as inner join plus anti join
   against the *distinct* right keys, so a hot key on the right side can
@@ -100,7 +101,14 @@ def band_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
     band = "_band"
     l = left.withColumn(band, F.floor(F.col(left_col) / F.lit(width)))
     base = F.floor(F.col(right_col) / F.lit(width))
-    r = right.withColumn(band, F.explode(F.sequence(base - 1, base + 1)))
+    # floor() clamps huge and infinite values to the ends of bigint; the
+    # neighbours are then out of range (null) and skipped, while equal
+    # clamped buckets still meet.  The exact predicate decides in the end
+    # (NaN and infinities never satisfy it).
+    one = F.lit(1).cast("bigint")
+    neighbours = F.array(F.try_subtract(base, one), base, F.try_add(base, one))
+    r = (right.withColumn(band, F.explode(neighbours))
+              .where(F.col(band).isNotNull()))
     return (l.join(r, band)
              .where(F.abs(F.col(left_col) - F.col(right_col)) <= F.lit(width))
              .drop(band))

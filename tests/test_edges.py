@@ -332,3 +332,18 @@ def test_ntile_matches_window_function(spark, buckets, split):
     want = df.withColumn("ntile", F.ntile(buckets).over(w).cast("bigint"))
     got = ntile_within(df, ["k"], order, buckets, chunks=4, split=split)
     assert same(got.select(*want.columns), want)
+
+
+def test_band_join_non_finite_and_huge_values(spark):
+    inf, nan = float("inf"), float("nan")
+    xs = [nan, 1.0, inf, -inf, 1e300, 1e300 + 0.0, -1e300, 9.3e18 * 5, None]
+    ys = [nan, 3.0, inf, -inf, 1e300, -1e300, 9.3e18 * 5 + 4096]
+    l = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "li int, x double")
+    r = spark.createDataFrame([(j, y) for j, y in enumerate(ys)], "rj int, y double")
+    l.createOrReplaceTempView("band_l")
+    r.createOrReplaceTempView("band_r")
+    want = sorted(tuple(x) for x in spark.sql(
+        "SELECT li, rj FROM band_l JOIN band_r ON abs(x - y) <= 5000").collect())
+    got = sorted((row.li, row.rj) for row in band_join(l, r, "x", "y", 5000.0).collect())
+    assert got == want
+    assert (1, 1) in got and (4, 4) in got
