@@ -49,3 +49,9 @@ def test_sql_file(spark, capsys, tmp_path):
     f.write_text("SELECT count(*) AS n_regions FROM region")
     assert main(["sql", "--file", str(f), "--data", SF0001]) == 0
     assert "n_regions" in capsys.readouterr().out
+
+
+def test_explain(spark, capsys):
+    assert main(["explain", "j8_range_join", "--data", SF0001]) == 0
+    out = capsys.readouterr().out
+    assert "Physical Plan" in out and "NestedLoop" not in out
