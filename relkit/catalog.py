@@ -2,11 +2,11 @@
 SQL that must return the same rows on the same Parquet tables.
 
 Every builder takes ``(spark, data_dir)`` and reads the whole tables
-under ``data_dir``.  Null ordering is spelled out in the SQL where it
-matters: Spark sorts nulls first when ascending and last when
-descending; DuckDB sorts them last by default.  Column names are identical on both sides; floating
-totals are rounded the same way on both sides because sums of doubles
-differ in their last digits with the order of addition.
+under ``data_dir``.  Column names are identical on both sides.  Floating
+totals are rounded the same way on both sides, because sums of doubles
+differ in their last digits with the order of addition.  Null ordering
+is spelled out in the SQL where it matters: Spark sorts nulls first when
+ascending and last when descending; DuckDB sorts them last by default.
 """
 
 from __future__ import annotations
