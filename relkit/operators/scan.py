@@ -108,38 +108,41 @@ def _chunked_running_sum(df: DataFrame, keys: list[str], order: Sequence[str | C
     # checkpoint pins the chunk ids (and survives executor loss).
     ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
                 .withColumn(_CHUNK, F.spark_partition_id())
-                .checkpoint(eager=True)
-                # A struct of the keys compares null fields as equal: one
-                # column serves as a null-safe join key.
-                .withColumn(_KEY, F.struct(*keys)))
+                .checkpoint(eager=True))
+    if keys:
+        # A struct of the keys compares null fields as equal: one column
+        # serves as a null-safe join key.
+        ranged = ranged.withColumn(_KEY, F.struct(*keys))
+    group = [_KEY] if keys else []            # no keys: one group, all chunks
     within_c = [f"{_WITHIN}{i}" for i in range(len(values))]
     total_c = [f"{_TOTAL}{i}" for i in range(len(values))]
     offset_c = [f"{_OFFSET}{i}" for i in range(len(values))]
 
-    in_chunk = (Window.partitionBy(_KEY, _CHUNK).orderBy(*_cols(order))
+    in_chunk = (Window.partitionBy(*group, _CHUNK).orderBy(*_cols(order))
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = ranged.withColumns({w: F.sum(v).over(in_chunk) for v, w in zip(values, within_c)})
 
     # Range chunks hold contiguous key ranges, so a key reaches into
     # another chunk only if it is the first or last key of its chunk:
     # at most 2n + 1 such keys and at most 3n + 1 (key, chunk) pairs.
-    # Only those pairs need an offset; both tables are broadcast.
-    earlier = (Window.partitionBy(_KEY).orderBy(_CHUNK)
+    # Only those pairs need an offset; both tables are broadcast.  Without
+    # keys every chunk needs one: n rows, ordered in one small window.
+    edge_rows = ranged.join(F.broadcast(_edge_keys(ranged, keys)), _KEY) if keys else ranged
+    earlier = (Window.partitionBy(*group).orderBy(_CHUNK)
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (ranged.join(F.broadcast(_edge_keys(ranged, keys)), _KEY)
-                     .groupBy(_KEY, _CHUNK)
-                     .agg(*[F.sum(v).alias(t) for v, t in zip(values, total_c)])
-                     .select(_KEY, _CHUNK, *[F.sum(t).over(earlier).alias(o)
-                                             for t, o in zip(total_c, offset_c)]))
+    offsets = (edge_rows.groupBy(*group, _CHUNK)
+                        .agg(*[F.sum(v).alias(t) for v, t in zip(values, total_c)])
+                        .select(*group, _CHUNK, *[F.sum(t).over(earlier).alias(o)
+                                                  for t, o in zip(total_c, offset_c)]))
 
     def total(w: str, o: str) -> Column:
         return (F.when(F.col(w).isNull() & F.col(o).isNull(), F.lit(None))
                  .otherwise(F.coalesce(F.col(w), F.lit(0)) + F.coalesce(F.col(o), F.lit(0)))
                  .cast(within.schema[w].dataType))
 
-    return (within.join(F.broadcast(offsets), [_KEY, _CHUNK], "left")
+    return (within.join(F.broadcast(offsets), [*group, _CHUNK], "left")
                   .withColumns({out: total(w, o) for out, w, o in zip(outs, within_c, offset_c)})
-                  .drop(_KEY, _CHUNK, *within_c, *offset_c))
+                  .drop(*group, _CHUNK, *within_c, *offset_c))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str,

@@ -54,6 +54,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float,
     bound = max(share * total, min_rows)
     if total <= bound:
         return []
+    if not keys:                       # one group holding every row
+        return [Row()]
     fraction = min(1.0, SAMPLE_ROWS / total)
     key = F.struct(*keys).alias(_HK)
     if fraction >= 1.0:

@@ -347,3 +347,16 @@ def test_band_join_non_finite_and_huge_values(spark):
     got = sorted((row.li, row.rj) for row in band_join(l, r, "x", "y", 5000.0).collect())
     assert got == want
     assert (1, 1) in got and (4, 4) in got
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_running_sum_without_keys(spark, split):
+    df = spark.range(500).select(F.col("id").alias("seq"),
+                                 F.when(F.col("id") % 11 == 0, None)
+                                  .otherwise((F.col("id") % 7).cast("double")).alias("v"))
+    w = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("run", F.sum("v").over(w))
+    got = running_sum(df, [], ["seq"], "v", "run", chunks=5, split=split)
+    assert same(got.select(*want.columns), want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
