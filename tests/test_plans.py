@@ -124,3 +124,19 @@ def test_outer_join_shuffles_left_side_once(no_auto_broadcast):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in final
+
+
+def test_split_forms_have_no_nested_loop(spark, monkeypatch):
+    """The skew-adaptive queries with the split forced: still no
+    nested-loop or cartesian join, and the split is really taken."""
+    import relkit.operators.analytics as analytics
+    import relkit.operators.scan as scan
+    monkeypatch.setattr(scan, "split_needed", lambda *a, **k: True)
+    monkeypatch.setattr(analytics, "split_needed", lambda *a, **k: True)
+    for name in ("a10_running_total", "a13_spread_median", "a14_rank_within_group",
+                 "a16_ntile", "a18_pareto", "a20_gaps_and_islands"):
+        df = BY_NAME[name].run(spark, SF001)
+        analyzed = df._jdf.queryExecution().analyzed().toString()
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert "_rk_chunk" in analyzed, name
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, name
