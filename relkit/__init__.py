@@ -4,10 +4,13 @@ DataFrame / Spark SQL plans so Catalyst and adaptive execution pick the
 physical strategy at any data size.
 
 Layout:
+  session.py  session settings for scale; checkpoint and shared folders
+  catalog.py  the registered queries with their DuckDB oracle SQL
+  __main__.py command line: list, run, explain, sql
   sources/    reading the input tables, writing summary tables
   functions/  column expressions shared by the queries
   operators/  the queries: select, joins, analytics, distributed scans
-  plans/      join strategies, views, procedures
+  plans/      join strategies, hot-key detection, views, procedures
   streaming/  empty: the reference describes no streaming work
 """
 
