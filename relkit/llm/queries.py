@@ -9,26 +9,76 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from relkit.llm import chunk_recipes, tier_packing
+from relkit.llm import chunk_recipes, license_templates, mix_flow, tier_packing
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_mix_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_flow.mixed_table(table(spark, sf_dir, "documents"))
+
+
 def op6_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
+def op7_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_templates.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tier_packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mix_flow": op3_mix_flow,
     "op6_chunk_recipes": op6_chunk_recipes,
+    "op7_license_templates": op7_license_templates,
     "op10_tier_packing": op10_tier_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # Shares: sources in order of 2 * size / weight are full up to the first
+    # one that the level of the rest does not fill.
+    "op3_mix_flow": """
+        WITH d AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+                   md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS hash
+            FROM documents),
+        s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                        WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+            FROM d GROUP BY source),
+        o AS (
+            SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS total,
+                   CAST(coalesce(sum(source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS below,
+                   CAST(sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS weights
+            FROM s WINDOW w AS (ORDER BY 2.0 * source_size / weight, source NULLS LAST)),
+        f AS (
+            SELECT *, 2 * source_size * 2 * weights < weight * (3 * total - 4 * below) AS is_full FROM o),
+        l AS (
+            SELECT any_value(total) AS total, coalesce(sum(source_size) FILTER (is_full), 0) AS full_size,
+                   sum(weight) FILTER (NOT is_full) AS rest_weight FROM f),
+        t AS (
+            SELECT source, source_size,
+                   CASE WHEN is_full THEN CAST(2 * source_size AS DOUBLE)
+                        ELSE CAST(weight * (3 * l.total - 4 * full_size) AS DOUBLE) / CAST(2 * rest_weight AS DOUBLE)
+                   END AS target
+            FROM f, l),
+        q AS (
+            SELECT *, least(CAST(floor(target + 0.5) AS BIGINT), 2 * source_size) AS amount FROM t),
+        r AS (
+            SELECT *, CASE WHEN source_size > 0 THEN amount // source_size ELSE 0 END AS whole FROM q),
+        c AS (
+            SELECT d.doc_id, d.size, r.source_size, r.target, r.whole, r.amount - r.whole * r.source_size AS rest,
+                   sum(d.size) OVER (PARTITION BY d.source ORDER BY hash, size, doc_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS before
+            FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+        SELECT doc_id, size, source_size, target,
+               CAST(whole * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken
+        FROM c""",
     "op6_chunk_recipes": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept,
