@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from relkit.llm import chunk_recipes, license_templates, mix_flow, tier_packing
+from relkit.llm import chunk_recipes, crf_language, license_templates, mix_flow, tier_packing
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,10 @@ def op7_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_language.predict_all(table(spark, sf_dir, "documents"))
+
+
 def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tier_packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_flow": op3_mix_flow,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_license_templates": op7_license_templates,
+    "op9_crf_language": op9_crf_language,
     "op10_tier_packing": op10_tier_packing,
 }
 
