@@ -9,12 +9,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from relkit.llm import chunk_recipes, crf_language, license_templates, mix_flow, tier_packing
+from relkit.llm import chunk_recipes, crf_language, license_templates, mix_flow, multi_index, tier_packing
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_mix_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_flow.mixed_table(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_multi_index": op2_multi_index,
     "op3_mix_flow": op3_mix_flow,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_license_templates": op7_license_templates,
