@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from relkit.llm import chunk_recipes, crf_language, license_templates, mix_flow, multi_index, tier_packing
+from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, mix_flow, multi_index, tier_packing
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,10 @@ def op7_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_language.predict_all(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_flow": op3_mix_flow,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_license_templates": op7_license_templates,
+    "op8_bagminhash": op8_bagminhash,
     "op9_crf_language": op9_crf_language,
     "op10_tier_packing": op10_tier_packing,
 }
