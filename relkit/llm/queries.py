@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, mix_flow, multi_index, tier_packing
+from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, tier_packing
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,10 @@ def op3_mix_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_flow.mixed_table(table(spark, sf_dir, "documents"))
 
 
+def op5_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_join.link_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
 
@@ -46,6 +50,7 @@ def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multi_index": op2_multi_index,
     "op3_mix_flow": op3_mix_flow,
+    "op5_line_join": op5_line_join,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_license_templates": op7_license_templates,
     "op8_bagminhash": op8_bagminhash,
