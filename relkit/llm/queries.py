@@ -8,8 +8,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, tier_packing
+from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, pseudonyms, tier_packing
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +24,15 @@ def op3_mix_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_flow.mixed_table(table(spark, sf_dir, "documents"))
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts with pseudonyms; n_values and kinds (distinct, sorted,
+    comma-joined) of the values found, and has_private."""
+    got = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
+    n = F.size("spans").cast("bigint")
+    return got.select("doc_id", "text", n.alias("n_values"), (n > 0).alias("has_private"),
+                      F.array_join(F.array_sort(F.array_distinct("spans.kind")), ",").alias("kinds"))
+
+
 def op5_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_join.link_lines(table(spark, sf_dir, "documents"))
 
@@ -50,6 +60,7 @@ def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_multi_index": op2_multi_index,
     "op3_mix_flow": op3_mix_flow,
+    "op4_pseudonyms": op4_pseudonyms,
     "op5_line_join": op5_line_join,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_license_templates": op7_license_templates,
