@@ -10,12 +10,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, pseudonyms, tier_packing
+from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, pseudonyms, quotes, tier_packing
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.chat_lines(quotes.link_quotes(table(spark, sf_dir, "conversations")))
+
+
 def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -58,6 +62,7 @@ def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quotes": op1_quotes,
     "op2_multi_index": op2_multi_index,
     "op3_mix_flow": op3_mix_flow,
     "op4_pseudonyms": op4_pseudonyms,
