@@ -285,3 +285,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nulls = signed.where("id is null").select("id", F.col("id").alias("class_id"), F.col("id").alias("group_id"))
     return named.unionByName(nulls).select(
         F.col("id").alias(id_col), "class_id", "group_id", F.col("id").eqNullSafe(F.col("group_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group, all columns kept.  Of rows
+    that repeat an id, one stays; rows with a null id all stay."""
+    judged = pinned(near_duplicates(docs, id_col, text_col, **options).select(F.col(id_col).alias("_own"), "kept"))
+    gone = pinned(judged.where("not kept").select("_own").distinct())
+    again = pinned(judged.where("_own is not null").groupBy("_own").agg(F.count(F.lit(1)).alias("n"))
+                         .where("n > 1").select("_own"))
+    own = F.col(id_col).cast("bigint")
+    few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    left = docs.withColumn("_own", own).join(few(gone), "_own", "left_anti")
+    repeated = few(again)
+    once = left.join(repeated, "_own", "left_anti")
+    one = left.join(repeated, "_own", "left_semi").dropDuplicates(["_own"])
+    return once.unionByName(one).select(*docs.columns)

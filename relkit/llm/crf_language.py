@@ -302,44 +302,56 @@ class Labeller:
         return np.concatenate(out) if lettered else None
 
 
-def _predict(handle, und: str):
+def label(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Language and score of each text; documents are worked on in slices
+    of bounded size."""
+    pred, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    held: list[tuple[int, np.ndarray]] = []
+
+    def decide() -> None:
+        if not held:
+            return
+        model = labeller.model
+        lengths = np.array([len(e) for _, e in held])
+        got = shares(np.concatenate([e for _, e in held]), lengths, model)
+        for (i, _), j, row, n in zip(held, got.argmax(1).tolist(), got, lengths.tolist()):
+            pred[i] = model.languages[j]
+            score[i] = min(1.0, max(0.0, float(row[j]) / n))
+        held.clear()
+
+    words = 0
+    for i, text in enumerate(texts if labeller else []):
+        e = labeller.emissions(text) if text else None
+        if e is not None:
+            held.append((i, e))
+            words += len(e)
+            if words >= _SLICE_WORDS:
+                decide()
+                words = 0
+    decide()
+    return pred, score
+
+
+def _predict(handle):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = handle.value
-        labeller = Labeller(model) if model else None
+        labeller = Labeller(handle.value) if handle.value else None
         for batch in batches:
-            ids = batch.column("id")
-            texts = batch.column("text").to_pylist()
-            pred: list[str] = [und] * len(texts)
-            score = [0.0] * len(texts)
-            held: list[tuple[int, np.ndarray]] = []
-            words = 0
-
-            def decide() -> None:
-                if not held:
-                    return
-                lengths = np.array([len(e) for _, e in held])
-                got = shares(np.concatenate([e for _, e in held]), lengths, model)
-                best = got.argmax(1)
-                for (i, _), j, row, n in zip(held, best.tolist(), got, lengths.tolist()):
-                    pred[i] = model.languages[j]
-                    score[i] = min(1.0, max(0.0, float(row[j]) / n))
-                held.clear()
-
-            for i, text in enumerate(texts if model else []):
-                e = labeller.emissions(text) if text else None
-                if e is not None:
-                    held.append((i, e))
-                    words += len(e)
-                    if words >= _SLICE_WORDS:
-                        decide()
-                        words = 0
-            decide()
+            pred, score = label(labeller, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
+                [batch.column("id"), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 ["id", "lang_pred", "score"])
     return run
 
 
+def _keep(handle, text_col: str, least_score: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(handle.value) if handle.value else None
+        for batch in batches:
+            pred, score = label(labeller, batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array([p != UNDETERMINED and s >= least_score for p, s in zip(pred, score)]))
+    return run
+
+
 def _segments(words: int):
     """Some consecutive words from the middle of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +408,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     handle = docs.sparkSession.sparkContext.broadcast(model)
     kind = own.schema["id"].dataType.simpleString()
-    return (own.mapInArrow(_predict(handle, UNDETERMINED), f"id {kind}, lang_pred string, score double")
+    return (own.mapInArrow(_predict(handle), f"id {kind}, lang_pred string, score double")
                .withColumnRenamed("id", id_col))
 
 
@@ -407,3 +419,13 @@ def predict_all(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     model = learn(docs, id_col, text_col, lang_col, **options)
     got = identify(docs, model, id_col, text_col)
     return got.select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang", least_score: float = 0.5, **options) -> DataFrame:
+    """``docs`` without the documents that have no language: no letter, or
+    no language with at least ``least_score`` of the words.  All columns
+    stay; the language column is not changed."""
+    model = learn(docs, id_col, text_col, lang_col, **options)
+    handle = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_keep(handle, text_col, least_score), docs.schema)

@@ -238,3 +238,18 @@ def mixed_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (got.documents.withColumn("key", F.struct(F.col("members")[0].alias("source")))
                .join(targets, "key")
                .select(id_col, "size", "source_size", "target", "taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", **options) -> DataFrame:
+    """The documents of the mix, all columns kept, each as many times as it
+    is taken; the document at a source's boundary is taken whole if at
+    least half of it is.  Rows that repeat an id share what is taken."""
+    got = mix(docs, id_col, text_col, source_col, **options).documents
+    times = (got.groupBy(F.struct(F.col(id_col).alias("id")).alias("_own"))
+                .agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+                .select("_own", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5))
+                                 .otherwise(0).cast("int").alias("_times"))
+                .where("_times > 0"))
+    joined = docs.withColumn("_own", F.struct(F.col(id_col).alias("id"))).join(pinned(times), "_own")
+    return joined.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
