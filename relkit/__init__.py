@@ -11,10 +11,9 @@ Layout:
   functions/  column expressions shared by the queries
   operators/  the queries: select, joins, analytics, distributed scans
   plans/      join strategies, hot-key detection, views, procedures
-  streaming/  empty: the reference describes no streaming work
 """
 
-from relkit.session import build_session, shared_dir
+from relkit.session import build_session, output_dir
 from relkit.sources.tables import Tables
 
-__all__ = ["build_session", "shared_dir", "Tables"]
+__all__ = ["build_session", "output_dir", "Tables"]

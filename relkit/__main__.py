@@ -55,11 +55,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.name not in BY_NAME:
         print(f"unknown query {args.name!r}; see `python -m relkit list`", file=sys.stderr)
         return 2
-    df = BY_NAME[args.name].run(spark, args.data)
     if args.cmd == "explain":
-        df.explain("formatted")
+        BY_NAME[args.name].planned(spark, args.data).explain("formatted")
     else:
-        df.show(args.rows, truncate=False)
+        BY_NAME[args.name].run(spark, args.data).show(args.rows, truncate=False)
     return 0
 
 

@@ -30,10 +30,16 @@ class Query:
     build: Callable[[Tables], DataFrame]
     sql: str | None
     rows_sf001: int | None = None     # expected rows at sf0.01
+    # of a query that writes a table: the rows it writes, without writing
+    plan: Callable[[Tables], DataFrame] | None = None
 
     def run(self, spark: SparkSession, data_dir: str) -> DataFrame:
         return self.build(Tables.from_dir(spark, data_dir))
 
+    def planned(self, spark: SparkSession, data_dir: str) -> DataFrame:
+        """The query for looking at its plan: writes nothing."""
+        return (self.plan or self.build)(Tables.from_dir(spark, data_dir))
+
 
 _MONTHLY = """
     WITH m AS (
@@ -133,9 +139,13 @@ QUERIES: list[Query] = [
         SELECT cur.month, cur.n_orders, round(cur.total, 2) AS total,
                prev.n_orders AS prev_n_orders, round(prev.total, 2) AS prev_total
         FROM m cur LEFT JOIN m prev ON cur.month = prev.month + INTERVAL 1 YEAR""", 80),
-    Query("j8_range_join", J.balance_neighbours, """
-        SELECT c_custkey, s_suppkey, c_acctbal, s_acctbal
-        FROM customer JOIN supplier ON abs(c_acctbal - s_acctbal) <= 5""", 141),
+    Query("j8_range_join", J.balance_brackets, """
+        WITH brackets AS (
+            SELECT floor(s_acctbal / 1000) * 1000 AS bracket_low, count(*) AS n_suppliers
+            FROM supplier WHERE s_acctbal IS NOT NULL GROUP BY 1)
+        SELECT c_custkey, c_acctbal, bracket_low, n_suppliers
+        FROM customer JOIN brackets
+          ON c_acctbal >= bracket_low AND c_acctbal < bracket_low + 1000""", 1500),
     # --- analytics -----------------------------------------------------
     Query("a1_global_agg", A.order_totals, """
         SELECT count(*) AS n_orders,
@@ -225,7 +235,8 @@ QUERIES: list[Query] = [
         SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
                count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f,
                count(*) FILTER (WHERE o_orderstatus = 'O') AS n_o,
-               count(*) FILTER (WHERE o_orderstatus = 'P') AS n_p
+               count(*) FILTER (WHERE o_orderstatus = 'P') AS n_p,
+               count(*) FILTER (WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')) AS n_other
         FROM orders GROUP BY 1""", 7),
     Query("a16_ntile", A.balance_quartiles, """
         SELECT c_custkey, c_nationkey, c_acctbal,
@@ -282,7 +293,7 @@ QUERIES: list[Query] = [
         FROM orders WHERE o_totalprice > 200000 GROUP BY o_custkey""", 1498),
     Query("v3_persisted_view", V.frequent_customers_view, """
         SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
-        FROM orders GROUP BY o_custkey HAVING count(*) >= 15""", 124),
+        FROM orders GROUP BY o_custkey HAVING count(*) >= 15""", 124, plan=V.customer_order_totals),
     # --- procedures ----------------------------------------------------
     Query("p1_param_report", lambda t: P.priority_report(t, 200_000), """
         SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
@@ -294,7 +305,7 @@ QUERIES: list[Query] = [
     Query("p3_refresh_summary", _p3, """
         SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year,
                count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
-        FROM orders GROUP BY 1, 2""", 21),
+        FROM orders GROUP BY 1, 2""", 21, plan=P.order_summary),
     Query("p4_table_function", lambda t: P.orders_above(t, 300_000), """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 300000""",
           6033),
@@ -302,11 +313,11 @@ QUERIES: list[Query] = [
         SELECT c_mktsegment, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)
-        GROUP BY c_mktsegment""", 5),
+        GROUP BY c_mktsegment""", 5, plan=P.segment_report_plan),
     Query("p6_versioned_refresh", P.publish_order_summary, """
         SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year,
                count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
-        FROM orders GROUP BY 1, 2""", 21),
+        FROM orders GROUP BY 1, 2""", 21, plan=P.order_summary),
 ]
 
 BY_NAME: dict[str, Query] = {q.name: q for q in QUERIES}

@@ -5,20 +5,18 @@ changes, spread and median."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relkit.functions import charge, money, net_price, year_of
 from relkit.operators.joins import monthly_orders
 from relkit.operators.scan import exact_median, ntile_within, rank_within, running_sum
-from relkit.plans.skew import split_needed
+from relkit.plans.skew import split_chunks
 from relkit.sources import Tables
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def order_totals(t: Tables) -> DataFrame:
     """Global aggregate: one row.  Partial aggregates per task, one
     final merge of ``#tasks`` rows."""
@@ -135,13 +133,10 @@ def month_over_month(t: Tables) -> DataFrame:
 
 def balance_spread(t: Tables) -> DataFrame:
     """Sample standard deviation and exact median of balance per segment."""
-    c = t.customer
-    spread = c.groupBy("c_mktsegment").agg(
-        money(F.stddev_samp("c_acctbal"), 4).alias("stddev_balance"))
-    med = exact_median(c, ["c_mktsegment"], "c_acctbal", "_median")
-    return (spread.join(med, spread.c_mktsegment.eqNullSafe(med.c_mktsegment))
-                  .select(spread.c_mktsegment, "stddev_balance",
-                          money(F.col("_median"), 4).alias("median_balance")))
+    got = exact_median(t.customer, ["c_mktsegment"], "c_acctbal", "_median",
+                       also=[F.stddev_samp("c_acctbal").alias("_stddev")])
+    return got.select("c_mktsegment", money(F.col("_stddev"), 4).alias("stddev_balance"),
+                      money(F.col("_median"), 4).alias("median_balance"))
 
 
 def balance_ranks(t: Tables) -> DataFrame:
@@ -166,15 +161,17 @@ def balance_quartiles(t: Tables) -> DataFrame:
 ORDER_STATUSES = ("F", "O", "P")
 
 
-def orders_by_year_and_status(t: Tables) -> DataFrame:
-    """Pivot: one row per year, one count column per order status.  With
-    the status values given, the pivot is one conditional aggregate per
-    value: a single aggregation (one shuffle), where ``pivot()`` plans
-    two, and no job to discover the values."""
+def orders_by_year_and_status(t: Tables, statuses: Sequence[str] = ORDER_STATUSES) -> DataFrame:
+    """Pivot: one row per year, one count column per given order status,
+    and ``n_other`` for every other status, null included, so the columns
+    add up to the year's orders.  With the values given, the pivot is one
+    conditional aggregate per value: a single aggregation (one shuffle),
+    where ``pivot()`` plans two, and no job to discover the values."""
     status = F.col("o_orderstatus")
+    other = status.isNull() | ~status.isin(*statuses)
     return (t.orders.groupBy(year_of("o_orderdate").alias("year"))
-                    .agg(*[F.count_if(status == s).alias(f"n_{s.lower()}")
-                           for s in ORDER_STATUSES]))
+                    .agg(*[F.count_if(status == s).alias(f"n_{s.lower()}") for s in statuses],
+                         F.count_if(other).alias("n_other")))
 
 
 def first_and_last_orders(t: Tables) -> DataFrame:
@@ -182,15 +179,20 @@ def first_and_last_orders(t: Tables) -> DataFrame:
     smallest key; latest date, then largest key).  ``min_by``/``max_by``
     are aggregates, combined per task before the shuffle, so a customer
     with very many orders is one partial row per task."""
-    o = t.orders
-    dated = F.col("o_orderdate").isNotNull()
-    ord_key = F.when(dated, F.struct("o_orderdate", "o_orderkey"))   # null: skipped
-    return o.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.min("o_orderdate").alias("first_order_date"),
-        F.min_by("o_orderkey", ord_key).alias("first_orderkey"),
-        F.max("o_orderdate").alias("last_order_date"),
-        F.max_by("o_orderkey", ord_key).alias("last_orderkey"))
+    # Per customer and date first: the date alone then orders the rows, and
+    # both aggregates are hash aggregates (a struct would have to be sorted).
+    # A null key counts as smaller than any other.
+    key, date = F.col("o_orderkey"), F.col("o_orderdate")
+    per_date = t.orders.groupBy("o_custkey", "o_orderdate").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(key).alias("_lo"), F.max(key).alias("_hi"),
+        F.max(key.isNull()).alias("_null"))
+    first = F.when(~F.col("_null"), F.col("_lo"))
+    return per_date.groupBy("o_custkey").agg(
+        F.sum("_n").alias("n_orders"),
+        F.min(date).alias("first_order_date"),
+        F.min_by(first, date).alias("first_orderkey"),
+        F.max(date).alias("last_order_date"),
+        F.max_by("_hi", date).alias("last_orderkey"))
 
 
 def spend_pareto(t: Tables) -> DataFrame:
@@ -203,7 +205,7 @@ def spend_pareto(t: Tables) -> DataFrame:
     total = o.select(F.sum("o_totalprice")).scalar()
     # There are at most as many customers as orders: decide the split on
     # the orders (a footer count) instead of computing the aggregate twice.
-    split = split_needed(o, [], _shuffle_partitions(o))
+    split = split_chunks(o, [])
     cum = running_sum(per_customer, [], [F.col("_spent").desc(), F.col("o_custkey")],
                       "_spent", "_cum", split=split)
     return cum.select("o_custkey", money(F.col("_spent")).alias("total_spent"),
@@ -225,18 +227,14 @@ def order_streaks(t: Tables) -> DataFrame:
     """Gaps and islands: per customer, the longest run of consecutive
     calendar months with at least one order, and the number of runs.
 
-    The months of a customer are numbered in order (a running count,
-    split across tasks for customers with very many months); within a
-    run, month index minus that number is constant and names the run."""
+    The months of a customer are numbered in order; within a run, month index minus that number is constant and names the run."""
     o = t.orders.where(F.col("o_orderdate").isNotNull())
     months = o.select("o_custkey",
                       (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1)
                       .alias("_month")).distinct()
-    # A customer has at most as many months as orders: decide the split on
-    # the orders themselves, not on the distinct months (no extra pass).
-    split = split_needed(t.orders, ["o_custkey"], _shuffle_partitions(o))
+    # A customer's distinct months are bounded by the calendar: no split.
     numbered = running_sum(months.withColumn("_one", F.lit(1).cast("bigint")),
-                           ["o_custkey"], ["_month"], "_one", "_n", split=split)
+                           ["o_custkey"], ["_month"], "_one", "_n", split=False)
     runs = (numbered.groupBy("o_custkey", (F.col("_month") - F.col("_n")).alias("_run"))
                     .agg(F.count(F.lit(1)).alias("_len")))
     return runs.groupBy("o_custkey").agg(F.max("_len").alias("longest_streak"),

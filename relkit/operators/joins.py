@@ -133,11 +133,17 @@ def year_over_year(t: Tables) -> DataFrame:
                      "prev_n_orders", money(F.col("prev_total")).alias("prev_total")))
 
 
-def balance_neighbours(t: Tables, width: float = 5.0) -> DataFrame:
-    """Range join: customer/supplier pairs whose balances differ by at
-    most ``width``.  Bucketed equi-join plus exact predicate; the
-    supplier table (the smaller one) is the copied side."""
+def balance_brackets(t: Tables, width: float = 1000.0) -> DataFrame:
+    """Range join: every customer with the supplier balance bracket
+    [low, low + width) its balance lies in, if any supplier does.  The
+    brackets do not overlap, so a customer has at most one.  The exact
+    predicate runs on the pairs of an equi-join on buckets."""
     c = t.customer.select("c_custkey", "c_acctbal")
-    s = t.supplier.select("s_suppkey", "s_acctbal")
-    return band_join(c, s, "c_acctbal", "s_acctbal", width) \
-        .select("c_custkey", "s_suppkey", "c_acctbal", "s_acctbal")
+    low = (F.floor(F.col("s_acctbal") / F.lit(width)) * F.lit(width)).cast("double")
+    brackets = (t.supplier.where(F.col("s_acctbal").isNotNull())
+                 .groupBy(low.alias("bracket_low")).agg(F.count(F.lit(1)).alias("n_suppliers"))
+                 .withColumn("_middle", F.col("bracket_low") + width / 2))
+    near = band_join(c, brackets, "c_acctbal", "_middle", width)
+    return (near.where((F.col("c_acctbal") >= F.col("bracket_low"))
+                       & (F.col("c_acctbal") < F.col("bracket_low") + width))
+                .select("c_custkey", "c_acctbal", "bracket_low", "n_suppliers"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relkit.functions import money, net_price
+from relkit.plans.strategies import broadcast_if_few
 from relkit.sources import Tables
 
 
@@ -53,9 +54,12 @@ def above_average_balance(t: Tables) -> DataFrame:
 
 def above_nation_average(t: Tables) -> DataFrame:
     """Correlated scalar subquery, decorrelated: one average per nation
-    (partial aggregation, one row per nation) joined back on the key."""
+    (partial aggregation, one row per nation) joined back on the key.  The
+    averages are broadcast if they are few, so customers are not shuffled
+    on a handful of nation keys."""
     c = t.customer
-    per_nation = c.groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("_nation_avg"))
+    per_nation = broadcast_if_few(
+        c.groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("_nation_avg")))
     return (c.join(per_nation, "c_nationkey")
              .where(F.col("c_acctbal") > F.col("_nation_avg"))
              .select("c_custkey", "c_nationkey", "c_acctbal"))
@@ -88,10 +92,10 @@ def nation_keys_union(t: Tables) -> DataFrame:
 
 
 def nation_keys_intersect(t: Tables) -> DataFrame:
-    # Spark plans INTERSECT as distinct(left) semi-join right; making the
-    # right side distinct too combines it map-side before the shuffle.
+    # Spark plans INTERSECT as a semi join under a distinct; making both
+    # sides distinct first combines them map-side before their shuffles.
     c, s = _nation_keys(t)
-    return c.intersect(s.distinct())
+    return c.distinct().intersect(s.distinct())
 
 
 def unsold_bulk_parts(t: Tables, quantity: float = 40) -> DataFrame:

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relkit.functions import money, year_of
-from relkit.session import shared_dir
+from relkit.session import output_dir
 from relkit.sources import Tables
-from relkit.sources.summary import write_partitioned
+from relkit.sources.summary import (new_version, publish, refuse_input_folder, sql_path, sql_text,
+                                    versions)
 
 
 def priority_report(t: Tables, min_total: float) -> DataFrame:
@@ -50,6 +51,9 @@ def segment_big_orders(t: Tables, min_total: float = 300_000) -> DataFrame:
                                               money(F.sum("_total")).alias("big_total"))
 
 
+SUMMARY_SCHEMA = "o_orderstatus string, n_orders bigint, total_price double, year int"
+
+
 def order_summary(t: Tables, year: int | None = None) -> DataFrame:
     o = t.orders
     if year is not None:
@@ -62,20 +66,33 @@ def order_summary(t: Tables, year: int | None = None) -> DataFrame:
                   money(F.sum("o_totalprice")).alias("total_price")))
 
 
+def _inputs(t: Tables, df: DataFrame) -> list[str]:
+    """The folder the tables lie in, or the files of a hand-made frame."""
+    if t.reads_files:
+        return [t.root]
+    return sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
 def refresh_order_summary(t: Tables, out_dir: str, year: int | None = None) -> DataFrame:
-    """Rebuild the order summary under ``out_dir``, partitioned by year:
-    the whole table, or only ``year`` (the other years stay as they
-    are).  Returns the table read back.  ``out_dir`` must not be a
-    folder the orders are read from."""
-    if t.root and out_dir.rstrip("/").startswith(t.root):
-        raise ValueError("refusing to write into the input folder")
-    write_partitioned(order_summary(t, year), out_dir, ["year"],
-                      only_touched_partitions=year is not None)
-    return t.spark.read.parquet(out_dir)
+    """Rebuild the order summary under ``out_dir`` as a new version,
+    partitioned by year: the whole table, or only ``year``, whose rows are
+    replaced (and gone if the year has no orders any more) while the other
+    years are taken over from the version before.  Returns the new version
+    read back; readers of older ones are not disturbed.  ``out_dir`` must
+    not overlap a folder the orders are read from."""
+    refuse_input_folder(t.spark, out_dir, _inputs(t, t.orders))
+    base = out_dir.rstrip("/")
+    fresh = order_summary(t, year)
+    before = versions(t.spark, base)
+    if year is not None and before:
+        old = t.spark.read.schema(SUMMARY_SCHEMA).parquet(before[-1])
+        fresh = old.where(F.col("year").isNull() | (F.col("year") != year)).unionByName(fresh)
+    path = publish(fresh, base, ["year"])
+    return t.spark.read.schema(SUMMARY_SCHEMA).parquet(path)
 
 
 def default_summary_dir(t: Tables) -> str:
-    return f"{shared_dir(t.spark)}/tables/order_summary_{t.token}"
+    return f"{output_dir(t.spark)}/order_summary_{t.token}"
 
 
 def register_orders_above(t: Tables) -> str:
@@ -98,68 +115,81 @@ def orders_above(t: Tables, lo: float) -> DataFrame:
 
 
 # Constant text: table names and the threshold are bound as parameters
-# (IDENTIFIER(:name) for names), never formatted into the script.
+# (IDENTIFIER(:name) for names), never formatted into the script.  Orders
+# are summed per customer before the join.
+SEGMENT_SELECT = """
+  SELECT c_mktsegment,
+         sum(n)               AS n_orders,
+         round(sum(total), 2) AS total_price
+  FROM (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS total
+        FROM IDENTIFIER(:orders) WHERE o_totalprice > {lo} GROUP BY o_custkey)
+       JOIN IDENTIFIER(:customer) ON o_custkey = c_custkey
+  GROUP BY c_mktsegment"""
+
 SEGMENT_SCRIPT = """
 BEGIN
   DECLARE lo DOUBLE DEFAULT :min_total;
   IF lo IS NULL THEN
     SET lo = (SELECT avg(o_totalprice) FROM IDENTIFIER(:orders));
   END IF;
-  INSERT OVERWRITE TABLE IDENTIFIER(:target)
-  SELECT c_mktsegment,
-         count(*)                    AS n_orders,
-         round(sum(o_totalprice), 2) AS total_price
-  FROM IDENTIFIER(:orders) JOIN IDENTIFIER(:customer) ON o_custkey = c_custkey
-  WHERE o_totalprice > lo
-  GROUP BY c_mktsegment;
+  INSERT OVERWRITE TABLE IDENTIFIER(:target)""" + SEGMENT_SELECT.format(lo="lo") + """;
 END"""
 
 
+def _segment_sources(t: Tables) -> dict[str, str]:
+    names = {"orders": f"orders_{t.token}", "customer": f"customer_{t.token}"}
+    t.orders.createOrReplaceTempView(names["orders"])
+    t.customer.createOrReplaceTempView(names["customer"])
+    return names
+
+
+def segment_report_plan(t: Tables) -> DataFrame:
+    """The rows the script below writes, as a plan."""
+    default = "(SELECT avg(o_totalprice) FROM IDENTIFIER(:orders))"
+    return t.spark.sql(SEGMENT_SELECT.format(lo=default), args=_segment_sources(t))
+
+
 def segment_report_script(t: Tables, min_total: float | None = None,
                           location: str | None = None) -> DataFrame:
     """A procedure written as a SQL script: a parameter whose default
     (the average order total) is computed in SQL, a branch, and an
-    INSERT OVERWRITE that runs as a distributed job.  Returns the
-    refreshed table.
+    INSERT OVERWRITE that runs as a distributed job.  Returns the rows
+    written.
 
-    A script hands back its last result through the driver, so the
-    script ends in the write and the rows are read back from the table
-    instead."""
+    Each run fills a table of its own, a new version under ``location``, so
+    frames returned by earlier runs stay readable.  A script hands back its
+    last result through the driver, so it ends in the write and the rows
+    are read back instead."""
     spark = t.spark
-    orders, customer = f"orders_{t.token}", f"customer_{t.token}"
-    target = f"segment_orders_{t.token}"
-    t.orders.createOrReplaceTempView(orders)
-    t.customer.createOrReplaceTempView(customer)
-    path = location or f"{shared_dir(spark)}/tables/{target}"
-    # external table: dropping it keeps the files; re-creating it applies
-    # the location asked for now
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    names = _segment_sources(t)
+    base = (location or f"{output_dir(spark)}/segment_orders_{t.token}").rstrip("/")
+    refuse_input_folder(spark, base, _inputs(t, t.orders))
+    path = new_version(base)
+    target = f"segment_orders_{t.token}_{uuid.uuid4().hex}"
     spark.sql(f"""
         CREATE TABLE {target}
             (c_mktsegment STRING, n_orders BIGINT, total_price DOUBLE)
-        USING parquet LOCATION '{path}'""")
-    spark.sql(SEGMENT_SCRIPT, args={
-        "min_total": None if min_total is None else float(min_total),
-        "orders": orders, "customer": customer, "target": target})
-    return spark.table(target)
+        USING parquet LOCATION {sql_text(path)}""")
+    try:
+        spark.sql(SEGMENT_SCRIPT, args={
+            "min_total": None if min_total is None else float(min_total), "target": target, **names})
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {target}")          # external: the files stay
+    return spark.read.schema("c_mktsegment string, n_orders bigint, total_price double").parquet(path)
 
 
 def publish_order_summary(t: Tables, base_dir: str | None = None,
                           version: str | None = None) -> DataFrame:
     """Refresh the order summary as a new version and switch a view to it.
 
-    The summary is written to ``<base_dir>/v=<version>`` (a folder no
-    reader uses yet); only when the write has committed is the view
+    Only when the write of the version has committed is the view
     ``order_summary_<token>`` replaced to read it.  Readers of the view
     see the old version or the new one, never a half-written table.
-    Older versions stay until removed.  Returns the view."""
+    ``remove_old_versions`` drops older ones.  Returns the view."""
     spark = t.spark
-    base = (base_dir or f"{shared_dir(spark)}/tables/order_summary_versions_{t.token}").rstrip("/")
-    if t.root and base.startswith(t.root):
-        raise ValueError("refusing to write into the input folder")
-    version = version or uuid.uuid4().hex
-    path = f"{base}/v={version}"
-    order_summary(t).write.mode("errorifexists").parquet(path)
+    base = (base_dir or f"{output_dir(spark)}/order_summary_versions_{t.token}").rstrip("/")
+    refuse_input_folder(spark, base, _inputs(t, t.orders))
+    path = publish(order_summary(t), base, version=version)
     view = f"order_summary_{t.token}"
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.{sql_path(path)}")
     return spark.table(view)

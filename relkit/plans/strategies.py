@@ -19,8 +19,7 @@ used only where the size bound is structural (``operators.scan``,
   single-column NOT IN as a null-aware anti join that broadcasts the
   subquery side whatever its size (even with size-based broadcasts
   off); here the anti join is an ordinary one that can sort-merge.
-* ``band_join`` -- ``|a - b| <= width`` as an equi-join on width-sized
-  buckets plus the exact predicate, instead of a nested-loop join.
+* ``band_join`` -- ``|a - b| <= width`` as an equi-join on buckets plus the exact predicate, instead of a nested-loop join.
 """
 
 from __future__ import annotations
@@ -91,16 +90,19 @@ def band_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
               width: float) -> DataFrame:
     """Pairs with ``|left_col - right_col| <= width`` (inner join).
 
-    ``left`` is bucketed by ``floor(x / width)``; each ``right`` row is
-    copied into the three buckets ``floor(y / width) + {-1, 0, 1}``,
-    which hold every ``x`` within ``width`` of ``y``.  Put the smaller
-    table on the right.  Candidates per right row span 3 widths against
-    a 2-width band, and the exact predicate removes the rest."""
+    ``left`` is bucketed by ``floor(x / size)`` with buckets half as long
+    again as ``width``; each ``right`` row is copied into its bucket and
+    the two next to it.  Values within ``width`` of each other are then
+    less than one bucket apart, with room for the rounding of the
+    differences and quotients, so no pair at a bucket's edge is lost.  Put
+    the smaller table on the right; the exact predicate removes the
+    candidates that are too far apart."""
     if width <= 0:
         raise ValueError("width must be positive")
     band = "_band"
-    l = left.withColumn(band, F.floor(F.col(left_col) / F.lit(width)))
-    base = F.floor(F.col(right_col) / F.lit(width))
+    size = 1.5 * width
+    l = left.withColumn(band, F.floor(F.col(left_col) / F.lit(size)))
+    base = F.floor(F.col(right_col) / F.lit(size))
     # floor() clamps huge and infinite values to the ends of bigint; the
     # neighbours are then out of range (null) and skipped, while equal
     # clamped buckets still meet.  The exact predicate decides in the end
@@ -112,3 +114,13 @@ def band_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
     return (l.join(r, band)
              .where(F.abs(F.col(left_col) - F.col(right_col)) <= F.lit(width))
              .drop(band))
+
+
+BROADCAST_ROWS = 10_000
+
+
+def broadcast_if_few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it is seen to have at most ``rows``
+    rows (a job that stops after one row more); else as it is, for an
+    ordinary join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relkit.session import shared_dir
+from relkit.session import output_dir
 from relkit.sources import Tables
+from relkit.sources.summary import publish, refuse_input_folder, sql_path
 
 BIG_ORDER_VIEW_MIN = 200_000
 
@@ -58,24 +59,27 @@ def create_frequent_customer_view(t: Tables, location: str | None = None,
     """Save per-customer order totals as a table, then define a
     persistent view over it (a persistent view cannot read a temp view).
 
-    The table is written under ``location``, by default the shared
-    folder named by ``spark.checkpoint.dir``; the catalog entry lasts as
-    long as the session catalog does."""
+    The table is written under ``location`` (by default in the output
+    folder) as a new version, so frames that read the view before stay
+    readable; the catalog entry lasts as long as the session catalog
+    does."""
     spark = t.spark
-    table = f"customer_order_totals_{t.token}"
     view = f"frequent_customers_{t.token}"
-    path = location or f"{shared_dir(spark)}/tables/{table}"
-    totals = (t.orders.groupBy("o_custkey")
-                      .agg(F.count(F.lit(1)).alias("n_orders"),
-                           F.sum("o_totalprice").alias("total_price")))
-    totals.write.mode("overwrite").option("path", path).saveAsTable(table)
+    base = (location or f"{output_dir(spark)}/customer_order_totals_{t.token}").rstrip("/")
+    refuse_input_folder(spark, base, [t.root] if t.reads_files else t.orders.inputFiles())
+    path = publish(customer_order_totals(t), base)
     spark.sql(f"""
         CREATE OR REPLACE VIEW {view} AS
         SELECT o_custkey, n_orders, round(total_price, 2) AS total_price
-        FROM {table}
+        FROM parquet.{sql_path(path)}
         WHERE n_orders >= {int(min_orders)}""")
     return view
 
 
+def customer_order_totals(t: Tables) -> DataFrame:
+    return t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
+                                             F.sum("o_totalprice").alias("total_price"))
+
+
 def frequent_customers_view(t: Tables, location: str | None = None) -> DataFrame:
     return t.spark.table(create_frequent_customer_view(t, location))

@@ -1,4 +1,4 @@
-"""Session construction and the shared output folder.
+"""Session construction, the checkpoint folder and the output folder.
 
 Nothing here is needed to *run* a query -- every query works on any
 session it is handed.  ``build_session`` only bundles the settings that
@@ -8,7 +8,7 @@ splitting, runtime broadcast conversion) for scripts and tests.
 
 from __future__ import annotations
 
-import os
+import posixpath
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,7 +39,7 @@ MB = 1 << 20
 
 def sizing_conf(input_bytes: int, scan_split_bytes: int = 256 * MB,
                 shuffle_bytes_per_partition: int = 1024 * MB,
-                min_partitions: int = 8, max_partitions: int = 100_000) -> dict[str, str]:
+                min_partitions: int = 8) -> dict[str, str]:
     """Settings sized to the input, so that scan splits and shuffle
     partitions fit in executor memory:
 
@@ -53,7 +53,7 @@ def sizing_conf(input_bytes: int, scan_split_bytes: int = 256 * MB,
     The shuffle partition count is also the chunk count of the skew-safe
     running sums (:mod:`relkit.operators.scan`)."""
     parts = -(-int(input_bytes) // shuffle_bytes_per_partition)
-    parts = max(min_partitions, min(max_partitions, parts))
+    parts = max(min_partitions, parts)
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
         "spark.sql.shuffle.partitions": str(parts),
@@ -79,26 +79,45 @@ def build_session(master: str | None = None, app: str = "relkit",
     return spark
 
 
+def _local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.  A cluster names a shared
-    one in ``spark.checkpoint.dir``; only when none is set (a local run)
-    is a local folder made."""
+    one in ``spark.checkpoint.dir``.  Only a local run that names none
+    gets a local folder; elsewhere that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not _local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="relkit-ckpt-"))
     return sc.getCheckpointDir()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster in
-    ``spark.checkpoint.dir``.  Only when the session names none (a local
-    test run) do we make one -- never on a configured cluster."""
-    current = ensure_checkpoint_dir(spark)
-    # getCheckpointDir() appends a per-application subfolder; written
-    # tables live beside it so that they outlive one application.
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    base = conf_dir or os.path.dirname(current.rstrip("/"))
-    return base.rstrip("/") + "/relkit"
+OUTPUT_DIR = "spark.relkit.output.dir"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system's scheme, dots resolved."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    full = fs.makeQualified(p).toUri()
+    return f"{full.getScheme()}://{full.getAuthority() or ''}{posixpath.normpath(full.getPath())}"
+
+
+def output_dir(spark: SparkSession) -> str:
+    """Where written tables live: the folder named by
+    ``spark.relkit.output.dir``, or else the session's warehouse.  On a
+    cluster a warehouse on a local file system may not be shared, so there
+    the folder must be named."""
+    named = spark.conf.get(OUTPUT_DIR, None)
+    if named:
+        return named.rstrip("/")
+    warehouse = qualified(spark, spark.conf.get("spark.sql.warehouse.dir"))
+    if warehouse.startswith("file:") and not _local(spark):
+        raise RuntimeError(f"set {OUTPUT_DIR} to a folder that driver and executors share")
+    return f"{warehouse}/relkit"

@@ -27,9 +27,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return v
+        return "NaN" if math.isnan(v) else v
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
     if hasattr(v, "item"):
@@ -37,22 +35,29 @@ def _norm(v):
     return v
 
 
-def rows_of(pdf: pd.DataFrame) -> list[tuple]:
-    cols = sorted(pdf.columns)
-    pdf = pdf[cols].astype(object).where(pd.notna(pdf[cols]), None)
-    return sorted((tuple(_norm(v) for v in r) for r in pdf.itertuples(index=False)),
+def _sorted(rows, names) -> list[tuple]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in rows),
                   key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0)
                                       for x in r))
 
 
+def rows_of(pdf: pd.DataFrame) -> list[tuple]:
+    """Rows of a pandas frame, where null and NaN cannot be told apart."""
+    pdf = pdf.astype(object).where(pd.notna(pdf), None)
+    return _sorted(list(pdf.itertuples(index=False)), list(pdf.columns))
+
+
 def compare(spark_df, con, sql: str, rel_tol: float = 0.0) -> tuple[bool, str]:
-    s = spark_df.toPandas()
-    d = con.execute(sql).df()
-    if sorted(s.columns) != sorted(d.columns):
-        return False, f"columns differ: {sorted(s.columns)} vs {sorted(d.columns)}"
+    s = spark_df.collect()                       # null and NaN stay apart
+    got = con.execute(sql)
+    columns = [c[0] for c in got.description]
+    d = got.fetchall()
+    if sorted(spark_df.columns) != sorted(columns):
+        return False, f"columns differ: {sorted(spark_df.columns)} vs {sorted(columns)}"
     if len(s) != len(d):
         return False, f"row count {len(s)} vs {len(d)}"
-    rs, rd = rows_of(s), rows_of(d)
+    rs, rd = _sorted(s, spark_df.columns), _sorted(d, columns)
     for a, b in zip(rs, rd):
         for x, y in zip(a, b):
             if isinstance(x, float) and isinstance(y, float):

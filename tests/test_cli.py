@@ -31,7 +31,7 @@ def test_sizing_conf():
     from relkit.session import sizing_conf
     tb = 1 << 40
     big = sizing_conf(100 * tb)
-    assert big["spark.sql.shuffle.partitions"] == "100000"       # capped
+    assert big["spark.sql.shuffle.partitions"] == "102400"       # one per GB, no cap
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert sizing_conf(10 << 30)["spark.sql.shuffle.partitions"] == "10"
     assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "8"
@@ -55,3 +55,14 @@ def test_explain(spark, capsys):
     assert main(["explain", "j8_range_join", "--data", SF0001]) == 0
     out = capsys.readouterr().out
     assert "Physical Plan" in out and "NestedLoop" not in out
+
+
+def test_explain_writes_nothing(spark, capsys, tmp_path):
+    spark.conf.set("spark.relkit.output.dir", str(tmp_path / "out"))
+    try:
+        for name in ("v3_persisted_view", "p3_refresh_summary", "p5_sql_script", "p6_versioned_refresh"):
+            assert main(["explain", name, "--data", SF0001]) == 0
+            assert "Exchange" in capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.relkit.output.dir")
+    assert not (tmp_path / "out").exists()

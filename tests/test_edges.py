@@ -151,19 +151,18 @@ def test_running_sum_splits_hot_key(spark):
 
 def test_hot_keys_exact(spark):
     df = _hot_rows(spark)           # key 0: a third of the rows
-    assert [r.k for r in hot_keys(df, ["k"], 1 / 8, min_rows=0)] == [0]
-    assert hot_keys(df, ["k"], 0.5, min_rows=0) == []
+    assert [r.k for r in hot_keys(df, ["k"], max_rows=df.count() // 8)] == [0]
+    assert hot_keys(df, ["k"], max_rows=df.count() // 2) == []
     # a key above its share but below a task's worth of rows is not hot
-    assert hot_keys(df, ["k"], 1 / 8, min_rows=1000) == []
-    assert hot_keys(df, ["k"], 1 / 8) == []
+    assert hot_keys(df, ["k"], max_rows=1000) == []
+    assert hot_keys(df, ["k"]) == []
     nulls = spark.createDataFrame([(None, 1)] * 6 + [(1, 2)] * 2, "k int, v int")
-    assert [r.k for r in hot_keys(nulls, ["k"], 0.5, min_rows=0)] == [None]
+    assert [r.k for r in hot_keys(nulls, ["k"], max_rows=nulls.count() // 2)] == [None]
 
 
 def test_running_sum_auto_picks_form(spark, monkeypatch):
     import relkit.plans.skew as skew
-    monkeypatch.setattr(skew, "TASK_ROWS", 0)
-    monkeypatch.setattr(skew, "SPLIT_FACTOR", 1)
+    monkeypatch.setattr(skew, "TASK_ROWS", 50)
     hot = _hot_rows(spark)
     assert "_rk_chunk" in _plan(running_sum(hot, ["k"], ["seq"], "v", "run", chunks=8))
     even = spark.range(4000).select((F.col("id") % 500).alias("k"), F.col("id").alias("seq"),
@@ -360,3 +359,39 @@ def test_running_sum_without_keys(spark, split):
     assert same(got.select(*want.columns), want)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_pivot_counts_other_statuses(spark):
+    t = Tables.from_frames(spark, orders=spark.createDataFrame(
+        [(1, 1, s, 1.0, None, "x") for s in ("F", "O", "X", None, "X")],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"))
+    r = A.orders_by_year_and_status(t).collect()[0]
+    assert (r.n_f, r.n_o, r.n_p, r.n_other) == (1, 1, 0, 3)
+    r = A.orders_by_year_and_status(t, ["X"]).collect()[0]
+    assert (r.n_x, r.n_other) == (2, 3)
+
+
+def test_band_join_keeps_pairs_at_bucket_edges(spark):
+    import itertools
+    import math
+    width = 5.0
+    base = [0.0, 5.0, 7.5, 15.0, 1e6, 12345.67]
+    near = sorted({f(b + d) for b in base for d in (-width, 0.0, width) for f in (
+        lambda x: x, lambda x: math.nextafter(x, -math.inf), lambda x: math.nextafter(x, math.inf))} | {-1e-17, 1e-17})
+    left = spark.createDataFrame([(i, v) for i, v in enumerate(near)], "li long, x double")
+    right = spark.createDataFrame([(i, v) for i, v in enumerate(near)], "rj long, y double")
+    got = sorted((r.li, r.rj) for r in band_join(left, right, "x", "y", width).collect())
+    want = sorted((i, j) for (i, x), (j, y) in itertools.product(enumerate(near), repeat=2) if abs(x - y) <= width)
+    assert got == want
+
+
+def test_bracket_join_is_linear_and_exact(spark):
+    import math
+    edge = [1000.0, math.nextafter(1000.0, 0), math.nextafter(1000.0, 2000), -0.0, -1e-17, 1999.99, None]
+    t = Tables.from_frames(
+        spark, customer=spark.createDataFrame([(i, v) for i, v in enumerate(edge)], "c_custkey long, c_acctbal double"),
+        supplier=spark.createDataFrame([(i, v) for i, v in enumerate([5.0, 10.0, 1500.0, -3.0, None])],
+                                       "s_suppkey long, s_acctbal double"))
+    got = {r.c_custkey: (r.bracket_low, r.n_suppliers) for r in J.balance_brackets(t).collect()}
+    assert got == {0: (1000.0, 1), 1: (0.0, 2), 2: (1000.0, 1), 3: (0.0, 2), 4: (-1000.0, 1), 5: (1000.0, 1)}

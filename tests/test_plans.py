@@ -12,7 +12,7 @@ from relkit.catalog import BY_NAME, QUERIES
 def plan(spark, name: str) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        BY_NAME[name].run(spark, SF001).explain("formatted")
+        BY_NAME[name].planned(spark, SF001).explain("formatted")
     return buf.getvalue()
 
 
@@ -30,7 +30,7 @@ def test_single_partition_only_over_bounded_inputs(plans):
     # global aggregates (one partial row per task), windows over one row
     # per calendar month, and the Pareto running sum, which runs as one
     # unpartitioned window only up to TASK_ROWS rows (split above)
-    bounded = {"a1_global_agg", "a8_share_of_total", "s6_scalar_subquery", "j5b_not_in",
+    bounded = {"p5_sql_script", "a1_global_agg", "a8_share_of_total", "s6_scalar_subquery", "j5b_not_in",
                "a11_moving_average", "a12_period_change", "a18_pareto",
                "a19_relational_division"}
     for name, p in plans.items():
@@ -131,12 +131,53 @@ def test_split_forms_have_no_nested_loop(spark, monkeypatch):
     nested-loop or cartesian join, and the split is really taken."""
     import relkit.operators.analytics as analytics
     import relkit.operators.scan as scan
-    monkeypatch.setattr(scan, "split_needed", lambda *a, **k: True)
-    monkeypatch.setattr(analytics, "split_needed", lambda *a, **k: True)
+    monkeypatch.setattr(scan, "split_chunks", lambda *a, **k: 8)
+    monkeypatch.setattr(analytics, "split_chunks", lambda *a, **k: 8)
     for name in ("a10_running_total", "a13_spread_median", "a14_rank_within_group",
-                 "a16_ntile", "a18_pareto", "a20_gaps_and_islands"):
+                 "a16_ntile", "a18_pareto"):
         df = BY_NAME[name].run(spark, SF001)
         analyzed = df._jdf.queryExecution().analyzed().toString()
         p = df._jdf.queryExecution().executedPlan().toString()
         assert "_rk_chunk" in analyzed, name
         assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, name
+
+
+def test_unsplit_forms_shuffle_once(no_auto_broadcast):
+    for name, most in (("a14_rank_within_group", 1), ("a16_ntile", 1), ("a20_gaps_and_islands", 2),
+                       ("a13_spread_median", 5)):
+        tree = plan(no_auto_broadcast, name).split("\n\n")[0]
+        assert tree.count("Exchange") <= most, (name, tree)
+
+
+def test_no_raw_rows_on_nation_keys(no_auto_broadcast):
+    """Customers are not shuffled on 25 nation keys."""
+    tree = plan(no_auto_broadcast, "s7_correlated_subquery").split("\n\n")[0]
+    assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree
+    tree = plan(no_auto_broadcast, "s9c_intersect").split("\n\n")[0]
+    below = [line for line in tree.splitlines() if "Exchange" in line or "HashAggregate" in line]
+    for i, line in enumerate(below):
+        if "Exchange" in line and i + 1 < len(below):
+            assert "HashAggregate" in below[i + 1], tree
+
+
+def test_first_and_last_is_hashed(no_auto_broadcast):
+    tree = plan(no_auto_broadcast, "a17_first_last").split("\n\n")[0]
+    assert "SortAggregate" not in tree and tree.count("HashAggregate") == 4
+
+
+def test_script_aggregates_orders_before_the_join(no_auto_broadcast):
+    p = plan(no_auto_broadcast, "p5_sql_script")
+    tree = p.split("\n\n")[0]
+    assert tree.index("SortMergeJoin") < tree.rindex("HashAggregate")
+    assert "Keys [1]: [o_custkey" in p
+
+
+def test_split_forms_do_not_gather_a_key(spark, monkeypatch):
+    """No hash exchange on the group key alone over the scanned rows."""
+    import relkit.operators.scan as scan
+    monkeypatch.setattr(scan, "split_chunks", lambda *a, **k: 8)
+    for name in ("a10_running_total", "a16_ntile"):
+        p = BY_NAME[name].run(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        for line in p.splitlines():
+            if "Exchange hashpartitioning" in line:
+                assert "_rk_chunk" in line.split("hashpartitioning", 1)[1].split("),")[0] or "_rk_key" in line, line

@@ -29,16 +29,42 @@ def same(a, b):
 
 
 def eager_split(monkeypatch):
-    """Split any key above one task's share, however few rows it has."""
-    monkeypatch.setattr(skew, "TASK_ROWS", 0)
-    monkeypatch.setattr(skew, "SPLIT_FACTOR", 1)
+    """Split any key of more than 1,500 rows."""
+    monkeypatch.setattr(skew, "TASK_ROWS", 1500)
 
 
 def test_hot_customer_is_found(skewed):
-    hot = skew.hot_keys(skewed.orders, ["o_custkey"], 1 / 8, min_rows=0)
+    hot = skew.hot_keys(skewed.orders, ["o_custkey"], max_rows=2000)
     assert [r.o_custkey for r in hot] == [7]
 
 
+@pytest.mark.parametrize("bound", [2000, 4000])
+def test_hot_customer_is_found_in_a_sample(skewed, monkeypatch, bound):
+    """The production branch: candidates from a sample, counted exactly."""
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", 3000)
+    hot = skew.hot_keys(skewed.orders, ["o_custkey"], max_rows=bound)
+    assert [r.o_custkey for r in hot] == [7]
+    assert skew.hot_keys(skewed.orders, ["o_custkey"], max_rows=9000) == []
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 8, 200])
+def test_split_rule_does_not_depend_on_the_partitions(spark, skewed, monkeypatch, partitions):
+    monkeypatch.setattr(skew, "TASK_ROWS", 1500)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        chunks = skew.split_chunks(skewed.orders, ["o_custkey"])
+        assert chunks >= max(partitions, 10)
+        assert skew.split_chunks(skewed.orders, []) == chunks
+        assert skew.split_chunks(skewed.customer, ["c_custkey"]) == 0
+        got = A.spend_pareto(skewed)
+        assert "_rk_chunk" in got._jdf.queryExecution().analyzed().toString()
+        rows = got.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert rows == skewed.orders.select("o_custkey").distinct().count()
+
+
 def test_running_total_splits_hot_customer(skewed, monkeypatch):
     eager_split(monkeypatch)
     got = A.running_customer_spend(skewed)
@@ -59,7 +85,7 @@ def test_outer_joins_with_hot_customer(skewed):
 
 
 def test_rank_with_hot_nation(spark, monkeypatch):
-    eager_split(monkeypatch)
+    monkeypatch.setattr(skew, "TASK_ROWS", 500)
     base = Tables.from_dir(spark, SF001)
     cust = base.customer.withColumn(
         "c_nationkey", F.when(F.col("c_custkey") % 2 == 0, F.lit(3)).otherwise(F.col("c_nationkey")))
@@ -86,19 +112,14 @@ def test_pareto_splits_global_running_sum(spark, monkeypatch):
     assert same(got, plain)
 
 
-def test_streaks_with_hot_customer(skewed, monkeypatch):
-    # the split is decided on the raw orders, where customer 7 is hot
+def test_streaks_are_not_split_for_a_hot_customer(skewed, monkeypatch):
+    # its distinct months are bounded by the calendar
     eager_split(monkeypatch)
-    split = A.order_streaks(skewed)
-    assert "_rk_chunk" in split._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(skew, "TASK_ROWS", 10**12)
-    plain = A.order_streaks(skewed)
-    assert "_rk_chunk" not in plain._jdf.queryExecution().analyzed().toString()
-    assert same(split, plain)
+    assert "_rk_chunk" not in A.order_streaks(skewed)._jdf.queryExecution().analyzed().toString()
 
 
 SPLIT_QUERIES = ("a10_running_total", "a13_spread_median", "a14_rank_within_group",
-                 "a16_ntile", "a18_pareto", "a20_gaps_and_islands")
+                 "a16_ntile", "a18_pareto")
 
 
 @pytest.mark.parametrize("name", SPLIT_QUERIES)
@@ -109,8 +130,8 @@ def test_forced_split_matches_duckdb(spark, monkeypatch, name):
     import relkit.operators.scan as scan
     from oracle import compare, duck
     from relkit.catalog import BY_NAME
-    monkeypatch.setattr(scan, "split_needed", lambda *a, **k: True)
-    monkeypatch.setattr(analytics, "split_needed", lambda *a, **k: True)
+    monkeypatch.setattr(scan, "split_chunks", lambda *a, **k: 8)
+    monkeypatch.setattr(analytics, "split_chunks", lambda *a, **k: 8)
     q = BY_NAME[name]
     ok, msg = compare(q.run(spark, SF001), duck(SF001), q.sql)
     assert ok, msg

@@ -11,6 +11,7 @@ from oracle import rows_of
 from relkit.plans import procedures as P
 from relkit.plans import views as V
 from relkit.sources import Tables
+from relkit.sources.summary import versions
 
 
 def bag(df):
@@ -76,7 +77,7 @@ def test_one_year_refresh_keeps_other_years(spark, scratch_dir):
     full = bag(P.refresh_order_summary(t, out))
     after = bag(P.refresh_order_summary(t, out, year=1997))
     assert after == full
-    total = spark.read.parquet(out).agg(F.sum("n_orders")).collect()[0][0]
+    total = spark.read.parquet(versions(spark, out)[-1]).agg(F.sum("n_orders")).collect()[0][0]
     assert total == 15000
 
 
@@ -136,3 +137,97 @@ def test_versioned_refresh_switches_view(spark, scratch_dir):
     # a version is never overwritten
     with pytest.raises(Exception):
         P.publish_order_summary(full, base, version="1")
+
+
+def test_earlier_frames_stay_readable(spark, scratch_dir):
+    t = Tables.from_dir(spark, SF0001)
+    for name, build in (("v", V.frequent_customers_view), ("p", P.refresh_order_summary)):
+        where = os.path.join(scratch_dir, name)
+        first = build(t, where)
+        build(t, where)
+        assert first.count() >= 0 and build(t, where).count() == first.count()
+    first = P.segment_report_script(t, location=os.path.join(scratch_dir, "s"))
+    P.segment_report_script(t, 1e12, location=os.path.join(scratch_dir, "s"))
+    assert first.count() == 5
+
+
+def test_emptied_year_disappears(spark, scratch_dir):
+    full = Tables.from_dir(spark, SF001)
+    out = os.path.join(scratch_dir, "summary")
+    P.refresh_order_summary(full, out)
+    without = Tables.from_frames(spark, orders=full.orders.where(F.year("o_orderdate") != 1996))
+    years = {r.year for r in P.refresh_order_summary(without, out, year=1996).select("year").distinct().collect()}
+    assert 1996 not in years and 1997 in years
+
+
+def test_failed_write_leaves_the_old_version(spark, scratch_dir):
+    from relkit.sources import summary
+    t = Tables.from_dir(spark, SF0001)
+    out = os.path.join(scratch_dir, "summary")
+    before = bag(P.refresh_order_summary(t, out))
+    broken = P.order_summary(t).withColumn("n_orders", F.raise_error(F.lit("no")).cast("bigint"))
+    with pytest.raises(Exception):
+        summary.publish(broken, out)
+    newest = summary.versions(spark, out)
+    assert len(newest) == 1 and bag(spark.read.schema(P.SUMMARY_SCHEMA).parquet(newest[-1])) == before
+
+
+def test_old_versions_are_removed_on_request(spark, scratch_dir):
+    from relkit.sources import summary
+    t = Tables.from_dir(spark, SF0001)
+    out = os.path.join(scratch_dir, "summary")
+    for _ in range(4):
+        last = P.refresh_order_summary(t, out)
+    assert len(summary.remove_old_versions(spark, out, keep=1)) == 3
+    assert len(summary.versions(spark, out)) == 1 and last.count() > 0
+
+
+@pytest.mark.parametrize("out, ok", [
+    ("{root}/summary", False), ("file:{root}/x", False), ("file://{root}", False), ("{parent}", False),
+    ("{root}/../{name}/y", False), ("{root}0/out", True)])
+def test_input_folders_are_compared_as_paths(spark, out, ok):
+    from relkit.sources.summary import refuse_input_folder
+    parent, name = os.path.split(SF0001)
+    path = out.format(root=SF0001, parent=parent, name=name)
+    if ok:
+        refuse_input_folder(spark, path, [SF0001])
+    else:
+        with pytest.raises(ValueError):
+            refuse_input_folder(spark, path, [SF0001])
+
+
+def test_frames_refuse_their_own_files(spark, scratch_dir):
+    src = os.path.join(scratch_dir, "o")
+    Tables.from_dir(spark, SF0001).orders.write.parquet(src)
+    t = Tables.from_frames(spark, orders=spark.read.parquet(src))
+    with pytest.raises(ValueError):
+        P.refresh_order_summary(t, src + "/summary")
+
+
+def test_paths_with_quotes(spark, scratch_dir):
+    t = Tables.from_dir(spark, SF0001)
+    odd = os.path.join(scratch_dir, "it's a `folder`")
+    assert P.segment_report_script(t, location=odd + "/s").count() == 5
+    assert P.publish_order_summary(t, odd + "/p").count() > 0
+    assert V.frequent_customers_view(t, odd + "/v").count() >= 0
+
+
+def test_missing_or_retyped_columns_raise(spark, scratch_dir):
+    part = spark.read.parquet(f"{SF0001}/part.parquet")
+    for k, df in enumerate((part.drop("p_size"), part.withColumn("p_size", F.col("p_size").cast("string")))):
+        root = os.path.join(scratch_dir, f"d{k}")
+        df.write.parquet(f"{root}/part.parquet")
+        with pytest.raises(ValueError, match="p_size"):
+            Tables.from_dir(spark, root).part
+
+
+def test_output_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    import relkit.session as session
+    monkeypatch.setattr(session, "_local", lambda s: False)
+    with pytest.raises(RuntimeError):
+        session.output_dir(spark)
+    spark.conf.set(session.OUTPUT_DIR, "/shared/out")
+    try:
+        assert session.output_dir(spark) == "/shared/out"
+    finally:
+        spark.conf.unset(session.OUTPUT_DIR)
