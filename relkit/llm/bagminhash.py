@@ -15,10 +15,11 @@ Signatures are cut into bands.  Texts of equal words are one class, so
 copies are neither banded nor compared.  In a bucket, every class is
 compared with one leader; a few rounds with different leaders join almost
 all of a group, and compare only classes that are still apart.  At last,
-classes of one bucket that are still in different groups are compared with
-each other, so no pair that shares a bucket goes unjudged unless it is
-already joined.  A comparison is the exact multiset overlap of all
-shingles (64-bit names).  Groups are the connected components.
+classes of one bucket that are still in different groups meet block by
+block inside tasks, by 32-bit shingle names, so no pair that shares a
+bucket goes unjudged unless it is already joined; only pairs found near
+leave the task.  Every link is verified by the exact multiset overlap of
+all shingles (64-bit names).  Groups are the connected components.
 
 With 25 bands of 5 a pair at similarity 0.8 shares a bucket with
 probability 0.99995.
@@ -40,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relkit.llm.common import pinned
+from relkit.llm.common import key_runs, parts_for, pinned, shuffle_partitions
 from relkit.llm.components import components
 
 WORDS = 5
@@ -49,6 +50,9 @@ BANDS, ROWS = 25, 5
 #: Leaders of a bucket: the least number after a bitwise "xor" with each.
 LEADERS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
 BROADCAST_ROWS = 1_000_000
+BLOCK = 256                       # members of a bucket that are compared at a time
+_NAMES = 4096                     # columns of an incidence matrix
+_SLACK = 0.01                     # for equal short names of different shingles
 _BATCH = 300_000                  # shingles whose processes are drawn together
 
 _U = np.uint64
@@ -214,16 +218,100 @@ def _judge(threshold: float):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    size = F.length("names")
-    x = sets.select(F.col("id").alias("a"), F.col("names").alias("x"), size.alias("nx"))
-    y = sets.select(F.col("id").alias("b"), F.col("names").alias("y"), size.alias("ny"))
-    close = F.least("nx", "ny") >= threshold * F.greatest("nx", "ny")
-    sized = pairs.join(x.drop("x"), "a").join(y.drop("y"), "b").where(close).select("a", "b").distinct()
-    return (sized.join(x.drop("nx"), "a").join(y.drop("ny"), "b").select("a", "b", "x", "y")
+def _links(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose multisets overlap enough.  Pairs of too different
+    size are left out first, and only the sets that are asked for move."""
+    na, nb = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
+    close = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+    sized = pairs.join(na, "a").join(nb, "b").where(close).select("a", "b").distinct()
+    asked = _few(pinned(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
+    own = sets.join(asked, "id", "left_semi")
+    x = own.select(F.col("id").alias("a"), F.col("names").alias("x"))
+    y = own.select(F.col("id").alias("b"), F.col("names").alias("y"))
+    return (sized.join(x, "a").join(y, "b").select("a", "b", "x", "y")
                  .mapInPandas(_judge(threshold), "a bigint, b bigint"))
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _named32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        short = [np.unique((np.frombuffer(x, _U) >> _U(32)).astype(np.uint32)).tobytes()
+                 for x in batch.column("names").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(short, pa.binary())], ["rep", "names"])
+
+
+def common_names(held: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Number of common names of each pair (held x other): products of
+    incidence matrices over slices of the names that occur on both sides."""
+    out = np.zeros((len(held), len(other)), np.float32)
+    own = np.concatenate([*held, *other])
+    doc = np.repeat(np.arange(len(held) + len(other)), [len(x) for x in (*held, *other)])
+    order = np.argsort(own, kind="stable")
+    own, doc = own[order], doc[order]
+    number = np.cumsum(np.append(0, own[1:] != own[:-1])) if len(own) else own
+    left = np.zeros(number[-1] + 1 if len(number) else 0, bool)
+    right = left.copy()
+    left[number[doc < len(held)]] = True
+    right[number[doc >= len(held)]] = True
+    shared = left & right
+    keep = shared[number] if len(number) else np.zeros(0, bool)
+    number, doc = (np.cumsum(shared) - 1)[number[keep]] if keep.any() else number[:0], doc[keep]
+    for a in range(0, int(shared.sum()), _NAMES):
+        i, j = np.searchsorted(number, [a, a + _NAMES])
+        m = np.zeros((len(held) + len(other), _NAMES), np.float32)
+        m[doc[i:j], number[i:j] - a] = 1
+        out += m[:len(held)] @ m[len(held):].T
+    return out
+
+
+def _unit_links(threshold: float):
+    """For each unit (two blocks of a bucket, or one with itself), pairs of
+    different groups that overlap enough by short names: the best pair of
+    each two groups, and all pairs too near the threshold to tell."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for unit in key_runs(batches, ["bucket", "i", "j"]):
+            held, other = unit[unit["role"] == 0], unit[unit["role"] == 1]
+            if unit["i"].iloc[0] == unit["j"].iloc[0]:
+                other = held
+            if not len(held) or not len(other):
+                continue
+            x, y = ([np.frombuffer(n, np.uint32) for n in f["names"]] for f in (held, other))
+            common = common_names(x, y)
+            total = np.array([len(n) for n in x])[:, None] + np.array([len(n) for n in y])[None] - common
+            near = np.where(total > 0, common / np.maximum(total, 1), 0)
+            rx, ry = held["root"].to_numpy(), other["root"].to_numpy()
+            i, j = np.nonzero((near >= threshold - _SLACK) & (rx[:, None] != ry[None]))
+            if not len(i):
+                continue
+            a, b = held["rep"].to_numpy()[i], other["rep"].to_numpy()[j]
+            got = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "near": near[i, j],
+                                "ra": np.minimum(rx[i], ry[j]), "rb": np.maximum(rx[i], ry[j])})
+            best = ~got.sort_values("near", ascending=False).duplicated(["ra", "rb"]).reindex(got.index)
+            yield got.loc[best | (got["near"] < threshold + _SLACK), ["a", "b"]]
+    return run
+
+
+def _across(members: DataFrame, sets: DataFrame, threshold: float, parts: int) -> DataFrame:
+    """Pairs of bucket mates in different groups that may be near.  Members
+    (bucket, rep, root, blocks) meet inside tasks, block by block; only
+    near pairs come out."""
+    asked = _few(pinned(members.select("rep").distinct()))
+    short = (sets.withColumnRenamed("id", "rep").join(asked, "rep", "left_semi")
+                 .mapInArrow(_named32, "rep bigint, names binary"))
+    b = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    held = F.transform(F.filter(every, lambda j: j >= b), lambda j: F.struct(b.alias("i"), j.alias("j"), F.lit(0).alias("role")))
+    other = F.transform(F.filter(every, lambda i: i < b), lambda i: F.struct(i.alias("i"), b.alias("j"), F.lit(1).alias("role")))
+    units = members.withColumn("u", F.explode(F.concat(held, other)))
+    work = (units.select("bucket", "u.i", "u.j", "u.role", "rep", "root").join(short, "rep")
+                 .repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "role"))
+    return work.mapInPandas(_unit_links(threshold), "a bigint, b bigint").distinct()
+
+
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs a < b whose groups differ."""
     ga = groups.select(F.col("node").alias("a"), F.col("root").alias("ra"))
@@ -245,12 +333,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = classes.select("rep", F.explode("buckets").alias("bucket"))
     heads = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *[
         F.min(F.col("rep").bitwiseXOR(F.lit(s))).alias(f"l{k}") for k, s in enumerate(leaders)])
-    members = pinned(banded.join(heads.where("n > 1").drop("n"), "bucket"))
-    found = members.select(F.col("rep").alias("id")).distinct()
-    if found.count() <= BROADCAST_ROWS:
-        found = F.broadcast(found)
+    heads = pinned(heads.where("n > 1"))
+    # Rows of the members table, and so a bound on the pairs of a round.
+    parts = parts_for(docs.sparkSession, heads.agg(F.sum("n")).first()[0] or 0)
+    members = pinned(banded.join(heads.drop("n"), "bucket").repartition(parts))
+    found = _few(members.select(F.col("rep").alias("id")).distinct())
     sets = pinned(own.join(found, "id", "left_semi")
                      .mapInArrow(_named_sets(words), "id bigint, names binary").distinct())
+    sizes = pinned(sets.select("id", F.length("names").alias("n")))
 
     tested = links = groups = None
 
@@ -258,7 +348,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """Compares pairs not yet compared, and joins groups."""
         nonlocal tested, links, groups
         fresh = pinned(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        got = pinned(_links(fresh, sets, threshold))
+        got = pinned(_links(fresh, sets, sizes, threshold).repartition(parts))
         tested = fresh if tested is None else tested.unionByName(fresh)
         links = got if links is None else links.unionByName(got)
         groups = pinned(components(links))
@@ -266,16 +356,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for k, s in enumerate(leaders):
         leader = F.col(f"l{k}").bitwiseXOR(F.lit(s))
         pairs = (members.select(F.least("rep", leader).alias("a"), F.greatest("rep", leader).alias("b"))
-                        .where("a < b").distinct())
+                        .where("a < b").distinct().coalesce(parts))
         judged(pairs if groups is None else _apart(pairs, groups))
     grouped = members.select("bucket", "rep").join(
         groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "bucket", "rep", F.coalesce("root", "rep").alias("root"))
-    mixed = grouped.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("mixed")).where("mixed")
-    open_ = pinned(grouped.join(mixed.select("bucket"), "bucket"))
-    other = open_.select("bucket", F.col("rep").alias("b"), F.col("root").alias("rb"))
-    judged(open_.join(other, "bucket").where("rep < b and root != rb")
-                .select(F.col("rep").alias("a"), "b").distinct())
+    sized = grouped.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("mixed"),
+                                          F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    open_ = pinned(grouped.join(sized.where("mixed").drop("mixed"), "bucket"))
+    judged(_across(open_, sets, threshold, shuffle_partitions(docs.sparkSession)))
     groups = groups.select(F.col("node").alias("rep"), "root")
     by_class = classes.select("key", "rep").join(groups, "rep", "left") \
                       .select("key", "rep", F.coalesce("root", "rep").alias("root"))
@@ -295,9 +384,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     again = pinned(judged.where("_own is not null").groupBy("_own").agg(F.count(F.lit(1)).alias("n"))
                          .where("n > 1").select("_own"))
     own = F.col(id_col).cast("bigint")
-    few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-    left = docs.withColumn("_own", own).join(few(gone), "_own", "left_anti")
-    repeated = few(again)
+    left = docs.withColumn("_own", own).join(_few(gone), "_own", "left_anti")
+    repeated = _few(again)
     once = left.join(repeated, "_own", "left_anti")
     one = left.join(repeated, "_own", "left_semi").dropDuplicates(["_own"])
     return once.unionByName(one).select(*docs.columns)

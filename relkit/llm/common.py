@@ -7,7 +7,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from relkit.session import ensure_checkpoint_dir
 
@@ -27,9 +26,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hash_join_key(*cols: str):
-    """One struct column to join on, so that nulls compare as equal."""
-    return F.struct(*cols)
+def parts_for(spark: SparkSession, rows: int, each: int = 100_000) -> int:
+    """Partitions for a table of small rows: never more than the session's."""
+    return max(1, min(shuffle_partitions(spark), -(-rows // each)))
 
 
 def key_runs(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relkit.llm.common import pinned
+from relkit.llm.common import parts_for, pinned
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _mark(edges: DataFrame) -> tuple[int, object]:
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -24,16 +23,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     before, now = None, _mark(edges)
     while now != before:
+        parts = parts_for(links.sparkSession, 2 * now[0])        # both steps keep within twice the links
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.where(F.col("v") > F.col("u")).join(least, "u")
                      .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        large = pinned(large)
+        large = pinned(large.coalesce(parts))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(least, "u").select("u", "v", "m")
         small = (hung.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
                      .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        edges = pinned(small)
+        edges = pinned(small.coalesce(parts))
         before, now = now, _mark(edges)
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
                  .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")))
