@@ -1,0 +1,218 @@
+"""Chunk recipes, license templates, pseudonyms and packing against plain
+versions."""
+
+import datetime
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from relkit.llm import chunk_recipes as C
+from relkit.llm import license_templates as L
+from relkit.llm import pseudonyms as P
+from relkit.llm import tier_packing as K
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id long, text string, source string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, None) for i, t in rows], SCHEMA).withColumns(
+        {c: F.lit("clash") for c in ("id", "recipe", "key", "length", "kept")})
+
+
+def random_texts(seed):
+    rng = random.Random(seed)
+    words = ["alpha", "Beta", "größe", "naïve", "zeta,", "x1", "日本", "\n", "gnu", "general", "public", "license", "mit"]
+    long = " ".join(rng.choice(words) for _ in range(60_000))
+    texts = ["", None, " ", "a", long, long, long[:-1], long + "x", "x" + long[5000:]]
+    texts += [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 900))) for _ in range(30)]
+    return [(i, t) for i, t in enumerate(texts + texts[:12])] + [(None, "a"), (3, "a")]
+
+
+def test_recipes_match_whole_texts(spark):
+    rows = random_texts(1)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t or "", []).append(i)
+    want = []
+    for i, t in rows:
+        keep = max((x for x in groups[t or ""] if x is not None), default=None)
+        want.append((i, keep, len(groups[t or ""]), i == keep, hashlib.sha256((t or "").encode()).hexdigest()))
+    got = C.dedup(frame(spark, rows)).drop("n_chunks").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert C.dedup(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_chunks_follow_the_content():
+    rng = np.random.default_rng(0)
+    a = rng.integers(32, 127, 200_000, np.uint8)
+    b = np.concatenate([rng.integers(32, 127, 777, np.uint8), a])
+    def chunks(x):
+        ends = next(C.cuts(x, np.array([0]), np.array([len(x)])))
+        assert ends[-1] == len(x)
+        return [x[i:j].tobytes() for i, j in zip([0, *ends], ends)]
+    x, y = chunks(a), chunks(b)
+    assert b"".join(x) == a.tobytes() and b"".join(y) == b.tobytes()
+    assert len(set(x) & set(y)) > 0.95 * len(x)
+    # a text's cuts do not depend on what stands before it in the buffer
+    both = np.concatenate([b, a])
+    ends = list(C.cuts(both, np.array([0, len(b)]), np.array([len(b), len(both)])))[1]
+    assert [e - len(b) for e in ends] == next(C.cuts(a, np.array([0]), np.array([len(a)])))
+
+
+def test_colliding_names_are_found(spark, monkeypatch):
+    monkeypatch.setattr(C, "_chunks", lambda seed: lambda batches: (
+        __import__("pyarrow").RecordBatch.from_pydict({"name": [b"n", b"n"], "chunk": [b"a", b"b"]}) for _ in batches))
+    with pytest.raises(RuntimeError):
+        C.dedup(frame(spark, [(1, "a"), (2, "b")]))
+
+
+def plain_scan(text):
+    t = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
+    found = [(i, label) for phrase, label in L.BASE for i in range(len(words))
+             if words[i:i + len(phrase.split())] == phrase.split()]
+    at = [i for i, _ in found]
+    return (len(words), len(found), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in found})))
+
+
+def test_base_phrases_match_a_plain_scan(spark, monkeypatch):
+    monkeypatch.setattr(L, "_BLOCK", 5000)
+    rows = random_texts(2) + [(500, "CC BY-NC 4.0 cc. by MIT\nLicense; GNU general-public LICENSE apache license")]
+    scanner = L.Scanner([x[0] for x in L.BASE] + [x[1] for x in L.TEMPLATES])
+    for _, t in rows:                               # blocks of another size, here
+        n, found = scanner.scan((t or "").encode())
+        assert (n, len([1 for k, _, _ in found if k < 4])) == plain_scan(t)[:2]
+    got = {str((r.doc_id, *plain_scan(None)[:0], r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels))
+           for r in L.scan(frame(spark, rows)).collect()}
+    assert got == {str((i, *plain_scan(t))) for i, t in rows}
+    assert L.scan(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_templates_need_their_mandatory_words():
+    name = {t: k for k, (t, _) in enumerate(L.TEMPLATES)}
+    scanner = L.Scanner([x for _, x in L.TEMPLATES])
+    def labels(text):
+        return {L.TEMPLATES[t][0] for t, _, _ in scanner.scan(text.encode())[1]}
+    full = re.sub(r"<<var.*?>>", "as follows:", dict(L.TEMPLATES)["mit-text"])
+    plain = re.sub(r"<<.*?>>", "", full)
+    without = re.sub(r"<<beginOptional>>.*?<<endOptional>>", "", full, flags=re.S)
+    assert "mit-text" in labels(plain) & labels(without) & labels(plain.upper())
+    assert "mit-text" not in labels(plain.replace("sublicense", "share"))
+    assert labels("Released under the MIT License.") == {"mit-notice"}
+    assert labels("Copyright (c) 2020 Some Name, all rights reserved") == {"all-rights-reserved"}
+    assert labels("Copyright " + "x " * 9 + "all rights reserved") == set()
+    assert "gpl-3.0-notice" in labels("This work is licensed under the GNU General Public License, version 3.")
+    assert len(name) == len(L.TEMPLATES)
+    for bad in ("a <<endOptional>>", "a <<beginOptional>> b", "a <<what>>", "<<var;words=0..2>> a", "<<beginOptional>>a<<endOptional>>"):
+        with pytest.raises(ValueError):
+            L.compile_templates([bad])
+
+
+def test_feistel_is_a_permutation_and_turns_back():
+    f = P.Feistel(b"k")
+    for n in (1, 2, 3, 10, 97, 1000):
+        assert sorted(f.apply(n, x, "t") for x in range(n)) == list(range(n))
+        assert all(f.apply(n, f.apply(n, x, "t"), "t", back=True) == x for x in range(n))
+
+
+VALUES = ["4944339490429605", "4944 3394 9042 9605", "+1 (386) 555-3733", "61.131.143.218", "a.b-9@mail8.example.com",
+          "2020-02-29", "02/28/1999", "13/12/2001", "3.4.2010", "123-45-6789", "GB82 WEST 1234 5698 7654 32",
+          "DE89370400440532013000", "(386) 555-3733"]
+
+
+@pytest.mark.parametrize("value", VALUES)
+def test_values_keep_their_format_and_link(value):
+    own = P.Pseudonymiser(b"key")
+    text = f"before {value}, again {value} end."
+    new, found = own.text(text)
+    a, b = re.match(r"before (.*), again (.*) end\.", new).groups()
+    assert a == b and len(found) == 2 and text[found[0][0]:found[0][1]] == value
+    assert re.sub(r"\d", "0", re.sub("[a-z]", "a", a)) == re.sub(r"\d", "0", re.sub("[a-z]", "a", value)) \
+        or found[0][2] == "ip"
+    assert own.text(a)[1][0][2] == found[0][2]                # the pseudonym is valid too
+    assert own.text(new, back=True)[0] == text
+    assert a != value and P.Pseudonymiser(b"other").text(text)[0] != new
+
+
+def test_dates_turn_back():
+    own = P.Pseudonymiser(b"key")
+    for i in range(0, 50_000, 333):
+        d = datetime.date(1930, 1, 1) + datetime.timedelta(i)
+        for t in (d.isoformat(), f"{d.day}.{d.month}.{d.year}", f"{d.month}/{d.day}/{d.year}", d.strftime("%d/%m/%Y")):
+            assert own.text(own.text(t)[0], back=True)[0] == t
+
+
+def test_invalid_values_stay(spark):
+    texts = ["card 4944339490429606", "day 2021-02-29", "host 300.1.1.1", "version 1.2.3", "ssn 000-12-3456",
+             "token 0641917ea4e9feb9cda83477b57ac2654884f485", "GB83 WEST 1234 5698 7654 32", "", None, "5 < 6 @ 7"]
+    rows = P.pseudonymise(frame(spark, list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.text for r in rows} == dict(enumerate(texts)) and not any(r.spans for r in rows)
+    df = frame(spark, [(None, VALUES[0]), (1, VALUES[0]), (1, VALUES[0])])
+    got = P.pseudonymise(df)
+    assert {r.doc_id for r in got.collect()} == {None, 1} and len({r.text for r in got.collect()}) == 1
+    assert {r.text for r in P.pseudonymise(got, back=True).collect()} == {VALUES[0]}
+    assert P.pseudonymise(df.limit(0)).count() == 0
+
+
+def check_packing(rows, got):
+    tok = Tokenizer.from_file(TOKENIZER)
+    want = sorted([(str(i), tuple(tok.encode(t or "", add_special_tokens=False).ids) + (0,)) for i, t in rows])
+    pieces = {}
+    for r in got:
+        pieces.setdefault((str(r.doc_id), r.doc_tokens), []).append(r)
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    for (i, ids), n in Counter(want).items():
+        own = [r for r in pieces[i, len(ids)] if crc(ids[r.start:r.start + r.length]) == r.ids_crc32]
+        times = np.zeros(len(ids), int)
+        for r in own:
+            times[r.start:r.start + r.length] += 1
+        assert (times >= n).all()
+    assert sum(r.length for r in got) == sum(len(ids) for _, ids in want)
+    sequences = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == sequences.get(r.sequence_id, 0)
+        sequences[r.sequence_id] = r.offset + r.length
+    window = {r.sequence_id: r.window for r in got}
+    assert all(n == window[s] <= 1024 and n & (n - 1) == 0 for s, n in sequences.items())
+    return sequences
+
+
+def test_packing_covers_every_id_once(spark):
+    rows = random_texts(3) + [(600, "end <|endoftext|> of text"), (601, "a" * 5000), (602, " " * 3000)]
+    got = K.pack_documents(frame(spark, rows), TOKENIZER).collect()
+    check_packing(rows, got)
+    small = K.pack_documents(frame(spark, rows), TOKENIZER, pool_tokens=3000, step_tokens=4096).collect()
+    check_packing(rows, small)
+    steps = {}
+    for r in got:
+        steps.setdefault((r.step_group, r.window), set()).add(r.sequence_id)
+    assert max(len(s) * w for (_, w), s in steps.items()) <= K.STEP_TOKENS
+    assert K.pack_documents(frame(spark, rows).limit(0), TOKENIZER).count() == 0
+
+
+def test_long_texts_go_to_the_general_tokenizer(monkeypatch):
+    tok = K.tokenizer(TOKENIZER)
+    text = "Some words, größer 日本 123  \n\n tail " * 40
+    fast = tok.ids(text).tolist()
+    monkeypatch.setattr(K, "LONG_TEXT", 10)
+    assert tok.ids(text).tolist() == fast == Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_windows_are_full(seed):
+    rng = random.Random(seed)
+    lengths = [rng.choice([1, 30, 200, 300, 700, 1024, 1500, 5000]) + rng.randrange(9) for _ in range(rng.randrange(1, 200))]
+    for last in (False, True):
+        windows, rest = K.pack(lengths, K.TIERS, last)
+        assert all(sum(n for _, _, n in ps) == size for size, ps in windows)
+        assert sum(size for size, _ in windows) + sum(n for _, _, n in rest) == sum(lengths)
+        assert not (last and rest) and sum(n for _, _, n in rest) < 2048
