@@ -1,15 +1,20 @@
 """Line deduplication by a segment-partition edit join, in DataFrame
 functions only.
 
-Two lines are linked if their edit distance is at most ``edits``.  Every
-line is cut into ``edits + 1`` segments whose lengths depend on its length
-alone; of two linked lines, one segment of the shorter stands unchanged in
-the longer, shifted by no more than the edits before and after it allow.
-So a line has ``edits + 1`` index keys (its length, the segment's number
-and text) and, for each length up to ``edits`` shorter, probe keys for the
-few substrings that can match.  Keys that two different lines share are
-found by an aggregate over 64-bit keys (combined map-side, so a line that
-repeats costs one row a task); only rows with such a key are kept.
+Two lines are linked if their edit distance is at most ``edits``.  Lines
+are put into classes by length, and every line of a class is cut into
+``edits + 1`` segments of one length, the last at the line's end.  Of two
+linked lines one segment of either stands unchanged in the other, shifted
+by no more than its number, or, the last one, not at all from the end.  So
+a line has ``edits + 1`` index keys (class, segment's number and text), a
+few probe keys at shifted places, and the same in the class below if a
+line there can be linked.  Keys that two different lines share are found
+by an aggregate over 64-bit keys (combined map-side, so a line that
+repeats costs one row a task); only rows with such a key are kept.  The
+rest of the line beside the shared segment is then cut and keyed in the
+same way, so lines that share one segment by chance do not meet; and of
+eight chunks of a line, all but ``edits`` must be found again in the other,
+or the pair does not leave the join.
 
 Candidates are verified by banded bit-parallel edit distance: after the
 common start and end are cut off, one bit for each diagonal of the band
@@ -29,15 +34,19 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relkit.llm.common import pinned
+from relkit.llm.common import parts_for, pinned
 from relkit.llm.components import components
 
 EDITS = 2
 MIN_CHARS = 24
+CLASS = 8                        # lengths of a class; segments are as long for all of them
 BROADCAST_ROWS = 1_000_000
+CHUNKS = 8                       # of a line, to sort out candidates
 FIRST_CHARS = 12                 # characters that sort out false candidates
 
 
@@ -52,45 +61,99 @@ def _names() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line", "chars").alias("h2")]
 
 
-def _segment(length: Column, number: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of a segment of a line of this length: the
-    last ones are longer where it does not divide."""
-    short, longer = F.floor(length / parts), length % parts
-    start = short * number + F.greatest(F.lit(0), F.lit(number) - (F.lit(parts) - longer))
-    return start.cast("int"), (short + F.when(F.lit(number) >= F.lit(parts) - longer, 1).otherwise(0)).cast("int")
+def _base(chars: Column) -> Column:
+    """Least length of a line's class; segment lengths follow from it."""
+    return (F.floor(chars / CLASS) * CLASS).cast("int")
+
+
+def _pieces(edits: int, start: Column, end: Column, size: Column) -> list[tuple[int, int, Column, Column]]:
+    """The segments of a part that can be found after ``edits`` changes, as
+    (number, shift, start, length).  One segment stays unchanged that has
+    as many changes before it as its number says, so it is shifted by no
+    more, and the last one, with no change after it, not from the end."""
+    out = [(n, shift, start + size * n + shift, size) for n in range(edits) for shift in range(-n, n + 1)]
+    return [*out, (edits, 0, end - size, size)]
+
+
+def _plan(edits: int) -> list[tuple[int, int]]:
+    """Number and shift of the segments, in the order of the keys."""
+    zero = F.lit(0)
+    return [(n, shift) for n, shift, _, _ in _pieces(edits, zero, zero, zero)]
 
 
 def _keys(edits: int) -> Column:
-    """Index keys (the first edits + 1) and probe keys of a line."""
-    line, chars, parts = F.col("line"), F.col("chars"), edits + 1
-    index, probes = [], []
-    for shorter in range(edits + 1):
-        length = chars - shorter
-        for number in range(parts):
-            start, size = _segment(length, number, parts)
-            for shift in range(-edits, edits + 1):
-                before, after = abs(shift), abs(shorter - shift)
-                # at most number edits before the segment, the others after
-                if before > number or after > edits - number:
-                    continue
-                key = F.xxhash64(length, F.lit(number), F.substring(line, start + shift + 1, size))
-                (index if shorter == 0 and shift == 0 else probes).append(key)
-    return F.array(*index, *probes)
-
-
-def _common_start(x: Column, y: Column, longest: int = 1 << 16) -> Column:
-    """Length of the common start, by halving steps (of longer common
-    starts a part)."""
+    """Keys of a line in its class and, if a line of the class below can be
+    linked to it, in that one."""
+    line, chars = F.col("line"), F.col("chars")
+
+    def of(base: Column) -> Column:
+        size = F.floor(base / (edits + 1)).cast("int")
+        return F.array(*[F.xxhash64(base, F.lit(n), F.substring(line, at + 1, size))
+                         for n, _, at, size in _pieces(edits, F.lit(0), chars, size)])
+
+    base = _base(chars)
+    below = (chars - base < edits) & (base >= CLASS)
+    return F.concat(of(base), F.when(below, of(base - CLASS)).otherwise(F.array().cast("array<bigint>")))
+
+
+def _finer(edits: int) -> Column:
+    """Second keys of a row (line, chars, base, k): the rest of the line
+    beside the segment k, on its longer side, holds a bounded number of
+    changes as well and is cut again."""
+    line, chars, base = F.col("line"), F.col("chars"), F.col("base")
+    size = F.floor(base / (edits + 1)).cast("int")
+    out = F.array().cast("array<struct<key2: bigint, index2: boolean>>")
+    for k, (n, shift) in enumerate(_plan(edits)):
+        if n < edits:                      # to the right: the changes not yet made
+            left, start, end = edits - n, size * (n + 1) + shift, chars
+            room = base - size * (n + 1) - edits
+        else:                              # to the left of the last segment
+            left, start, end, room = edits, F.lit(0), chars - size, base - size
+        own = F.greatest(F.lit(0), F.floor(room / (left + 1))).cast("int")
+        keys = F.array(*[F.struct(F.xxhash64(F.lit(m), F.substring(line, at + 1, length)).alias("key2"),
+                                  F.lit(move == 0).alias("index2"))
+                         for m, move, at, length in _pieces(left, start, end, own)])
+        out = F.when(F.col("k") == k, keys).otherwise(out)
+    return out
+
+
+def _chunks(edits: int, probes: bool) -> Column:
+    """Hashes of CHUNKS chunks of a row's line (line, base), at their places
+    or at all places where a linked line can hold them."""
+    line, base = F.col("line"), F.col("base")
+    size = F.floor(base / CHUNKS).cast("int")
+    shifts = range(-edits, edits + 1) if probes else (0,)
+    return F.array_distinct(F.array(*[
+        F.hash(F.lit(m), F.substring(line, F.greatest(F.lit(1), size * m + shift + 1), size))
+        for m in range(CHUNKS) for shift in shifts]))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _common(x: Column, y: Column, part: Callable[[Column, Column, Column], Column], longest: int = 1 << 16) -> Column:
+    """How far x and y have the same part, by halving steps (of longer
+    common parts some)."""
     steps = F.array(*[F.lit(longest >> k) for k in range(longest.bit_length())])
+    most = F.least(F.char_length(x), F.char_length(y))
 
     def more(at: Column, step: Column) -> Column:
-        same = F.substring(x, at + 1, step) == F.substring(y, at + 1, step)
-        fits = (at + step <= F.char_length(x)) & (at + step <= F.char_length(y))
-        return at + F.when(fits & same, step).otherwise(0)
+        same = (at + step <= most) & (part(x, at, step) == part(y, at, step))
+        return at + F.when(same, step).otherwise(0)
 
     return F.aggregate(steps, F.lit(0), more)
 
 
+def _at_start(x: Column, at: Column, step: Column) -> Column:
+    return F.substring(x, at + 1, step)
+
+
+def _at_end(x: Column, at: Column, step: Column) -> Column:
+    return F.substring(x, F.char_length(x) - at - step + 1, step)
+
+
 def _lane(edits: int, value: int) -> int:
     return sum(value << (8 * e) for e in range(edits + 1))
 
@@ -115,35 +178,41 @@ def _advanced(x: Column, y: Column, edits: int, steps: Column) -> Column:
         return band.bitwiseOR(F.shiftleft(band.bitwiseAND(rest), 9).bitwiseAND(every))
 
     def moved(band: Column, i: Column) -> Column:
-        # nested lambdas of one element, so each value is computed once
-        out = F.transform(F.array(step(band, i)), insert)
-        for _ in range(edits - 1):
-            out = F.transform(out, insert)
-        return F.get(out, 0)
+        out = step(band, i)
+        for _ in range(edits):
+            out = _let(out, insert)
+        return out
 
     return F.aggregate(F.when(steps > 0, F.sequence(F.lit(0), steps - 1)).otherwise(F.array().cast("array<int>")),
                        F.lit(begin), moved)
 
 
-def within(pairs: DataFrame, edits: int, x: str = "x", y: str = "y") -> DataFrame:
-    """The pairs whose lines x and y are within ``edits``."""
+def within(x: Column, y: Column, edits: int) -> Column:
+    """Whether two texts are within ``edits``."""
     if not 1 <= edits <= 3:
         raise ValueError("the band has a byte for each number of edits: 1 to 3")
-    own = pairs.columns
-    cut = pairs.withColumn("_n", _common_start(F.col(x), F.col(y)))
-    cut = (cut.withColumn("_x", F.expr(f"substring({x}, _n + 1)")).withColumn("_y", F.expr(f"substring({y}, _n + 1)"))
-              .withColumn("_rx", F.reverse("_x")).withColumn("_ry", F.reverse("_y")))
-    cut = cut.withColumn("_n", _common_start(F.col("_rx"), F.col("_ry")))
-    cut = (cut.withColumn("_x", F.split(F.expr("substring(_x, 1, char_length(_x) - _n)"), ""))
-              .withColumn("_y", F.split(F.expr("substring(_y, 1, char_length(_y) - _n)"), "")))
-    # the split of an empty text is one empty text
-    cut = (cut.withColumn("_x", F.filter("_x", lambda c: c != "")).withColumn("_y", F.filter("_y", lambda c: c != ""))
-              .where(F.abs(F.size("_x") - F.size("_y")) <= edits))
-    alive = _advanced(F.col("_x"), F.col("_y"), edits, F.least(F.size("_x"), F.lit(FIRST_CHARS))) != 0
-    end = F.lit(1) * F.pow(F.lit(2.0), F.size("_y") - F.size("_x") + edits + 8 * edits)
-    full = _advanced(F.col("_x"), F.col("_y"), edits, F.size("_x"))
-    return (cut.withColumn("_alive", alive).where("_alive")
-               .withColumn("_ok", full.bitwiseAND(end.cast("int")) != 0).where("_ok").select(*own))
+
+    def judged(p: Column) -> Column:                     # p: the characters that differ
+        n, m = F.size(p["x"]), F.size(p["y"])
+        alive = _advanced(p["x"], p["y"], edits, F.least(n, F.lit(FIRST_CHARS))) != 0
+        end = sum((F.when(m - n == d, 1 << (d + edits + 8 * edits)).otherwise(0)
+                   for d in range(-edits, edits + 1)), F.lit(0))
+        full = _advanced(p["x"], p["y"], edits, n).bitwiseAND(end) != 0
+        return F.when(F.abs(n - m) > edits, False).when(~alive, False).otherwise(full)
+
+    def letters(text: Column, start: Column, end: Column) -> Column:
+        middle = F.substring(text, start + 1, F.char_length(text) - start - end)
+        return F.filter(F.split(middle, ""), lambda c: c != "")
+
+    def cut(p: Column) -> Column:                        # p: x, y
+        def both(n: Column) -> Column:
+            rest = lambda t: F.substring(t, n + 1, F.char_length(t))
+            end = _let(F.struct(rest(p["x"]).alias("x"), rest(p["y"]).alias("y")),
+                       lambda q: _common(q["x"], q["y"], _at_end))
+            return _let(end, lambda m: F.struct(letters(p["x"], n, m).alias("x"), letters(p["y"], n, m).alias("y")))
+        return _let(_common(p["x"], p["y"], _at_start), both)
+
+    return _let(_let(F.struct(x.alias("x"), y.alias("y")), cut), judged)
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -158,24 +227,42 @@ def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (different lines within ``edits``) and kept."""
     lines = _lines(docs, id_col, text_col)
     judged = lines.where(F.col("chars") >= min_chars)
-    keyed = judged.select(*_names(), F.posexplode(_keys(edits)).alias("k", "key"))
-    keyed = keyed.withColumn("index", F.col("k") <= edits).drop("k")
+    plan = _plan(edits)
+    keyed = judged.select(*_names(), F.col("chars"), F.posexplode(_keys(edits)).alias("pos", "key"))
+    k = (F.col("pos") % len(plan)).cast("int")
+    index = k.isin([i for i, (_, shift) in enumerate(plan) if shift == 0])
     shared = pinned(keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"),
-                                             F.max("index").alias("index"))
+                                             F.max(index).alias("index"))
                          .where("lo != hi and index").select("key"))
-    rows = pinned(keyed.join(_bounded(shared), "key").distinct())
+    base = _base(F.col("chars")) - F.when(F.col("pos") >= len(plan), CLASS).otherwise(0)
+    rows = pinned(keyed.join(_bounded(shared), "key")
+                       .select("key", "h1", "h2", k.alias("k"), base.alias("base"), index.alias("index")).distinct())
     wanted = _bounded(pinned(rows.select("h1").distinct()))
-    named = judged.select("line", *_names()).join(wanted, "h1", "left_semi")
-    texts = pinned(named.groupBy("h1", "h2").agg(F.first("line").alias("line")))
+    named = judged.select("line", "chars", *_names()).join(wanted, "h1", "left_semi")
+    texts = pinned(named.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("chars").alias("chars")))
     texts = pinned(texts.withColumn("lid", F.monotonically_increasing_id()))
-    at = pinned(rows.join(texts.select("h1", "h2", "lid"), ["h1", "h2"]).select("key", "index", "lid").distinct())
-    a = at.where("index").select("key", F.col("lid").alias("a"))
-    b = at.select("key", F.col("lid").alias("b"))
-    pairs = pinned(a.join(b, "key").where("a != b")
-                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    both = (pairs.join(texts.select(F.col("lid").alias("a"), F.col("line").alias("x")), "a")
-                 .join(texts.select(F.col("lid").alias("b"), F.col("line").alias("y")), "b"))
-    links = pinned(within(both, edits).select("a", "b"))
+    parts = parts_for(docs.sparkSession, rows.count())
+    rows = rows.join(texts, ["h1", "h2"])
+    sieve = pinned(rows.select("lid", "base", "line", "chars").dropDuplicates(["lid", "base"])
+                       .select("lid", "base", "line", "chars", _chunks(edits, False).alias("own"),
+                               _chunks(edits, True).alias("places")))
+    fine = (rows.select("key", "base", "index", "lid", F.explode(_finer(edits)).alias("f"))
+                .select("key", "f.key2", "base", (F.col("index") & F.col("f.index2")).alias("index"), "lid")
+                .groupBy("key", "key2", "base", "lid").agg(F.max("index").alias("index")))
+    at = pinned(fine.coalesce(parts))
+    a = (at.where("index").join(sieve.drop("places"), ["lid", "base"])
+           .select("key", "key2", F.col("lid").alias("a"), F.col("chars").alias("ca"), F.col("line").alias("x"), "own"))
+    b = (at.join(sieve.drop("own"), ["lid", "base"])
+           .select("key", "key2", "index", F.col("lid").alias("b"), F.col("chars").alias("cb"),
+                   F.col("line").alias("y"), "places"))
+    # Two index rows meet once; each change spoils one chunk at most.  The
+    # edit distance is taken inside the join, so only links leave it.
+    once = (F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & ~F.col("index"))
+    near = F.abs(F.col("ca") - F.col("cb")) <= edits
+    kept = F.size(F.array_intersect("own", "places")) >= F.size("own") - edits
+    met = a.join(b, (a["key"] == b["key"]) & (a["key2"] == b["key2"]) & once & near & kept
+                 & within(F.col("x"), F.col("y"), edits))
+    links = pinned(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     n_links = (links.select(F.explode(F.array("a", "b")).alias("lid")).groupBy("lid")
                     .agg(F.count(F.lit(1)).alias("n_links")))
     roots = components(links)
