@@ -45,7 +45,8 @@ from relkit.llm.components import components
 EDITS = 2
 MIN_CHARS = 24
 CLASS = 8                        # lengths of a class; segments are as long for all of them
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 1_000_000       # of one number
+BROADCAST_WIDE_ROWS = 250_000    # of up to five numbers
 CHUNKS = 8                       # of a line, to sort out candidates
 FIRST_CHARS = 12                 # characters that sort out false candidates
 
@@ -215,9 +216,9 @@ def within(x: Column, y: Column, edits: int) -> Column:
     return _let(_let(F.struct(x.alias("x"), y.alias("y")), cut), judged)
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Marked for broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -267,7 +268,8 @@ def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .agg(F.count(F.lit(1)).alias("n_links")))
     roots = components(links)
     near = _bounded(pinned(texts.select("h1", "h2", "lid").join(n_links, "lid")
-                                .join(roots.withColumnRenamed("node", "lid"), "lid").drop("lid")))
+                                .join(roots.withColumnRenamed("node", "lid"), "lid").drop("lid")),
+                    BROADCAST_WIDE_ROWS)
     # Place in the table as one number, so that the first line is a minimum.
     place = F.col("id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("no")
     occur = judged.select("id", "no", "chars", *_names(), place.cast("decimal(38,0)").alias("place"))
@@ -281,7 +283,7 @@ def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                F.coalesce("group_n", "n").alias("group_size"),
                                F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")))
     # Only lines that repeat or are linked need their group looked up.
-    many = _bounded(pinned(of_class.where("group_size > 1")))
+    many = _bounded(pinned(of_class.where("group_size > 1")), BROADCAST_WIDE_ROWS)
     found = occur.join(many, ["h1", "h2"], "left")
     first = F.coalesce("first", "place")
     doc = F.floor(first / F.lit(1 << 32)).cast("bigint")
