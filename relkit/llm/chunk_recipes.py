@@ -148,8 +148,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     id_type = own.schema["id"].dataType.simpleString()
     recipes = pinned(own.mapInArrow(_recipes(seed),
                                     f"id {id_type}, recipe binary, text_sha256 string"))
-    groups = recipes.groupBy("recipe").agg(F.max("id").alias("keep_id"),
-                                           F.count(F.lit(1)).alias("group_size"))
+    # Pinned, so that both sides of the join are exchanged for it and the
+    # rows of a recipe that many texts share can be split.
+    groups = pinned(recipes.groupBy("recipe").agg(F.max("id").alias("keep_id"),
+                                                  F.count(F.lit(1)).alias("group_size")))
     return (recipes.join(groups, "recipe")
                    .select(F.col("id").alias(id_col), "keep_id", "group_size",
                            F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
