@@ -284,6 +284,17 @@ QUERIES: list[Query] = [
         SELECT o_custkey, max(len) AS longest_streak, count(*) AS n_streaks
         FROM (SELECT o_custkey, run, count(*) AS len FROM runs GROUP BY o_custkey, run)
         GROUP BY o_custkey""", 1500),
+    Query("a21_cube", A.order_cube, """
+        SELECT o_orderstatus, o_orderpriority,
+               CAST(2 * grouping(o_orderstatus) + grouping(o_orderpriority) AS BIGINT) AS level,
+               count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
+        FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)""", 24),
+    Query("a22_grouping_sets", A.order_grouping_sets, """
+        SELECT year, o_orderstatus, o_orderpriority,
+               CAST(4 * grouping(year) + 2 * grouping(o_orderstatus) + grouping(o_orderpriority) AS BIGINT) AS level,
+               count(*) AS n_orders
+        FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, o_orderpriority FROM orders)
+        GROUP BY GROUPING SETS ((year, o_orderstatus), (year, o_orderpriority))""", 56),
     # --- views ---------------------------------------------------------
     Query("v1_view", V.big_orders, """
         SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate

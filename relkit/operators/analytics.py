@@ -223,6 +223,26 @@ def customers_every_year(t: Tables) -> DataFrame:
              .where(F.col("n_years") == all_years))
 
 
+def order_cube(t: Tables) -> DataFrame:
+    """CUBE: orders and total per status and priority, per status, per
+    priority, and over all.  ``level`` is grouping_id: which of the two is
+    summed over.  One Expand under a partial aggregate, so what is shuffled
+    does not grow with the orders."""
+    return (t.orders.cube("o_orderstatus", "o_orderpriority")
+             .agg(F.grouping_id().cast("bigint").alias("level"),
+                  F.count(F.lit(1)).alias("n_orders"),
+                  money(F.sum("o_totalprice")).alias("total_price")))
+
+
+def order_grouping_sets(t: Tables) -> DataFrame:
+    """GROUPING SETS: orders per (year, status) and per (year, priority),
+    in one pass."""
+    o = t.orders.select(year_of("o_orderdate").alias("year"), "o_orderstatus", "o_orderpriority")
+    year, status, priority = F.col("year"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    return (o.groupingSets([[year, status], [year, priority]], year, status, priority)
+             .agg(F.grouping_id().cast("bigint").alias("level"), F.count(F.lit(1)).alias("n_orders")))
+
+
 def order_streaks(t: Tables) -> DataFrame:
     """Gaps and islands: per customer, the longest run of consecutive
     calendar months with at least one order, and the number of runs.
