@@ -203,7 +203,8 @@ QUERIES: list[Query] = [
         SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
                round(sum(o_totalprice) OVER (PARTITION BY o_custkey
                                              ORDER BY o_orderdate NULLS FIRST,
-                                                      o_orderkey NULLS FIRST
+                                                      o_orderkey NULLS FIRST,
+                                                      o_totalprice NULLS FIRST
                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2)
                  AS running_total
         FROM orders""", 15000),

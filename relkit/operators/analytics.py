@@ -102,10 +102,10 @@ def top_balances_per_nation(t: Tables, n: int = 3) -> DataFrame:
 
 
 def running_customer_spend(t: Tables) -> DataFrame:
-    """Running total of each customer's orders by date (order key breaks
-    ties), split across tasks for customers with very many orders."""
+    """Running total of each customer's orders by date (order key, then
+    price, break ties: keys may be null), split across tasks for customers with very many orders."""
     o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    r = running_sum(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "_run")
+    r = running_sum(o, ["o_custkey"], ["o_orderdate", "o_orderkey", "o_totalprice"], "o_totalprice", "_run")
     return r.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice",
                     money(F.col("_run")).alias("running_total"))
 
