@@ -8,7 +8,8 @@ posterior of every word comes from forward-backward over the whole text;
 the text's language is the one with the largest share of its words.
 
 Fitting takes a bounded sample: of each language the
-``sample_per_language`` documents with the smallest hash of their id, and
+``sample_per_language`` documents with the smallest hash of their id (at
+most ``max_languages`` languages; more are an error), and
 ``segment_words`` consecutive words of each.  Segments of different
 documents are strung together, so that switches are seen.  The model
 (2**bits weights a language, at most ``max_languages`` languages) is
@@ -372,11 +373,17 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     """The bounded training sample, as (language, words)."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     own = rows.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (own.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_per_language)
-                 .select("id", "lang").limit(sample_per_language * max_languages + 1).collect())
-    if len({r.lang for r in chosen}) > max_languages:
+    counts = own.groupBy("lang").agg(F.count(F.lit(1)).alias("of")).limit(max_languages + 1)
+    if counts.count() > max_languages:
         raise ValueError(f"more than {max_languages} languages to learn")
+    # Hashes below a bound that some times the sample's size stay under, so
+    # few rows of a language meet for the choice of the smallest.
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
+    near = place < F.lit(float(1 << 40)) * (4 * sample_per_language) / F.col("of")
+    first = Window.partitionBy("lang").orderBy("place", "id")
+    chosen = (own.join(F.broadcast(counts), "lang").withColumn("place", place).where(near)
+                 .withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_per_language)
+                 .select("id", "lang").collect())
     spark = docs.sparkSession
     if not chosen:
         return []
