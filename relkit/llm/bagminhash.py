@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relkit.llm.common import key_runs, parts_for, pinned, shuffle_partitions
+from relkit.llm.common import key_runs, parts_for, pinned, shuffle_partitions, slices
 from relkit.llm.components import components
 
 WORDS = 5
@@ -53,6 +53,8 @@ BROADCAST_ROWS = 1_000_000
 BLOCK = 256                       # members of a bucket that are compared at a time
 _NAMES = 4096                     # columns of an incidence matrix
 _SLACK = 0.01                     # for equal short names of different shingles
+_KNOWN = 100_000                  # names of words a task remembers
+_TEXTS = 4_000                    # texts whose processes are drawn together, at most
 _BATCH = 300_000                  # shingles whose processes are drawn together
 
 _U = np.uint64
@@ -78,7 +80,7 @@ def shingles(words: list[str], names: _Names, size: int = WORDS) -> np.ndarray:
     if not words:
         return np.empty(0, _U)
     w = np.fromiter(map(names.__getitem__, words), _U, len(words))
-    if len(names) > 300_000:
+    if len(names) > _KNOWN:
         names.clear()
     n = max(1, len(w) - size + 1)
     h = np.full(n, size, _U)
@@ -172,8 +174,8 @@ def _signed(bands: int, rows: int, size: int):
                 [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["id", "key", "buckets"])
 
-        for batch in batches:
-            ids, keys, bags, held = [], [], [], 0
+        ids, keys, bags, held = [], [], [], 0
+        for batch in slices(batches):
             for own, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
                 words = (text or "").lower().split()
                 bag = shingles(words, names, size)
@@ -181,18 +183,18 @@ def _signed(bands: int, rows: int, size: int):
                 keys.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "replace")))
                 bags.append(bag)
                 held += len(bag)
-                if held >= _BATCH:
+                if held >= _BATCH or len(ids) >= _TEXTS:
                     yield told(ids, keys, bags)
                     ids, keys, bags, held = [], [], [], 0
-            if ids:
-                yield told(ids, keys, bags)
+        if ids:
+            yield told(ids, keys, bags)
     return run
 
 
 def _named_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = _Names()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [as_set(shingles((t or "").lower().split(), names, size)).tobytes()
                     for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "names"])
@@ -211,10 +213,11 @@ def overlap(a: bytes, b: bytes) -> float:
 
 
 def _judge(threshold: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            near = [overlap(x, y) >= threshold for x, y in zip(batch["x"], batch["y"])]
-            yield batch.loc[near, ["a", "b"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            near = [overlap(x.as_buffer(), y.as_buffer()) >= threshold
+                    for x, y in zip(batch.column("x"), batch.column("y"))]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
     return run
 
 
@@ -229,7 +232,7 @@ def _links(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, threshold: float
     x = own.select(F.col("id").alias("a"), F.col("names").alias("x"))
     y = own.select(F.col("id").alias("b"), F.col("names").alias("y"))
     return (sized.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-                 .mapInPandas(_judge(threshold), "a bigint, b bigint"))
+                 .mapInArrow(_judge(threshold), "a bigint, b bigint"))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -238,7 +241,7 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _named32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         short = [np.unique((np.frombuffer(x, _U) >> _U(32)).astype(np.uint32)).tobytes()
                  for x in batch.column("names").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(short, pa.binary())], ["rep", "names"])

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from relkit.session import ensure_checkpoint_dir
@@ -31,6 +32,14 @@ def parts_for(spark: SparkSession, rows: int, each: int = 100_000) -> int:
     return max(1, min(shuffle_partitions(spark), -(-rows // each)))
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that only the texts of one
+    slice are Python objects at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def key_runs(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """The rows of each key, one frame per key, from batches sorted by
     ``keys``; a key may reach over batches.  Memory: one batch and the

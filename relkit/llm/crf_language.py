@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relkit.llm.common import slices
+
 SAMPLE_PER_LANGUAGE = 400
 SEGMENT_WORDS = 64
 MAX_LANGUAGES = 64
@@ -336,7 +338,7 @@ def label(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str]
 def _predict(handle):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(handle.value) if handle.value else None
-        for batch in batches:
+        for batch in slices(batches):
             pred, score = label(labeller, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
@@ -347,7 +349,7 @@ def _predict(handle):
 def _keep(handle, text_col: str, least_score: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(handle.value) if handle.value else None
-        for batch in batches:
+        for batch in slices(batches):
             pred, score = label(labeller, batch.column(text_col).to_pylist())
             yield batch.filter(pa.array([p != UNDETERMINED and s >= least_score for p, s in zip(pred, score)]))
     return run
@@ -356,7 +358,7 @@ def _keep(handle, text_col: str, least_score: float):
 def _segments(words: int):
     """Some consecutive words from the middle of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text in batch.column("text").to_pylist():
                 mid = max(0, len(text) // 2 - 32 * words)

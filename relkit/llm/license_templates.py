@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relkit.llm.common import slices
+
 # The base phrases and their labels.
 BASE = (
     ("gnu general public license", "gpl"),
@@ -261,7 +263,7 @@ def _scanner(base: tuple, templates: tuple):
         label = [x[1] for x in base] + [x[0] for x in templates]
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         kinds = [None, *[pa.int64()] * 4, pa.string(), pa.string(), pa.float64()]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for own, raw in zip(batch.column("id").to_pylist(),
                                 batch.column("text").cast(pa.large_binary()).to_pylist()):

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relkit.llm.common import slices
+
 ROUNDS = 8
 KEY = b"corpus-key-1"
 
@@ -262,7 +264,7 @@ def _swapped(key: bytes, kinds: tuple[str, ...], back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pseudonymiser(key, kinds)
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
-        for batch in batches:
+        for batch in slices(batches):
             texts, spans = [], []
             for text in batch.column("text").to_pylist():
                 new, found = own.text(text, back) if text else (text, [])

@@ -33,6 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relkit.llm.common import slices
+
 TIERS = (256, 512, 1024)
 STEP_TOKENS = 8192
 POOL_TOKENS = 1 << 21
@@ -195,7 +197,7 @@ def _packer(path: str, tiers: tuple[int, ...], step_tokens: int, pool_tokens: in
                     for d, s, n in rest]
             held = sum(n for _, _, n in rest)
 
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch.schema.field("id").type
             for own, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.append(tok.ids(text or ""), np.uint32(END_ID)).astype("<u4")
