@@ -26,9 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts lines that stand in an earlier document or place, or almost so;
-    every document stays, and n_chars is counted anew."""
-    cut = line_join.drop_repeated(docs)
+    """Cuts lines of every length but empty ones that stand in an earlier
+    document or place, or almost so; every document stays, and n_chars is counted anew."""
+    cut = line_join.drop_repeated(docs, **line_join.WHOLE)
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -23,7 +23,9 @@ The first characters alone drop most false candidates.
 
 Linked and equal lines form groups (connected components); the first line
 of a group, by document id and line number, is kept.  Lines shorter than
-``min_chars`` are always kept and never linked.
+``min_chars`` are never linked, but grouped with equal lines from
+``min_equal`` characters on (by default ``min_chars``); shorter ones are
+always kept.
 
 Defined results: a null text counts as empty and is one empty line.  A
 line of a document with a null id is dropped if an equal or linked line
@@ -45,6 +47,7 @@ from relkit.llm.components import components
 EDITS = 2
 MIN_CHARS = 24
 CLASS = 8                        # lengths of a class; segments are as long for all of them
+WHOLE = {"min_chars": CLASS, "min_equal": 1}     # all lines but empty ones; segments hold a character from CLASS on
 BROADCAST_ROWS = 1_000_000       # of one number
 BROADCAST_WIDE_ROWS = 250_000    # of up to five numbers
 CHUNKS = 8                       # of a line, to sort out candidates
@@ -82,7 +85,7 @@ def _plan(edits: int) -> list[tuple[int, int]]:
     return [(n, shift) for n, shift, _, _ in _pieces(edits, zero, zero, zero)]
 
 
-def _keys(edits: int) -> Column:
+def _keys(edits: int, min_chars: int) -> Column:
     """Keys of a line in its class and, if a line of the class below can be
     linked to it, in that one."""
     line, chars = F.col("line"), F.col("chars")
@@ -93,7 +96,7 @@ def _keys(edits: int) -> Column:
                          for n, _, at, size in _pieces(edits, F.lit(0), chars, size)])
 
     base = _base(chars)
-    below = (chars - base < edits) & (base >= CLASS)
+    below = (chars - base < edits) & (base > min_chars // CLASS * CLASS)
     return F.concat(of(base), F.when(below, of(base - CLASS)).otherwise(F.array().cast("array<bigint>")))
 
 
@@ -222,14 +225,15 @@ def _bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+               edits: int = EDITS, min_chars: int = MIN_CHARS, min_equal: int | None = None) -> DataFrame:
     """One row per line: id, line_no (from 0), n_chars, group_doc and
     group_line (the first line of its group), group_size (lines), n_links
     (different lines within ``edits``) and kept."""
     lines = _lines(docs, id_col, text_col)
+    least = min_chars if min_equal is None else min(min_equal, min_chars)
     judged = lines.where(F.col("chars") >= min_chars)
     plan = _plan(edits)
-    keyed = judged.select(*_names(), F.col("chars"), F.posexplode(_keys(edits)).alias("pos", "key"))
+    keyed = judged.select(*_names(), F.col("chars"), F.posexplode(_keys(edits, min_chars)).alias("pos", "key"))
     k = (F.col("pos") % len(plan)).cast("int")
     index = k.isin([i for i, (_, shift) in enumerate(plan) if shift == 0])
     shared = pinned(keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"),
@@ -272,7 +276,7 @@ def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     BROADCAST_WIDE_ROWS)
     # Place in the table as one number, so that the first line is a minimum.
     place = F.col("id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("no")
-    occur = judged.select("id", "no", "chars", *_names(), place.cast("decimal(38,0)").alias("place"))
+    occur = lines.where(F.col("chars") >= least).select("id", "no", "chars", *_names(), place.cast("decimal(38,0)").alias("place"))
     classes = (occur.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
                     .join(near, ["h1", "h2"], "left"))
     classes = pinned(classes)
@@ -294,7 +298,7 @@ def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          F.coalesce("group_size", F.lit(1)).alias("group_size"),
                          F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
                          F.col("place").eqNullSafe(first).alias("kept"))
-    alone = lines.where(F.col("chars") < min_chars).select(
+    alone = lines.where(F.col("chars") < least).select(
         F.col("id").alias(id_col), F.col("no").cast("bigint").alias("line_no"),
         F.col("chars").cast("bigint").alias("n_chars"), F.col("id").alias("group_doc"),
         F.col("no").cast("bigint").alias("group_line"), F.lit(1).cast("bigint").alias("group_size"),

@@ -39,7 +39,7 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_join.link_lines(table(spark, sf_dir, "documents"))
+    return line_join.link_lines(table(spark, sf_dir, "documents"), **line_join.WHOLE)
 
 
 def op6_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:

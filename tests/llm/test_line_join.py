@@ -89,3 +89,33 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "x\ny")], "doc_id long, text string")
     plan = J.link_lines(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_lines_are_grouped_when_equal_and_linked_from_eight(spark):
+    docs = [(1, "}\n\nReturn.\nline 100\nseven 7"), (2, "}\n\nReturn.\nline 101\nseven 8"), (3, "line 1009\n}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.line_no): (r.group_doc, r.group_line, r.group_size, r.n_links, r.kept)
+           for r in J.link_lines(df, **J.WHOLE).collect()}
+    assert got[1, 0] == (1, 0, 3, 0, True) and got[2, 0] == got[3, 1] == (1, 0, 3, 0, False)
+    assert got[1, 1] == (1, 1, 1, 0, True) and got[2, 1] == (2, 1, 1, 0, True)
+    assert got[2, 2] == (1, 2, 2, 0, False)
+    assert got[1, 3] == (1, 3, 3, 2, True) and got[2, 3] == got[3, 0] == (1, 3, 3, 2, False)
+    assert got[1, 4] == (1, 4, 1, 0, True) and got[2, 4] == (2, 4, 1, 0, True)
+
+
+def test_whole_join_of_short_lines_matches_brute_force(spark):
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdé ü") for _ in range(rng.randrange(8, 26))) for _ in range(25)]
+    lines = [edited(rng, x, rng.randrange(0, 4)) for x in base for _ in range(8)]
+    docs = [(d, "\n".join(lines[d * 7:d * 7 + 7])) for d in range(len(lines) // 7)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(tuple(r) for r in J.link_lines(df, **J.WHOLE).where("n_chars >= 8").collect())
+    assert got == [r for r in expected(docs, J.EDITS, J.CLASS) if r[2] >= 8]
+
+
+def test_query_drops_equal_short_lines(spark, tmp_path):
+    from relkit.llm.queries import QUERIES
+    df = spark.createDataFrame([(1, "}\nx"), (2, "}\ny")], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.line_no): r.kept for r in QUERIES["op5_line_join"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 0): True, (1, 1): True, (2, 0): False, (2, 1): True}

@@ -45,3 +45,12 @@ def test_nulls_in_every_column(spark, tmp_path):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     df.write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()} == {1}
+
+
+def test_line_dedup_leaves_no_repeat_of_any_length(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").union(spark.createDataFrame(
+        [(-1, "}\n\nx = 1", "en", "s", 8), (-2, "}\n\ny = 1", "en", "s", 8)],
+        spark.read.parquet(f"{SF0001}/documents.parquet").schema))
+    out = P.line_dedup(spark, docs, SF0001).collect()
+    lines = [x for r in out for x in (r.text or "").split("\n") if x]
+    assert len(lines) == len(set(lines))
