@@ -14,6 +14,15 @@ digits of mixed radix a * b >= n; every round adds a keyed hash of one
 digit to the other; results of n or more are permuted again until one lies
 below n (cycle walking).
 
+A match that is not valid gives way to shorter ends at the same start, to
+the other kinds there, and then to matches that start later; cards come
+last, as the other forms tell more.  A card that ends before its match
+does, or follows another number, holds groups of three digits or more, but for the last.  A card's
+pseudonym has the same sum at shifted places as the card, so digits that
+stand after it make a longer number valid on both ways or on neither.
+Where such digits are themselves part of another value, or the number
+before a card joins it, the way back can read another card by chance.
+
 Defined results: a null text stays null and counts no value; texts without
 valid values stay as they are.  A null id is carried along; repeated rows
 give repeated results; an empty table gives an empty result.  Other
@@ -53,6 +62,17 @@ FORMS = (
 )
 KINDS = tuple(kind for kind, _ in FORMS)
 _ANY = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in FORMS), re.ASCII)
+_ONE = {kind: re.compile(form, re.ASCII) for kind, form in FORMS}
+_TAIL = {kind: re.compile(form[form.rindex("(?!"):], re.ASCII) for kind, form in FORMS}     # what may follow a value
+_ORDER = (*(kind for kind in KINDS if kind != "card"), "card")
+_JOINED = re.compile(r"\d[ -]", re.ASCII)
+_CARD_GROUPS = re.compile(r"(?:\d{3,}[ -])*\d+", re.ASCII)
+# Characters of an account number, by country.
+_IBAN_CHARS = {country: n for n, own in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in own.split()}
 _HINT = re.compile("[0-9@]")             # every form holds one of them
 _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
@@ -95,6 +115,12 @@ def check_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def _shifted_sum(digits: str) -> int:
+    """The last digit of the check sum of a card number with one more digit
+    after it."""
+    return int(check_digit(digits))
+
+
 def _iban_rest(country: str, body: str) -> int:
     return int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
 
@@ -134,8 +160,12 @@ def _card(f: Feistel, value: str, back: bool) -> str | None:
     digits = re.sub(r"\D", "", value)
     if not 13 <= len(digits) <= 19 or check_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
         return None
-    body = digits[0] + _permuted(f, digits[1:-1], f"card|{digits[0]}", back)
-    return _filled(value, body + check_digit(body))
+    body = digits[:-1]
+    while True:
+        body = digits[0] + _permuted(f, body[1:], f"card|{digits[0]}", back)
+        new = body + check_digit(body)
+        if _shifted_sum(new) == _shifted_sum(digits) and len(set(new)) > 1:
+            return _filled(value, new)
 
 
 def _date(f: Feistel, value: str, back: bool) -> str | None:
@@ -234,6 +264,21 @@ _BY_KIND: dict[str, Callable[[Feistel, str, bool], str | None]] = {
     "email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "date": _date, "ip": _ip, "phone": _phone}
 
 
+def _ends(kind: str, text: str, start: int, end: int) -> Iterator[int]:
+    """Ends of a value of a kind that starts at ``start``, from the longest
+    match's down; for account numbers first the one of the country's
+    length."""
+    ends = [end, *(e for e in range(end - 1, start, -1)
+                   if _TAIL[kind].match(text, e) and _ONE[kind].fullmatch(text, start, e))]
+    if kind == "card":
+        inside = _JOINED.match(text, max(0, start - 2), start)
+        ends = [e for e in ends if (e == end and not inside) or _CARD_GROUPS.fullmatch(text, start, e)]
+    if kind == "iban":
+        own = _IBAN_CHARS.get(text[start:start + 2])
+        ends.sort(key=lambda e: e - start - text.count(" ", start, e) != own)
+    yield from ends
+
+
 class Pseudonymiser:
     def __init__(self, key: bytes, kinds: tuple[str, ...] = KINDS):
         self.feistel, self.kinds = Feistel(key), frozenset(kinds)
@@ -242,6 +287,18 @@ class Pseudonymiser:
     def _of(self, kind: str, value: str, back: bool) -> str | None:
         return _BY_KIND[kind](self.feistel, value, back)
 
+    def _value(self, text: str, start: int, back: bool) -> tuple[int, int, str | None, str | None]:
+        """The valid value at a place, as (start, end, kind, its
+        pseudonym); if there is none, the next place to search from is the
+        end."""
+        for kind in _ORDER:
+            m = _ONE[kind].match(text, start)
+            for end in _ends(kind, text, start, m.end()) if m else ():
+                new = self.of(kind, text[start:end], back)
+                if new is not None:
+                    return start, end, kind, new
+        return start, start + 1, None, None
+
     def text(self, text: str, back: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
         """The text with pseudonyms, and where the values stood in the
         given text: start, end and kind."""
@@ -249,15 +306,15 @@ class Pseudonymiser:
         if not _HINT.search(text):
             return text, found
 
-        def swap(m: re.Match) -> str:
-            kind = m.lastgroup
-            new = self.of(kind, m.group(), back) if kind in self.kinds else None
-            if new is None:
-                return m.group()
-            found.append((m.start(), m.end(), kind))
-            return new
-
-        return _ANY.sub(swap, text), found
+        out, done, m = [], 0, _ANY.search(text)
+        while m:
+            start, end, kind, new = self._value(text, m.start(), back)
+            if kind in self.kinds:
+                out += [text[done:start], new]
+                done = end
+                found.append((start, end, kind))
+            m = _ANY.search(text, end)
+        return "".join([*out, text[done:]]), found
 
 
 def _swapped(key: bytes, kinds: tuple[str, ...], back: bool):

@@ -151,6 +151,30 @@ def test_dates_turn_back():
             assert own.text(own.text(t)[0], back=True)[0] == t
 
 
+CARD = "4111 1111 1111 1111"
+
+
+@pytest.mark.parametrize("text, values", [
+    (f"{CARD} 12/27", [(CARD, "card")]), ("4111111111111111 123", [("4111111111111111", "card")]),
+    ("2024-01-15 2024-01-16", [("2024-01-15", "date"), ("2024-01-16", "date")]),
+    ("2024-01-15 12345", [("2024-01-15", "date")]),
+    ("123-45-6789 123-45-6780", [("123-45-6789", "ssn"), ("123-45-6780", "ssn")]),
+    ("BE68 5390 0754 7034 FROM X", [("BE68 5390 0754 7034", "iban")]),
+    (f"1234 {CARD}", [(CARD, "card")])])
+def test_values_inside_a_longer_match_are_found(text, values):
+    for key in (b"a", b"b", b"c", b"d", b"e", b"f"):
+        own = P.Pseudonymiser(key)
+        new, found = own.text(text)
+        assert [(text[a:b], kind) for a, b, kind in found] == values and not any(v in new for v, _ in values)
+        if not text.startswith("1234 "):
+            assert own.text(new, back=True)[0] == text
+
+
+def test_counting_is_no_card():
+    text = " ".join(map(str, range(11, 99)))
+    assert P.Pseudonymiser(b"a").text(text) == (text, [])
+
+
 def test_invalid_values_stay(spark):
     texts = ["card 4944339490429606", "day 2021-02-29", "host 300.1.1.1", "version 1.2.3", "ssn 000-12-3456",
              "token 0641917ea4e9feb9cda83477b57ac2654884f485", "GB83 WEST 1234 5698 7654 32", "", None, "5 < 6 @ 7"]
