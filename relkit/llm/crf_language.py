@@ -346,12 +346,12 @@ def _predict(handle):
     return run
 
 
-def _keep(handle, text_col: str, least_score: float):
+def _keep(handle, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(handle.value) if handle.value else None
         for batch in slices(batches):
-            pred, score = label(labeller, batch.column(text_col).to_pylist())
-            yield batch.filter(pa.array([p != UNDETERMINED and s >= least_score for p, s in zip(pred, score)]))
+            pred, _ = label(labeller, batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array([p != UNDETERMINED for p in pred], pa.bool_()))
     return run
 
 
@@ -431,10 +431,10 @@ def predict_all(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    lang_col: str = "lang", least_score: float = 0.5, **options) -> DataFrame:
-    """``docs`` without the documents that have no language: no letter, or
-    no language with at least ``least_score`` of the words.  All columns
-    stay; the language column is not changed."""
+                    lang_col: str = "lang", **options) -> DataFrame:
+    """``docs`` without the documents that have no language (``und``).  A
+    text in several languages stays, whatever the share of each.  All
+    columns stay; the language column is not changed."""
     model = learn(docs, id_col, text_col, lang_col, **options)
     handle = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_keep(handle, text_col, least_score), docs.schema)
+    return docs.mapInArrow(_keep(handle, text_col), docs.schema)

@@ -89,3 +89,20 @@ def test_texts_without_letters_and_odd_tables(spark):
     assert C.predict_all(df.limit(0)).count() == 0 and C.keep_identified(df.limit(0)).count() == 0
     nothing = df.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in C.predict_all(nothing).collect()} == {"und"}
+
+
+def test_clean_texts_in_several_languages_are_kept(spark):
+    rng = random.Random(2)
+    words = {"a": ["ka", "kato", "kik", "tok"], "b": ["miu", "mue", "uum", "emm"],
+             "c": ["zosz", "szor", "roz", "orsz"], "d": ["lapp", "ppil", "ipal", "pill"]}
+
+    def text(langs, n):
+        return " ".join(rng.choice(words[x]) for x in langs for _ in range(n))
+
+    rows = [(i, text(x, 40), x) for i, x in enumerate(list("abcd") * 40)]
+    rows += [(1000, text("ab", 30), None), (1001, text("abc", 30), None), (1002, text("abcd", 30), None),
+             (1003, "12 -- 34", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    scores = {r.doc_id: r.score for r in C.predict_all(df).collect()}
+    assert scores[1001] < 0.5 and scores[1002] < 0.5
+    assert {r.doc_id for r in C.keep_identified(df).collect()} == {r[0] for r in rows} - {1003}
