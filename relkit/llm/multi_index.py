@@ -11,11 +11,12 @@ number sends its vectors to the other, so each pair is met once.  All
 pairs that meet are verified by cosine in double precision.
 
 Equal vectors of a label are one class with a count, so copies are not
-compared with each other.  A cell's vectors are dealt to blocks of about
-``block`` rows, and the pairs of blocks are units of work of their own; a
-unit holds one block and streams the other side.  A unit returns, per
-vector, its number of links and one link to a representative that keeps
-connectivity, never the pairs.
+compared with each other.  The vectors that live in a cell are dealt to
+blocks of about ``block`` rows, and its visitors to parts of about
+``VISITORS`` times as many rows; every pair of a block and a part is a unit
+of work of its own, which holds the block and streams the other side.  A
+unit returns, per vector, its number of links and one link to a
+representative that keeps connectivity, never the pairs.
 
 The codebooks are fitted on a bounded sample (the ``sample_rows`` rows with
 the smallest hash of their id); every vector is indexed.
@@ -37,17 +38,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relkit.llm.common import key_runs, pinned, shuffle_partitions
+from relkit.llm.common import pinned, shuffle_partitions
 from relkit.llm.components import components
 
 THRESHOLD = 0.93
 TARGET_RECALL = 0.999
 SAMPLE_ROWS = 20_000
 BLOCK = 512
+VISITORS = 8                     # blocks' worth of visitors in a unit
 PER_CELL = 200                   # vectors a cell of the grid has on average
 MAX_CODEWORDS = 1024             # of each half
 BROADCAST_ROWS = 200_000
 _SLICE = 2048
+_COPIES = 16_384                 # visits that are in memory at a time
 
 
 @dataclass
@@ -102,9 +105,9 @@ def build(sample: np.ndarray, rows: int, threshold: float, recall: float) -> Ind
     return index
 
 
-def visits(x: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Own cell of each vector; and the (row, cell) of every visit, in the
-    order of the traversal for a row."""
+def visits(x: np.ndarray, index: Index) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """Own cell of each vector; and the (row, cell) of every visit, in
+    pieces of a few more than ``_COPIES`` (at most one codeword's visits)."""
     (a, b), k = _halves(x, index.dim), len(index.books[0])
     d1, d2 = _distances(a, index.books[0]), _distances(b, index.books[1])
     o1, o2 = d1.argsort(1, kind="stable"), d2.argsort(1, kind="stable")
@@ -112,18 +115,28 @@ def visits(x: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndar
     s1 -= s1[:, :1].copy()
     s2 -= s2[:, :1].copy()
     own = o1[:, 0] * k + o2[:, 0]
-    rows, cells = [], []
-    for i in range(k):
-        reach = np.flatnonzero(s1[:, i] <= index.stop)
-        if not len(reach):
-            break
-        upto = (s2[reach] <= (index.stop - s1[reach, i])[:, None]).sum(1)
-        rows.append(np.repeat(reach, upto))
-        j = np.arange(upto.sum()) - np.repeat(np.cumsum(upto) - upto, upto)
-        cells.append(o1[rows[-1], i] * k + o2[rows[-1], j])
-    rows_, cells_ = np.concatenate(rows), np.concatenate(cells)
-    keep = cells_ > own[rows_]
-    return own, rows_[keep], cells_[keep]
+
+    def pieces() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        rows, cells, held = [], [], 0
+        for i in range(k):
+            reach = np.flatnonzero(s1[:, i] <= index.stop)
+            if not len(reach):
+                break
+            upto = (s2[reach] <= (index.stop - s1[reach, i])[:, None]).sum(1)
+            row = np.repeat(reach, upto)
+            j = np.arange(upto.sum()) - np.repeat(np.cumsum(upto) - upto, upto)
+            cell = o1[row, i] * k + o2[row, j]
+            keep = cell > own[row]
+            rows.append(row[keep])
+            cells.append(cell[keep])
+            held += len(rows[-1])
+            if held >= _COPIES:
+                yield np.concatenate(rows), np.concatenate(cells)
+                rows, cells, held = [], [], 0
+        if held:
+            yield np.concatenate(rows), np.concatenate(cells)
+
+    return own, pieces()
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -139,9 +152,11 @@ def _place(handle):
             for _, own in batch.groupby("dim", sort=False):
                 for at in range(0, len(own), _SLICE):
                     part = own.iloc[at:at + _SLICE]
-                    cell, rows, cells = visits(_unit(part["v"]), index)
+                    cell, pieces = visits(_unit(part["v"]), index)
                     yield part.assign(cell=cell, role=0)
-                    yield part.iloc[rows].assign(cell=cells, role=1)
+                    for rows, cells in pieces:
+                        for a in range(0, len(rows), _SLICE):
+                            yield part.iloc[rows[a:a + _SLICE]].assign(cell=cells[a:a + _SLICE], role=1)
     return run
 
 
@@ -160,41 +175,65 @@ def _merge(comp: np.ndarray, linked: np.ndarray) -> np.ndarray:
         comp = new
 
 
+class _Block:
+    """The block that a unit holds, and what its unit has found so far."""
+
+    def __init__(self, held: pd.DataFrame, threshold: float):
+        self.left, self.weight = _unit(held["v"]), held["m"].to_numpy()
+        self.names, self.h = held["rep"].to_numpy(), held["h"].to_numpy()
+        self.threshold, n = threshold, len(held)
+        self.comp, self.n_left = np.arange(n), np.zeros(n, np.int64)
+        if held["diagonal"].iloc[0]:
+            for a in range(0, n, _SLICE):
+                linked = self.left[a:a + _SLICE] @ self.left.T >= threshold
+                linked[np.arange(len(linked)), a + np.arange(len(linked))] = False
+                self.n_left[a:a + _SLICE] += linked @ self.weight
+                self.comp = _merge(self.comp, linked | (np.arange(n) == (a + np.arange(len(linked)))[:, None]))
+
+    def meet(self, rest: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Compares some rows of the other side; yields their links."""
+        for a in range(0, len(rest), _SLICE):
+            part = rest.iloc[a:a + _SLICE]
+            linked = _unit(part["v"]) @ self.left.T >= self.threshold
+            hit = linked.any(1)
+            if not hit.any():
+                continue
+            part, linked = part[hit], linked[hit]
+            self.n_left += part["m"].to_numpy() @ linked
+            self.comp = _merge(self.comp, linked)
+            yield pd.DataFrame({"rep": part["rep"].to_numpy(), "h": part["h"].to_numpy(),
+                                "n": linked @ self.weight, "to": self.names[linked.argmax(1)]})
+
+    def found(self) -> Iterator[pd.DataFrame]:
+        """The links of the block's own rows."""
+        hit = self.n_left > 0
+        if hit.any():
+            yield pd.DataFrame({"rep": self.names[hit], "h": self.h[hit], "n": self.n_left[hit],
+                                "to": self.names[self.comp[hit]]})
+
+
 def _verify(threshold: float):
     """Links of each unit: the block it holds against itself (if the unit
-    is on the diagonal) and against the other side, slice by slice."""
+    is on the diagonal) and against the other side, as its rows come.  Rows
+    are sorted by unit and role, so a unit's block comes first."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for unit in key_runs(batches, ["unit_a", "unit_b"]):
-            held = unit[unit["role"] == 0]
-            if not len(held):
-                continue
-            left, weight = _unit(held["v"]), held["m"].to_numpy()
-            names = held["rep"].to_numpy()
-            comp, n_left = np.arange(len(left)), np.zeros(len(left), np.int64)
-            if held["diagonal"].iloc[0]:
-                for a in range(0, len(left), _SLICE):
-                    linked = left[a:a + _SLICE] @ left.T >= threshold
-                    linked[np.arange(len(linked)), a + np.arange(len(linked))] = False
-                    n_left[a:a + _SLICE] += linked @ weight
-                    comp = _merge(comp, linked | (np.arange(len(left)) == (a + np.arange(len(linked)))[:, None]))
-            rest, out = unit[unit["role"] == 1], []
-            for a in range(0, len(rest), _SLICE):
-                part = rest.iloc[a:a + _SLICE]
-                linked = _unit(part["v"]) @ left.T >= threshold
-                hit = linked.any(1)
-                if not hit.any():
-                    continue
-                part, linked = part[hit], linked[hit]
-                w = part["m"].to_numpy()
-                n_left += w @ linked
-                comp = _merge(comp, linked)
-                out.append(pd.DataFrame({"rep": part["rep"].to_numpy(), "h": part["h"].to_numpy(),
-                                         "n": linked @ weight, "to": names[linked.argmax(1)]}))
-            hit = n_left > 0
-            if hit.any():
-                out.append(pd.DataFrame({"rep": names[hit], "h": held["h"].to_numpy()[hit],
-                                         "n": n_left[hit], "to": names[comp[hit]]}))
-            yield from out
+        key, held, block = None, [], None
+        for batch in batches:
+            for own, piece in batch.groupby(["unit_a", "unit_b", "role"], sort=False):
+                unit, role = own[:2], own[2]
+                if unit != key:
+                    if held:
+                        block = block or _Block(pd.concat(held, ignore_index=True), threshold)
+                        yield from block.found()
+                    key, held, block = unit, [], None
+                if role == 0:
+                    held.append(piece)
+                elif held:
+                    block = block or _Block(pd.concat(held, ignore_index=True), threshold)
+                    yield from block.meet(piece)
+        if held:
+            block = block or _Block(pd.concat(held, ignore_index=True), threshold)
+            yield from block.found()
     return run
 
 
@@ -241,16 +280,24 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     placed = base.repartition(parts).mapInPandas(
         _place(handle), f"label {label}, dim int, rep {id_type}, h bigint, m bigint, v {element}, "
                         "cell bigint, role int")
-    # How many live in each cell; only occupied cells are visited.
+    # How many live in each cell and visit it; only occupied cells are visited.
     sizes = pinned(base.select("label", "dim", "rep", "h", "m", "v").repartition(parts)
-                       .mapInPandas(_own_cell(handle), f"label {label}, dim int, cell bigint, n bigint")
-                       .groupBy("label", "dim", "cell").agg(F.sum("n").alias("n"))
-                       .withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).drop("n"))
+                       .mapInPandas(_counts(handle), f"label {label}, dim int, cell bigint, role int, n bigint")
+                       .groupBy("label", "dim", "cell")
+                       .agg(F.sum(F.when(F.col("role") == 0, F.col("n"))).alias("n"),
+                            F.sum(F.when(F.col("role") == 1, F.col("n"))).alias("visitors"))
+                       .where("n is not null")
+                       .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+                       .withColumn("parts", F.greatest("blocks", F.ceil(
+                           F.coalesce("visitors", F.lit(0)) / (VISITORS * block)).cast("int")))
+                       .drop("n", "visitors"))
     small = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
     dealt = (placed.join(small, ["label", "dim", "cell"])
-                   .withColumn("b", F.pmod(F.xxhash64("h", "rep"), F.col("blocks")).cast("int")))
+                   .withColumn("b", F.pmod(F.xxhash64("h", "rep"), F.when(F.col("role") == 0, F.col("blocks"))
+                                                                    .otherwise(F.col("parts"))).cast("int")))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    as_left = F.transform(every, lambda j: F.struct(F.col("b").alias("i"), j.alias("j"), F.lit(0).alias("role")))
+    every_part = F.sequence(F.lit(0), F.col("parts") - 1)
+    as_left = F.transform(every_part, lambda j: F.struct(F.col("b").alias("i"), j.alias("j"), F.lit(0).alias("role")))
     as_right = F.transform(every, lambda i: F.struct(i.alias("i"), F.col("b").alias("j"), F.lit(1).alias("role")))
     units = F.when(F.col("role") == 0, F.concat(as_left, F.filter(as_right, lambda s: s["i"] < s["j"]))) \
              .otherwise(as_right)
@@ -274,14 +321,22 @@ def _named(rows: DataFrame, id_col: str) -> DataFrame:
                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _own_cell(handle):
+def _counts(handle):
+    """How many rows of each cell ``_place`` makes, batch by batch."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index: Index = handle.value
-        k = len(index.books[0])
         for batch in batches:
             for dim, own in batch.groupby("dim", sort=False):
-                a, b = _halves(_unit(own["v"]), index.dim)
-                cell = _distances(a, index.books[0]).argmin(1) * k + _distances(b, index.books[1]).argmin(1)
-                yield (pd.DataFrame({"label": own["label"].to_numpy(), "dim": dim, "cell": cell})
-                       .groupby(["label", "dim", "cell"]).size().rename("n").reset_index())
+                for at in range(0, len(own), _SLICE):
+                    part = own.iloc[at:at + _SLICE]
+                    labels = part["label"].to_numpy()
+                    cell, pieces = visits(_unit(part["v"]), index)
+                    yield _counted(labels, cell, dim, 0)
+                    for rows, cells in pieces:
+                        yield _counted(labels[rows], cells, dim, 1)
     return run
+
+
+def _counted(labels: np.ndarray, cells: np.ndarray, dim: int, role: int) -> pd.DataFrame:
+    return (pd.DataFrame({"label": labels, "dim": dim, "cell": cells, "role": role})
+            .groupby(["label", "dim", "cell", "role"]).size().rename("n").reset_index())

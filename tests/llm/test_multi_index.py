@@ -77,3 +77,28 @@ def test_bad_vectors_repeats_and_empty_tables(spark):
     assert got == [(1, 3, 1), (2, 3, 1), (2, 3, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7), (8, 0, 8),
                    (9, 0, 9), (10, 0, 10), (11, 3, 1), (12, 0, 12)]
     assert M.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_visitors_of_a_sparse_cell_are_dealt(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    # The halves go together: two dense cells, and two sparse ones beside them.
+    side = np.where(rng.random(900) < 0.5, -0.2, 0.2)[:, None]
+    half = np.array([1.0, 0.0, 0.0, 0.0]) + side * np.array([0.0, 1.0, 0.0, 0.0])
+    x = np.concatenate([half, half], 1) + 0.03 * rng.standard_normal((900, 8))
+    x[:4, 5] *= -1
+    rows = [(i, [float(e) for e in np.float32(v)], 0) for i, v in enumerate(x)]
+    check(spark, rows, block=8, target_recall=1.0)
+    true = M._verify
+
+    def bounded(threshold):
+        def run(batches):
+            import pandas as pd
+            got = list(batches)
+            if got:
+                size = pd.concat(got).groupby(["unit_a", "unit_b", "role"]).size()
+                assert size.max() <= 3 * 8 * 8, size.max()
+            yield from true(threshold)(iter(got))
+        return run
+
+    monkeypatch.setattr(M, "_verify", bounded)
+    check(spark, rows, block=8, target_recall=1.0)
