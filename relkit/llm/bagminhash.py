@@ -156,6 +156,21 @@ def signatures(bags: list[np.ndarray], m: int) -> np.ndarray:
     return out.reshape(len(bags), m)
 
 
+def _key(words: list[str]) -> bytes:
+    """The name of a class of equal texts."""
+    return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "replace"))
+
+
+def _keyed(text_col: str):
+    """The rows with the name of their text's class as ``_key``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keys = [_key((text or "").lower().split()) for text in batch.column(text_col).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())],
+                                             [*batch.schema.names, "_key"])
+    return run
+
+
 def _signed(bands: int, rows: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = _Names()
@@ -180,7 +195,7 @@ def _signed(bands: int, rows: int, size: int):
                 words = (text or "").lower().split()
                 bag = shingles(words, names, size)
                 ids.append(own)
-                keys.append(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "replace")))
+                keys.append(_key(words))
                 bags.append(bag)
                 held += len(bag)
                 if held >= _BATCH or len(ids) >= _TEXTS:
@@ -329,6 +344,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id, class_id (smallest id of the equal
     texts), group_id (smallest id of the group), kept (id = group_id, or
     the id is null)."""
+    judged = _judged(docs, id_col, text_col, threshold, words, bands, rows, leaders)
+    return judged.select(F.col("id").alias(id_col), "class_id", "group_id", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS,
+            rows: int = ROWS, leaders: tuple[int, ...] = LEADERS) -> DataFrame:
+    """``near_duplicates`` with the id as ``id`` and the name of the text's
+    class as ``key``."""
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     signed = pinned(own.mapInArrow(_signed(bands, rows, words), "id bigint, key binary, buckets array<bigint>"))
     classes = pinned(signed.where("id is not null").groupBy("key")
@@ -373,22 +397,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       .select("key", "rep", F.coalesce("root", "rep").alias("root"))
     by_class = pinned(by_class)
     named = signed.where("id is not null").select("id", "key").join(by_class, "key") \
-                  .select("id", F.col("rep").alias("class_id"), F.col("root").alias("group_id"))
-    nulls = signed.where("id is null").select("id", F.col("id").alias("class_id"), F.col("id").alias("group_id"))
+                  .select("id", "key", F.col("rep").alias("class_id"), F.col("root").alias("group_id"))
+    nulls = signed.where("id is null").select("id", "key", F.col("id").alias("class_id"),
+                                              F.col("id").alias("group_id"))
     return named.unionByName(nulls).select(
-        F.col("id").alias(id_col), "class_id", "group_id", F.col("id").eqNullSafe(F.col("group_id")).alias("kept"))
+        "id", "key", "class_id", "group_id", F.col("id").eqNullSafe(F.col("group_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group, all columns kept.  Of rows
     that repeat an id, one stays; rows with a null id all stay."""
-    judged = pinned(near_duplicates(docs, id_col, text_col, **options).select(F.col(id_col).alias("_own"), "kept"))
-    gone = pinned(judged.where("not kept").select("_own").distinct())
-    again = pinned(judged.where("_own is not null").groupBy("_own").agg(F.count(F.lit(1)).alias("n"))
-                         .where("n > 1").select("_own"))
+    judged = pinned(_judged(docs, id_col, text_col, **options).where("id is not null")
+                    .select(F.col("id").alias("_own"), F.col("key").alias("_key"), "kept"))
+    by_id = pinned(judged.groupBy("_own").agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("any"))
+                         .where("n > 1 or not any"))
+    gone, again = by_id.where("not any").select("_own"), by_id.where("any").select("_own")
     own = F.col(id_col).cast("bigint")
     left = docs.withColumn("_own", own).join(_few(gone), "_own", "left_anti")
     repeated = _few(again)
     once = left.join(repeated, "_own", "left_anti")
-    one = left.join(repeated, "_own", "left_semi").dropDuplicates(["_own"])
-    return once.unionByName(one).select(*docs.columns)
+    # Rows of an id may have different texts, of which only some are kept.
+    rows = left.join(repeated, "_own", "left_semi")
+    rows = rows.mapInArrow(_keyed(text_col), rows.withColumn("_key", F.lit(b"")).schema)
+    texts = pinned(judged.where("kept").join(repeated, "_own", "left_semi").select("_own", "_key").distinct())
+    one = rows.join(texts, ["_own", "_key"], "left_semi").dropDuplicates(["_own"])
+    return once.unionByName(one.drop("_key")).select(*docs.columns)

@@ -98,3 +98,10 @@ def test_nulls_repeats_and_empty_tables(spark):
     left = B.keep_one(df)
     assert left.columns == df.columns and sorted((r.doc_id or -1) for r in left.collect()) == [-1, -1, 5, 7]
     assert B.near_duplicates(df.limit(0)).count() == 0 and B.keep_one(df.limit(0)).count() == 0
+
+
+def test_an_id_with_two_texts_leaves_a_document_of_each_group(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(3, a, "x"), (7, a, "x"), (7, b, "x"), (8, b + " more", "x"), (9, b, "x"), (None, a, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sorted(((r.doc_id or -1), r.text) for r in B.keep_one(df).collect()) == [(-1, a), (3, a), (7, b)]
