@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, pseudonyms, quotes, tier_packing
+from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, online_packing, pseudonyms, quotes, tier_packing, vantage_clusters
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,6 +62,14 @@ def op10_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tier_packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_vantage_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage_clusters.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_packing.pack_online(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quotes": op1_quotes,
     "op2_multi_index": op2_multi_index,
@@ -73,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bagminhash": op8_bagminhash,
     "op9_crf_language": op9_crf_language,
     "op10_tier_packing": op10_tier_packing,
+    "op11_vantage_clusters": op11_vantage_clusters,
+    "op13_online_packing": op13_online_packing,
     "pipeline": corpus_pipeline.run,
 }
 
