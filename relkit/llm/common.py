@@ -19,6 +19,20 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def released(*pins: DataFrame) -> None:
+    """Removes the files of pinned tables that nothing reads any more,
+    whatever the session's settings for spent checkpoints are."""
+    for df in pins:
+        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            remove_folder(df.sparkSession, file.get())
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, online_packing, pseudonyms, quotes, tier_packing, vantage_clusters
+from relkit.llm import bagminhash, chunk_recipes, crf_language, license_templates, line_join, mix_flow, multi_index, online_packing, pseudonyms, quotes, spelling_trie, tier_packing, vantage_clusters
 from relkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,10 @@ def op11_vantage_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vantage_clusters.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_trie.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online_packing.pack_online(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_crf_language": op9_crf_language,
     "op10_tier_packing": op10_tier_packing,
     "op11_vantage_clusters": op11_vantage_clusters,
+    "op12_spelling_trie": op12_spelling_trie,
     "op13_online_packing": op13_online_packing,
     "pipeline": corpus_pipeline.run,
 }
