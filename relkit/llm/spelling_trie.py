@@ -1,10 +1,10 @@
 """Spelling variants: a relational frontier walked down tries of all words.
 
-The words that occur often enough form a trie, kept as a table with one
-row per node: a level, a prefix, and its edges.  An edge names its letter,
-a letter that can follow, and the lengths of the words below both (bits of
-a long).  The frontier holds states (word, position, node, edits).  Level
-by level it is joined with the nodes of that level.  A state without edits
+The words that occur often enough form a trie, kept as a table of edges:
+a level, a node (its prefix), the edge's letter, a letter that can follow,
+and the lengths of the words below both (bits of a long).  The frontier
+holds states (word, position, node, edits).  Level by level it is joined
+with the edges of that level, on the node and the letter after next.  A state without edits
 stands on the word's own prefix; it spends its edit on another letter
 (replace) or on skipping a letter of the word (delete).  A state whose
 edit is spent follows the word's next letters, and if it ends on a word,
@@ -17,10 +17,10 @@ Edits are spent in the second half of a word only.  Those in the first
 half are found in a second trie, of the reversed words, in the same joins.
 So no state branches near a root, where nodes have the most edges.
 
-A node's edges are one row, bounded by the square of the alphabet, so a
-join never multiplies a hot prefix by itself; the states of a hot prefix
-are split by adaptive execution, and a level with few edges is broadcast
-behind a count.  Walked are words of at most ``depth`` letters.  Words of
+A node has at most as many edges with one letter after next as the
+alphabet has letters, so a join never multiplies a hot prefix by itself;
+the states of a hot prefix are split by adaptive execution, and a level
+with few edges is broadcast behind a count.  Walked are words of at most ``depth`` letters.  Words of
 that length or more meet through the names of their texts without one
 letter (hashes of prefixes and suffixes, so work is linear in the
 letters), and every meeting is verified on the letters; so runs of any
@@ -56,7 +56,7 @@ BROADCAST_EDGES = 100_000             # of a level, of about 40 bytes each
 PRIME = (1 << 127) - 1
 BASE = 0x2545F4914F6CDD1D2545F4914F6CDD1D
 
-NODES = "level int, d int, node string, edges array<struct<letter:string,next:string,lengths:bigint>>"
+EDGES = "level int, d int, node string, letter string, next string, lengths bigint"
 
 
 def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_length: int = LEAST_LENGTH,
@@ -85,16 +85,15 @@ def _letter(word: str | Column, position: Column) -> Column:
 
 
 def _trie(both: DataFrame, lowest: int, parts: int) -> tuple[str, dict[int, int]]:
-    """The folder of the nodes, by level, and the edges of each level."""
+    """The folder of the edges, by level, and their number at each level."""
     folder = f"{ensure_checkpoint_dir(both.sparkSession)}/trie-{uuid.uuid4().hex}"
     level, word = F.col("level"), F.col("word")
     edges = (both.withColumn("level", F.explode(F.sequence(F.lit(lowest), F.length("word"))))
                  .groupBy("level", "d", F.substring(word, F.lit(1), level).alias("node"),
                           _letter(word, level).alias("letter"), _letter(word, level + 1).alias("next"))
                  .agg(F.bit_or(_bit(F.length("word"))).alias("lengths")))
-    nodes = edges.groupBy("level", "d", "node").agg(F.collect_list(F.struct("letter", "next", "lengths")).alias("edges"))
-    nodes.coalesce(parts).write.partitionBy("level").parquet(folder)
-    sizes = both.sparkSession.read.schema(NODES).parquet(folder).groupBy("level").agg(F.sum(F.size("edges")).alias("n"))
+    edges.coalesce(parts).write.partitionBy("level").parquet(folder)
+    sizes = both.sparkSession.read.schema(EDGES).parquet(folder).groupBy("level").agg(F.count(F.lit(1)).alias("n"))
     return folder, {r.level: r.n for r in sizes.collect()}            # a row per level
 
 
@@ -107,7 +106,7 @@ def _trie_pairs(short: DataFrame, n_words: int, lowest: int) -> DataFrame:
     both = pinned(short.select(F.lit(0).alias("d"), "word", half.alias("start")).unionByName(
         short.select(F.lit(1).alias("d"), F.reverse("word").alias("word"), (F.length("word") - half).alias("start"))))
     folder, sizes = _trie(both, lowest, parts)
-    trie = spark.read.schema(NODES).parquet(folder)
+    trie = spark.read.schema(EDGES).parquet(folder)
     position, n = F.col("position"), F.length("word")
     frontier, ends = None, []
     for level in sorted(sizes):
@@ -119,18 +118,16 @@ def _trie_pairs(short: DataFrame, n_words: int, lowest: int) -> DataFrame:
             skips.select("d", "word", "node", (at + 1).alias("position"), F.lit(1).alias("edits")))
         if frontier is not None:
             states = states.unionByName(frontier.where("not at_end").select("d", "word", "node", "position", F.lit(1).alias("edits")))
-        nodes = trie.where(F.col("level") == level).select("d", "node", "edges")
+        edges = trie.where(F.col("level") == level).drop("level")
         if sizes[level] <= BROADCAST_EDGES:
-            nodes = F.broadcast(nodes)
-        letter, after, want = _letter("word", position), _letter("word", position + 1), n - (position - at)
-
-        def followed(e: Column) -> Column:
-            taken = F.when(F.col("edits") == 0, (e["letter"] < letter) & (e["letter"] != "")).otherwise(e["letter"] == letter)
-            return taken & (e["next"] == after) & (e["lengths"].bitwiseAND(_bit(want)) != 0)
-
-        frontier = pinned(states.join(nodes, ["d", "node"]).withColumn("e", F.explode(F.filter("edges", followed))).select(
-            "d", "word", F.concat("node", "e.letter").alias("node"), (position + 1).alias("position"),
-            (F.col("e.letter") == "").alias("at_end")).coalesce(parts))
+            edges = F.broadcast(edges)
+        states = states.withColumns({"own": _letter("word", position), "next": _letter("word", position + 1)})
+        taken = (F.col("letter") == F.col("own")) & (F.col("edits") == 1) | (
+            (F.col("letter") < F.col("own")) & (F.col("letter") != "") & (F.col("edits") == 0))
+        below = F.col("lengths").bitwiseAND(_bit(n - (position - at))) != 0
+        frontier = pinned(states.join(edges, ["d", "node", "next"]).where(taken & below).select(
+            "d", "word", F.concat("node", "letter").alias("node"), (position + 1).alias("position"),
+            (F.col("letter") == "").alias("at_end")).coalesce(parts))
         ends.append(frontier)
     forth = lambda c: F.when(F.col("d") == 1, F.reverse(c)).otherwise(F.col(c))
     found = short.select(F.col("word").alias("a"), F.col("word").alias("b")).where("false")
