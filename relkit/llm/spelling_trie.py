@@ -51,7 +51,7 @@ LEAST_LENGTH = 5
 LEAST_COUNT = 3
 RATIO = 2
 DEPTH = 40                            # letters; word lengths are bits of a long, so at most 62
-BROADCAST_EDGES = 100_000             # of a level, of about 40 bytes each
+BROADCAST_EDGES = 20_000              # of a level, of about 40 bytes each
 #: A prime and a base for names of long words.
 PRIME = (1 << 127) - 1
 BASE = 0x2545F4914F6CDD1D2545F4914F6CDD1D
