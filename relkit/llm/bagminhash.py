@@ -13,10 +13,12 @@ are expected to be filled, and further only for texts with a gap.
 
 Signatures are cut into bands.  Texts of equal words are one class, so
 copies are neither banded nor compared.  In a bucket, every class is
-compared with one leader; a few rounds with different leaders join almost
-all of a group, and compare only classes that are still apart.  At last,
-classes of one bucket that are still in different groups meet block by
-block inside tasks, by 32-bit shingle names, so no pair that shares a
+compared with a few leaders, which joins almost all of a group.  Where the
+classes of a bucket are then still in different groups, those outside its
+largest group (the rest) meet all others of the bucket block by block
+inside tasks, by 32-bit shingle names; blocks are bounded in classes and
+in names.  So a class of the largest group is copied once per block of the
+rest, which is small where a group is large, and no pair that shares a
 bucket goes unjudged unless it is already joined; only pairs found near
 leave the task.  Every link is verified by the exact multiset overlap of
 all shingles (64-bit names).  Groups are the connected components.
@@ -25,9 +27,11 @@ With 25 bands of 5 a pair at similarity 0.8 shares a bucket with
 probability 0.99995.
 
 Defined results: a null text counts as empty; texts without words are one
-class.  A document with a null id is a group of its own.  Rows that repeat
-an id are one document.  Ids are integers.  An empty table gives an empty
-result.  Other columns are ignored.
+class.  Classes and groups are of texts, not of ids: rows that repeat an id
+(a null id included) with texts of different groups are in different
+groups, which may then show one group_id.  Ids are integers; null ids come
+after all others.  An empty table gives an empty result.  Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relkit.llm.common import key_runs, parts_for, pinned, shuffle_partitions, slices
+from relkit.llm.common import key_runs, parts_for, pinned, released, shuffle_partitions, slices
 from relkit.llm.components import components
 
 WORDS = 5
@@ -50,7 +54,9 @@ BANDS, ROWS = 25, 5
 #: Leaders of a bucket: the least number after a bitwise "xor" with each.
 LEADERS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
 BROADCAST_ROWS = 1_000_000
-BLOCK = 256                       # members of a bucket that are compared at a time
+BLOCK = 256                       # classes of a block of a bucket's rest
+PIECE = 2048                      # classes of a bucket's largest group that meet a block in one unit
+BLOCK_NAMES = 1 << 21             # shingles of a block or piece, about (one class may have more)
 _NAMES = 4096                     # columns of an incidence matrix
 _SLACK = 0.01                     # for equal short names of different shingles
 _KNOWN = 100_000                  # names of words a task remembers
@@ -210,9 +216,10 @@ def _named_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = _Names()
         for batch in slices(batches):
-            sets = [as_set(shingles((t or "").lower().split(), names, size)).tobytes()
-                    for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "names"])
+            words = [(t or "").lower().split() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(map(_key, words), pa.binary()),
+                 pa.array([as_set(shingles(w, names, size)).tobytes() for w in words], pa.binary())], ["key", "names"])
     return run
 
 
@@ -236,18 +243,17 @@ def _judge(threshold: float):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose multisets overlap enough.  Pairs of too different
-    size are left out first, and only the sets that are asked for move."""
-    na, nb = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
+def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs a, b whose multisets (rep, n, names) overlap enough.
+    Pairs of too different size are left out before any set moves."""
+    na, nb = (_few(sets.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"))) for c in "ab")
     close = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
-    sized = pairs.join(na, "a").join(nb, "b").where(close).select("a", "b").distinct()
-    asked = _few(pinned(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
-    own = sets.join(asked, "id", "left_semi")
-    x = own.select(F.col("id").alias("a"), F.col("names").alias("x"))
-    y = own.select(F.col("id").alias("b"), F.col("names").alias("y"))
-    return (sized.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-                 .mapInArrow(_judge(threshold), "a bigint, b bigint"))
+    sized = pinned(pairs.join(na, "a").join(nb, "b").where(close).select("a", "b").distinct())
+    x, y = (sets.select(F.col("rep").alias(c), F.col("names").alias(n)) for c, n in (("a", "x"), ("b", "y")))
+    links = pinned(sized.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+                        .mapInArrow(_judge(threshold), "a bigint, b bigint"))
+    released(sized)
+    return links
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -291,7 +297,7 @@ def _unit_links(threshold: float):
     different groups that overlap enough by short names: the best pair of
     each two groups, and all pairs too near the threshold to tell."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for unit in key_runs(batches, ["bucket", "i", "j"]):
+        for unit in key_runs(batches, ["bucket", "i", "j", "piece"]):
             held, other = unit[unit["role"] == 0], unit[unit["role"] == 1]
             if unit["i"].iloc[0] == unit["j"].iloc[0]:
                 other = held
@@ -313,37 +319,48 @@ def _unit_links(threshold: float):
     return run
 
 
-def _across(members: DataFrame, sets: DataFrame, threshold: float, parts: int) -> DataFrame:
-    """Pairs of bucket mates in different groups that may be near.  Members
-    (bucket, rep, root, blocks) meet inside tasks, block by block; only
-    near pairs come out."""
-    asked = _few(pinned(members.select("rep").distinct()))
-    short = (sets.withColumnRenamed("id", "rep").join(asked, "rep", "left_semi")
-                 .mapInArrow(_named32, "rep bigint, names binary"))
-    b = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    held = F.transform(F.filter(every, lambda j: j >= b), lambda j: F.struct(b.alias("i"), j.alias("j"), F.lit(0).alias("role")))
-    other = F.transform(F.filter(every, lambda i: i < b), lambda i: F.struct(i.alias("i"), b.alias("j"), F.lit(1).alias("role")))
-    units = members.withColumn("u", F.explode(F.concat(held, other)))
-    work = (units.select("bucket", "u.i", "u.j", "u.role", "rep", "root").join(short, "rep")
-                 .repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "role"))
-    return work.mapInPandas(_unit_links(threshold), "a bigint, b bigint").distinct()
-
-
-def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs a < b whose groups differ."""
-    ga = groups.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    gb = groups.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    return (pairs.join(ga, "a", "left").join(gb, "b", "left")
-                 .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
+def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, threshold: float, parts: int) -> DataFrame:
+    """Pairs of bucket mates in different groups that may be near.  The rest
+    of a bucket, in blocks, meets itself and the pieces of the largest
+    group inside tasks; only near pairs come out."""
+    sized = _few(sets.select("rep", "n"))
+    grouped = (members.select("bucket", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").join(sized, "rep")
+                      .select("bucket", "rep", F.coalesce("root", "rep").alias("root"), "n"))
+    by_root = grouped.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("names"))
+    largest = F.max(F.struct("classes", "names", "root"))
+    dealt = lambda c, each: F.greatest(F.ceil(F.col(f"{c}.classes") / each), F.ceil(F.col(f"{c}.names") / BLOCK_NAMES))
+    open_ = (by_root.groupBy("bucket").agg(largest.alias("main"), F.sum("classes").alias("classes"), F.sum("names").alias("names"))
+                    .where(F.col("classes") > F.col("main.classes"))
+                    .withColumn("rest", F.struct((F.col("classes") - F.col("main.classes")).alias("classes"),
+                                                 (F.col("names") - F.col("main.names")).alias("names")))
+                    .select("bucket", F.col("main.root").alias("main"), dealt("rest", BLOCK).cast("int").alias("blocks"),
+                            dealt("main", PIECE).cast("int").alias("pieces")))
+    mixed = pinned(grouped.join(open_, "bucket"))
+    none, upto = F.lit(-1), lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    place = lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")
+    unit = lambda i, j, piece, role: F.struct(i.alias("i"), j.alias("j"), piece.alias("piece"), F.lit(role).alias("role"))
+    b = place("blocks")
+    rest = F.concat(F.transform(F.filter(upto("blocks"), lambda j: j >= b), lambda j: unit(b, j, none, 0)),
+                    F.transform(F.filter(upto("blocks"), lambda i: i < b), lambda i: unit(i, b, none, 1)),
+                    F.transform(upto("pieces"), lambda p: unit(b, none, p, 0)))
+    main = F.transform(upto("blocks"), lambda i: unit(i, none, place("pieces"), 1))
+    units = mixed.withColumn("u", F.explode(F.when(F.col("root") == F.col("main"), main).otherwise(rest)))
+    asked = _few(mixed.select("rep").distinct())
+    short = sets.select("rep", "names").join(asked, "rep", "left_semi").mapInArrow(_named32, "rep bigint, names binary")
+    keys = ["bucket", "i", "j", "piece"]
+    work = (units.select("bucket", "u.i", "u.j", "u.piece", "u.role", "rep", "root").join(short, "rep")
+                 .repartition(parts, *keys).sortWithinPartitions(*keys, "role"))
+    found = pinned(work.mapInPandas(_unit_links(threshold), "a bigint, b bigint").distinct())
+    released(mixed)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS,
                     rows: int = ROWS, leaders: tuple[int, ...] = LEADERS) -> DataFrame:
     """One row per document: id, class_id (smallest id of the equal
-    texts), group_id (smallest id of the group), kept (id = group_id, or
-    the id is null)."""
+    texts), group_id (smallest id of the group) and kept (the id is
+    group_id, and the text the group's first of that id)."""
     judged = _judged(docs, id_col, text_col, threshold, words, bands, rows, leaders)
     return judged.select(F.col("id").alias(id_col), "class_id", "group_id", "kept")
 
@@ -355,70 +372,60 @@ def _judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class as ``key``."""
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     signed = pinned(own.mapInArrow(_signed(bands, rows, words), "id bigint, key binary, buckets array<bigint>"))
-    classes = pinned(signed.where("id is not null").groupBy("key")
-                           .agg(F.min("id").alias("rep"), F.first("buckets").alias("buckets")))
+    # A class is numbered once, and the numbers are pinned: its name among links.
+    classes = pinned(signed.groupBy("key").agg(F.min("id").alias("id"), F.first("buckets").alias("buckets"))
+                           .withColumn("rep", F.monotonically_increasing_id()))
     banded = classes.select("rep", F.explode("buckets").alias("bucket"))
     heads = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *[
-        F.min(F.col("rep").bitwiseXOR(F.lit(s))).alias(f"l{k}") for k, s in enumerate(leaders)])
-    heads = pinned(heads.where("n > 1"))
-    # Rows of the members table, and so a bound on the pairs of a round.
-    parts = parts_for(docs.sparkSession, heads.agg(F.sum("n")).first()[0] or 0)
-    members = pinned(banded.join(heads.drop("n"), "bucket").repartition(parts))
-    found = _few(members.select(F.col("rep").alias("id")).distinct())
-    sets = pinned(own.join(found, "id", "left_semi")
-                     .mapInArrow(_named_sets(words), "id bigint, names binary").distinct())
-    sizes = pinned(sets.select("id", F.length("names").alias("n")))
-
-    tested = links = groups = None
-
-    def judged(pairs: DataFrame) -> None:
-        """Compares pairs not yet compared, and joins groups."""
-        nonlocal tested, links, groups
-        fresh = pinned(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        got = pinned(_links(fresh, sets, sizes, threshold).repartition(parts))
-        tested = fresh if tested is None else tested.unionByName(fresh)
-        links = got if links is None else links.unionByName(got)
-        groups = pinned(components(links))
-
-    for k, s in enumerate(leaders):
-        leader = F.col(f"l{k}").bitwiseXOR(F.lit(s))
-        pairs = (members.select(F.least("rep", leader).alias("a"), F.greatest("rep", leader).alias("b"))
-                        .where("a < b").distinct().coalesce(parts))
-        judged(pairs if groups is None else _apart(pairs, groups))
-    grouped = members.select("bucket", "rep").join(
-        groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("root", "rep").alias("root"))
-    sized = grouped.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("mixed"),
-                                          F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    open_ = pinned(grouped.join(sized.where("mixed").drop("mixed"), "bucket"))
-    judged(_across(open_, sets, threshold, shuffle_partitions(docs.sparkSession)))
-    groups = groups.select(F.col("node").alias("rep"), "root")
-    by_class = classes.select("key", "rep").join(groups, "rep", "left") \
-                      .select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    by_class = pinned(by_class)
-    named = signed.where("id is not null").select("id", "key").join(by_class, "key") \
-                  .select("id", "key", F.col("rep").alias("class_id"), F.col("root").alias("group_id"))
-    nulls = signed.where("id is null").select("id", "key", F.col("id").alias("class_id"),
-                                              F.col("id").alias("group_id"))
-    return named.unionByName(nulls).select(
-        "id", "key", "class_id", "group_id", F.col("id").eqNullSafe(F.col("group_id")).alias("kept"))
+        F.min(F.col("rep").bitwiseXOR(F.lit(s))).alias(f"l{k}") for k, s in enumerate(leaders)]).where("n > 1")
+    members = pinned(banded.join(heads, "bucket"))
+    # Rows of the members table, and so a bound on the pairs of a leader.
+    parts = parts_for(docs.sparkSession, members.count())
+    members = members.coalesce(parts)
+    found = pinned(classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "id", "key"))
+    named = own.withColumn("own", F.struct("id")).join(
+        _few(found.select(F.struct("id").alias("own")).distinct()), "own", "left_semi").select("text")
+    sets = pinned(named.mapInArrow(_named_sets(words), "key binary, names binary").join(_few(found.select("key", "rep")), "key")
+                       .dropDuplicates(["rep"]).select("rep", F.length("names").alias("n"), "names"))
+    leader = F.explode(F.array(*[F.col(f"l{k}").bitwiseXOR(F.lit(s)) for k, s in enumerate(leaders)]))
+    pairs = (members.select("rep", leader.alias("leader"))
+                    .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
+                    .where("a < b").distinct().coalesce(parts))
+    led = _links(pairs, sets, threshold)
+    groups = pinned(components(led))
+    # With as few members as leaders, all have met.
+    across = _across(members.where(F.col("n") > min(3, len(leaders))), groups, sets, threshold, shuffle_partitions(docs.sparkSession))
+    more = _links(across, sets, threshold)
+    if more.count():
+        last = pinned(components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)))
+        released(groups)
+        groups = last
+    told = classes.select("key", "id", "rep").join(groups.select(F.col("node").alias("rep"), "root"), "rep", "left")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+    of_group = _few(pinned(told.where("root is not null").groupBy("root").agg(first.alias("first"))))
+    by_class = pinned(told.join(of_group, "root", "left").select(
+        "key", F.col("id").alias("class_id"), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("group_id"),
+        F.coalesce("first.key", "key").alias("first")))
+    released(classes, found, sets, led, across, more, groups)
+    return signed.select("id", "key").join(by_class, "key").select(
+        "id", "key", "class_id", "group_id", (F.col("id").eqNullSafe(F.col("group_id")) & (F.col("key") == F.col("first"))).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group, all columns kept.  Of rows
-    that repeat an id, one stays; rows with a null id all stay."""
-    judged = pinned(_judged(docs, id_col, text_col, **options).where("id is not null")
-                    .select(F.col("id").alias("_own"), F.col("key").alias("_key"), "kept"))
+    """``docs`` with one row of each group, all columns kept: of the
+    group's smallest id (null ids last), and of its texts the first."""
+    judged = pinned(_judged(docs, id_col, text_col, **options)
+                    .select(F.struct("id").alias("_own"), F.col("key").alias("_key"), "kept"))
     by_id = pinned(judged.groupBy("_own").agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("any"))
                          .where("n > 1 or not any"))
     gone, again = by_id.where("not any").select("_own"), by_id.where("any").select("_own")
-    own = F.col(id_col).cast("bigint")
-    left = docs.withColumn("_own", own).join(_few(gone), "_own", "left_anti")
+    left = docs.withColumn("_own", F.struct(F.col(id_col).cast("bigint").alias("id"))).join(_few(gone), "_own", "left_anti")
     repeated = _few(again)
     once = left.join(repeated, "_own", "left_anti")
     # Rows of an id may have different texts, of which only some are kept.
     rows = left.join(repeated, "_own", "left_semi")
     rows = rows.mapInArrow(_keyed(text_col), rows.withColumn("_key", F.lit(b"")).schema)
     texts = pinned(judged.where("kept").join(repeated, "_own", "left_semi").select("_own", "_key").distinct())
-    one = rows.join(texts, ["_own", "_key"], "left_semi").dropDuplicates(["_own"])
+    released(judged)
+    one = rows.join(texts, ["_own", "_key"], "left_semi").dropDuplicates(["_own", "_key"])
     return once.unionByName(one.drop("_key")).select(*docs.columns)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relkit.llm import bagminhash as B
+from relkit.llm import components as C
 
 
 def similarity(a, b):
@@ -72,6 +73,7 @@ def brute(rows):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_groups_match_all_pairs(spark, seed, monkeypatch):
     monkeypatch.setattr(B, "BLOCK", 16)
+    monkeypatch.setattr(B, "PIECE", 20)
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(300)]
     rows = []
@@ -89,19 +91,80 @@ def test_groups_match_all_pairs(spark, seed, monkeypatch):
     assert got == brute(rows)
 
 
+def judged(df):
+    return sorted(((r.doc_id or -1), (r.group_id or -1), r.kept) for r in B.near_duplicates(df).collect())
+
+
+def left(df):
+    return sorted(((r.doc_id or -1), r.text or "") for r in B.keep_one(df).collect())
+
+
 def test_nulls_repeats_and_empty_tables(spark):
-    text = " ".join(f"w{i}" for i in range(50))
-    rows = [(None, text, "a"), (None, text, "b"), (5, text, "c"), (5, text, "d"), (9, text + " more", None), (7, None, "e")]
+    text, alone = (" ".join(f"{c}{i}" for i in range(50)) for c in "wn")
+    rows = [(None, text, "a"), (None, text, "b"), (5, text, "c"), (5, text, "d"), (9, text + " more", None), (7, None, "e"),
+            (None, alone, "f"), (None, alone, "g"), (None, alone + " more", "h")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = sorted(((r.doc_id or -1), (r.group_id or -1), r.kept) for r in B.near_duplicates(df).collect())
-    assert got == [(-1, -1, True), (-1, -1, True), (5, 5, True), (5, 5, True), (7, 7, True), (9, 5, False)]
-    left = B.keep_one(df)
-    assert left.columns == df.columns and sorted((r.doc_id or -1) for r in left.collect()) == [-1, -1, 5, 7]
+    assert judged(df) == sorted([(-1, 5, False), (-1, 5, False), (5, 5, True), (5, 5, True), (7, 7, True), (9, 5, False),
+                                 *[(-1, -1, k) for k in B_kept(alone)]])
+    out = B.keep_one(df)
+    assert out.columns == df.columns
+    got = left(df)
+    assert got[:1] == [(-1, got[0][1])] and got[0][1] in (alone, alone + " more") and got[1:] == [(5, text), (7, "")]
     assert B.near_duplicates(df.limit(0)).count() == 0 and B.keep_one(df.limit(0)).count() == 0
 
 
+def B_kept(alone):
+    """Of texts without an id the one with the smallest name is kept, with its copies."""
+    return [True, True, False] if B._key(alone.split()) < B._key((alone + " more").split()) else [False, False, True]
+
+
 def test_an_id_with_two_texts_leaves_a_document_of_each_group(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
     rows = [(3, a, "x"), (7, a, "x"), (7, b, "x"), (8, b + " more", "x"), (9, b, "x"), (None, a, "n")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    assert sorted(((r.doc_id or -1), r.text) for r in B.keep_one(df).collect()) == [(-1, a), (3, a), (7, b)]
+    assert left(df) == [(3, a), (7, b)]
+    rows = [(7, a), (7, b), (8, a + " more"), (9, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert left(df) == [(7, a), (7, b)]
+    assert judged(df) == [(7, 7, True), (7, 7, True), (8, 7, False), (9, 7, False)]
+
+
+def test_a_large_group_is_copied_in_proportion(spark):
+    """Rows that meet in the blocks grow with the group, not with its square."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join([*base[:79 - i % 3], f"x{i}"])) for i in range(1500)]
+    rows += [(5000 + i, " ".join(rng.choice(base) for _ in range(80))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.group_id for r in B.near_duplicates(df).collect()}
+    assert all(got[i] == 0 for i in range(1500)) and all(got[i] == i for i in got if i >= 5000)
+
+
+def test_very_long_texts(spark):
+    words = [f"w{i % 7919}" for i in range(300_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:290_000])), (3, " ".join(words[:100_000])), (4, "short text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert judged(df) == [(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True)]
+
+
+def test_components_of_chains_and_hubs(spark, monkeypatch):
+    monkeypatch.setattr(C, "parts_for", lambda spark, rows: 8)
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(400)] + [(1000, 1000 + i) for i in range(1, 500)] + [(3000 - i, 3000) for i in range(1, 200)]
+    links += [(rng.randrange(5000, 5400), rng.randrange(5000, 5400)) for _ in range(300)] + [(7, 7), (None, 3)]
+    rng.shuffle(links)
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        if None not in (a, b) and a != b:
+            x, y = sorted((top(a), top(b)))
+            up[y] = x
+    want = sorted((x, top(x)) for x in list(up))
+    df = spark.createDataFrame(links, "a long, b long").repartition(8)
+    assert sorted(map(tuple, C.components(df).collect())) == want
+    assert C.components(df.limit(0)).count() == 0
