@@ -7,13 +7,18 @@ transitions tie neighbouring words, so a text may switch languages.  The
 posterior of every word comes from forward-backward over the whole text;
 the text's language is the one with the largest share of its words.
 
-Fitting takes a bounded sample: of each language the
-``sample_per_language`` documents with the smallest hash of their id (at
-most ``max_languages`` languages; more are an error), and
+Fitting takes a bounded sample: of each language the documents with the
+smallest hash of their id, ``sample_per_language`` or as many as keep all
+languages within ``SAMPLE`` documents (8 at least), and
 ``segment_words`` consecutive words of each.  Segments of different
-documents are strung together, so that switches are seen.  The model
-(2**bits weights a language, at most ``max_languages`` languages) is
-broadcast; its size does not depend on the data.
+documents are strung together, so that switches are seen.
+
+Any number of languages is learned.  One field tells ``max_languages``
+labels apart.  With more languages the fields form a chain: the first one
+tells the most frequent languages apart, and all others, as one label, go
+on to the next field.  The weights of all fields together are at most
+``WEIGHTS`` (fields of a long chain hash their n-grams to fewer weights),
+so the broadcast model is at most 256 MB whatever the data holds.
 
 Forward-backward runs over blocks of words, all blocks of a slice of
 documents at a time: first each block's transfer matrix, then the vectors
@@ -39,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relkit.llm.common import slices
+from relkit.llm.common import pinned, slices
 
 SAMPLE_PER_LANGUAGE = 400
 SEGMENT_WORDS = 64
@@ -49,6 +54,11 @@ ROUNDS = 40
 BLOCK = 64                       # words of a block in forward-backward
 _SLICE_WORDS = 300_000
 _SLICE_CHARS = 1_000_000
+SAMPLE = 3200                    # documents of a sample, if it has few languages
+SAMPLE_LEAST = 8                 # documents of a language, whatever their number
+WEIGHTS = 1 << 26                # of all fields
+OTHER = "\U0010ffff"             # the languages of the later fields
+BROADCAST_LANGUAGES = 100_000
 _KNOWN_WORDS = 200_000           # entries of a task's word cache
 UNDETERMINED = "und"
 
@@ -190,6 +200,28 @@ def fit(segments: list[tuple[str, list[str]]], bits: int = BITS, rounds: int = R
                  theta["t"], theta["s"])
 
 
+def fit_chain(segments: list[tuple[str, list[str]]], max_languages: int = MAX_LANGUAGES, **options) -> list[Model]:
+    """One field, or a chain of them if there are more languages; those
+    with the most segments come first."""
+    of = Counter(lang for lang, ws in segments if ws)
+    rest = sorted(of, key=lambda x: (-of[x], x))
+    if not rest:
+        return []
+    if len(rest) <= max_languages:
+        return [fit(segments, **options)]
+    fields = -(-(len(rest) - 1) // (max_languages - 1))
+    bits = min(BITS, (WEIGHTS // (fields * max_languages)).bit_length() - 1)
+    chain = []
+    while rest:
+        cut = len(rest) if len(rest) <= max_languages else max_languages - 1
+        own, rest = set(rest[:cut]), rest[cut:]
+        later = sorted((x for x in segments if x[0] in set(rest)), key=lambda x: (x[1], x[0]))
+        step = max(1, len(later) // (SAMPLE // 2))
+        part = [x for x in segments if x[0] in own] + [(OTHER, ws) for _, ws in later[::step]]
+        chain.append(fit(part, bits=bits, **options))
+    return chain
+
+
 def shares(emissions: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
     """Summed posteriors of the words of each document, documents x
     languages.  emissions: scores of all words, document after document;
@@ -305,7 +337,20 @@ class Labeller:
         return np.concatenate(out) if lettered else None
 
 
-def label(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
+def label(chain: list[Labeller], texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Language and score of each text: what a field leaves to the later
+    ones goes on to the next, and scores multiply."""
+    pred, score = _label(chain[0] if chain else None, texts)
+    for labeller in chain[1:]:
+        on = [i for i, p in enumerate(pred) if p == OTHER]
+        if not on:
+            break
+        for i, p, x in zip(on, *_label(labeller, [texts[i] for i in on])):
+            pred[i], score[i] = p, score[i] * x
+    return pred, score
+
+
+def _label(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and score of each text; documents are worked on in slices
     of bounded size."""
     pred, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
@@ -337,9 +382,9 @@ def label(labeller: Labeller | None, texts: list[str | None]) -> tuple[list[str]
 
 def _predict(handle):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(handle.value) if handle.value else None
+        chain = [Labeller(m) for m in handle.value]
         for batch in slices(batches):
-            pred, score = label(labeller, batch.column("text").to_pylist())
+            pred, score = label(chain, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 ["id", "lang_pred", "score"])
@@ -348,9 +393,9 @@ def _predict(handle):
 
 def _keep(handle, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(handle.value) if handle.value else None
+        chain = [Labeller(m) for m in handle.value]
         for batch in slices(batches):
-            pred, _ = label(labeller, batch.column(text_col).to_pylist())
+            pred, _ = label(chain, batch.column(text_col).to_pylist())
             yield batch.filter(pa.array([p != UNDETERMINED for p in pred], pa.bool_()))
     return run
 
@@ -371,25 +416,27 @@ def _segments(words: int):
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
-           sample_per_language: int, segment_words: int, max_languages: int) -> list[tuple[str, list[str]]]:
+           sample_per_language: int, segment_words: int) -> list[tuple[str, list[str]]]:
     """The bounded training sample, as (language, words)."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     own = rows.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"))
-    counts = own.groupBy("lang").agg(F.count(F.lit(1)).alias("of")).limit(max_languages + 1)
-    if counts.count() > max_languages:
-        raise ValueError(f"more than {max_languages} languages to learn")
+    counts = pinned(own.groupBy("lang").agg(F.count(F.lit(1)).alias("of")))
+    languages = counts.count()
+    sample_per_language = min(sample_per_language, max(SAMPLE_LEAST, SAMPLE // max(1, languages)))
+    if languages <= BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)
     # Hashes below a bound that some times the sample's size stay under, so
     # few rows of a language meet for the choice of the smallest.
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
     near = place < F.lit(float(1 << 40)) * (4 * sample_per_language) / F.col("of")
     first = Window.partitionBy("lang").orderBy("place", "id")
-    chosen = (own.join(F.broadcast(counts), "lang").withColumn("place", place).where(near)
+    chosen = (own.join(counts, "lang").withColumn("place", place).where(near)
                  .withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_per_language)
                  .select("id", "lang").collect())
     spark = docs.sparkSession
     if not chosen:
         return []
-    # at most sample_per_language * max_languages rows
+    # a bounded number of rows of each language
     keys = spark.createDataFrame(sorted({(r.id, r.lang) for r in chosen}, key=str), "id string, lang string")
     texts = (rows.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"),
                          F.col(text_col).alias("text"))
@@ -405,13 +452,12 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample_per_language: int = SAMPLE_PER_LANGUAGE, segment_words: int = SEGMENT_WORDS,
-          max_languages: int = MAX_LANGUAGES) -> Model | None:
-    return fit(sample(docs.where(~held_out(id_col)), id_col, text_col, lang_col,
-                      sample_per_language, segment_words, max_languages),
-               segment_words=segment_words)
+          max_languages: int = MAX_LANGUAGES) -> list[Model]:
+    return fit_chain(sample(docs.where(~held_out(id_col)), id_col, text_col, lang_col, sample_per_language, segment_words),
+                     max_languages, segment_words=segment_words)
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
+def identify(docs: DataFrame, model: list[Model], id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """One row per document: id, lang_pred, score (share of its words)."""
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

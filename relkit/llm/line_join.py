@@ -29,8 +29,9 @@ always kept.
 
 Defined results: a null text counts as empty and is one empty line.  A
 line of a document with a null id is dropped if an equal or linked line
-has an id, and else kept.  Rows that repeat an id keep or lose a line
-together.  Ids are integers.  An empty table gives an empty result.  Other
+has an id, and else kept.  Rows that repeat an id with one text keep or
+lose a line together; with different texts each is judged by its own
+lines.  Ids are integers.  An empty table gives an empty result.  Other
 columns are ignored.
 """
 
@@ -54,8 +55,14 @@ CHUNKS = 8                       # of a line, to sort out candidates
 FIRST_CHARS = 12                 # characters that sort out false candidates
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("bigint").alias("id"),
+def _row(id_col: str, text_col: str) -> Column:
+    """The name of a row: its id and two hashes of its text."""
+    return F.struct(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("t1"),
+                    F.xxhash64(F.lit(1), F.col(text_col)).alias("t2"))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, row: list[Column]) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), *row,
                        F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("no", "line")) \
                .withColumn("chars", F.char_length("line"))
 
@@ -229,7 +236,14 @@ def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per line: id, line_no (from 0), n_chars, group_doc and
     group_line (the first line of its group), group_size (lines), n_links
     (different lines within ``edits``) and kept."""
-    lines = _lines(docs, id_col, text_col)
+    return _linked(docs, id_col, text_col, edits, min_chars, min_equal, [])
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int, min_equal: int | None,
+            row: list[Column]) -> DataFrame:
+    """``link_lines`` with further columns of each line's document."""
+    lines = _lines(docs, id_col, text_col, row)
+    more = lines.columns[1:-3]
     least = min_chars if min_equal is None else min(min_equal, min_chars)
     judged = lines.where(F.col("chars") >= min_chars)
     plan = _plan(edits)
@@ -276,7 +290,7 @@ def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     BROADCAST_WIDE_ROWS)
     # Place in the table as one number, so that the first line is a minimum.
     place = F.col("id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("no")
-    occur = lines.where(F.col("chars") >= least).select("id", "no", "chars", *_names(), place.cast("decimal(38,0)").alias("place"))
+    occur = lines.where(F.col("chars") >= least).select("id", *more, "no", "chars", *_names(), place.cast("decimal(38,0)").alias("place"))
     classes = (occur.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
                     .join(near, ["h1", "h2"], "left"))
     classes = pinned(classes)
@@ -297,22 +311,27 @@ def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          .cast("bigint").alias("group_line"),
                          F.coalesce("group_size", F.lit(1)).alias("group_size"),
                          F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-                         F.col("place").eqNullSafe(first).alias("kept"))
+                         F.col("place").eqNullSafe(first).alias("kept"), *more)
     alone = lines.where(F.col("chars") < least).select(
         F.col("id").alias(id_col), F.col("no").cast("bigint").alias("line_no"),
         F.col("chars").cast("bigint").alias("n_chars"), F.col("id").alias("group_doc"),
         F.col("no").cast("bigint").alias("group_line"), F.lit(1).cast("bigint").alias("group_size"),
-        F.lit(0).cast("bigint").alias("n_links"), F.lit(True).alias("kept"))
+        F.lit(0).cast("bigint").alias("n_links"), F.lit(True).alias("kept"), *more)
     return rows_.unionByName(alone)
 
 
-def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  edits: int = EDITS, min_chars: int = MIN_CHARS, min_equal: int | None = None) -> DataFrame:
     """``docs`` with the lines that are not kept cut out of their texts; all
-    columns stay.  A text that loses no line is unchanged, also if null."""
-    gone = (link_lines(docs, id_col, text_col, **options).where("not kept")
-            .groupBy(F.col(id_col).cast("bigint").alias("_own"))
-            .agg(F.collect_set("line_no").alias("_gone")))
-    joined = docs.withColumn("_own", F.col(id_col).cast("bigint")).join(pinned(gone), "_own", "left")
-    left = F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains("_gone", i.cast("bigint")))
-    return joined.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col))
-                                        .otherwise(F.array_join(left, "\n"))).select(*docs.columns)
+    columns stay.  A text that loses no line is unchanged, also if null.
+    What is cut is collected for each text, so it is bounded by the text."""
+    row = _row(id_col, text_col)
+    gone = (_linked(docs, id_col, text_col, edits, min_chars, min_equal, [row.alias("_row")]).where("not kept")
+            .groupBy("_row").agg(F.collect_set("line_no").alias("_gone")))
+    joined = docs.withColumn("_row", row).join(pinned(gone), "_row", "left")
+    parts = joined.withColumn("_lines", F.when(F.col("_gone").isNotNull(), F.split(F.col(text_col), "\n")))
+    # By hashing, so linear in the lines of a long text.
+    stay = F.array_except(F.sequence(F.lit(0).cast("bigint"), F.size("_lines").cast("bigint") - 1), "_gone")
+    left = F.transform(stay, lambda i: F.get("_lines", i.cast("int")))
+    return parts.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col))
+                                       .otherwise(F.array_join(left, "\n"))).select(*docs.columns)

@@ -4,10 +4,11 @@ A document may belong to several sources.  Documents are aggregated by
 membership pattern (the set of their sources), so the flow network has a
 node per pattern, not per document: pattern -> its sources -> quotas.
 Taking a pattern's words once costs nothing, every further time costs one
-more (convex), up to ``copies`` times.  Successive augmentation, level by
-level, gives the flow that fills the quotas at the least repetition.  A
-source that shares no document with another needs no search: its one
-pattern supplies its quota.  The flow is then turned into documents: all
+more (convex), up to ``copies`` times.  Blocking flows, cost level by cost
+level, give the flow that fills the quotas at the least repetition.  The
+network falls into components of sources that share documents; each is
+solved in a task of its own (a table with one source per document has a
+component per source).  The flow is then turned into documents: all
 documents of a pattern are taken as many whole times as the flow covers,
 and the rest is filled in the order of a seeded hash; the one document at
 the boundary is taken in part, so a pattern's words come out exactly.
@@ -17,9 +18,8 @@ digits, then of the next ones within the one bucket that holds the cut,
 and only the documents of that last bucket are put in order.  No source is
 gathered in one task.
 
-Only patterns of overlapping sources go to the driver, one row per
-pattern, and at most ``max_patterns`` (beyond that an error is raised,
-nothing is dropped).
+Memory of a task: the memberships of one component (patterns, not
+documents).
 
 Defined results: a null text has size 0 and is never taken; a null source
 is a source of its own, ordered last; an empty set of sources takes part
@@ -30,22 +30,23 @@ ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict, deque
+from collections import deque
 from dataclasses import dataclass
 from fractions import Fraction
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from relkit.llm.common import pinned
+from relkit.llm.components import components
 from relkit.operators.scan import running_sum
 
 WEIGHTS = (5, 2, 1)
 SHARE = Fraction(3, 2)
 COPIES = 2
 SEED = "mix-1"
-MAX_PATTERNS = 100_000
 BROADCAST_ROWS = 10_000
 _DIGITS = 3                     # hexadecimal digits of one histogram
 
@@ -96,70 +97,95 @@ def route(capacity: dict, quota: dict, copies: int) -> dict:
     """Words taken from each pattern (a tuple of sources) by the flow that
     fills the quotas as far as possible at the least cost, where the k-th
     time a pattern is taken costs k - 1.  Cheaper levels are exhausted
-    first; later augmentations reroute but never return what is taken."""
-    flow: dict = {p: dict.fromkeys(p, 0) for p in capacity}
-    users = defaultdict(list)
-    for p in capacity:
-        for s in p:
-            users[s].append(p)
-    left = dict(quota)
+    first; later augmentations reroute but never return what is taken.  In
+    a level, layers of nodes by distance from the patterns with words to
+    spare admit many paths at once, found by walks that never enter a dead
+    end twice."""
+    patterns, sources = list(capacity), {s: i for i, s in enumerate(quota)}
+    arcs = [[sources[s] for s in p] for p in patterns]
+    flow = [dict.fromkeys(a, 0) for a in arcs]
+    back: list[dict[int, None]] = [{} for _ in sources]          # patterns that send words to a source
+    left = list(quota.values())
     for _ in range(copies):
-        spare = dict(capacity)
+        spare = [capacity[p] for p in patterns]
         while True:
-            came: dict = {("p", p): None for p in spare if spare[p] > 0}
-            queue, end = deque(came), None
-            while queue and end is None:
-                kind, x = node = queue.popleft()
-                if kind == "p":
-                    steps = [("s", s) for s in x]
-                elif left[x] > 0:
-                    end = node
-                    break
-                else:
-                    steps = [("p", p) for p in users[x] if flow[p][x] > 0]
-                for y in steps:
-                    if y not in came:
-                        came[y] = node
-                        queue.append(y)
-            if end is None:
+            layer_p, layer_s = {p: 0 for p, w in enumerate(spare) if w > 0}, {}
+            queue, reached = deque(layer_p), False
+            while queue and not reached:
+                p = queue.popleft()
+                for s in arcs[p]:
+                    if s in layer_s:
+                        continue
+                    layer_s[s] = layer_p[p] + 1
+                    reached = reached or left[s] > 0
+                    for q in back[s]:
+                        if q not in layer_p:
+                            layer_p[q] = layer_s[s] + 1
+                            queue.append(q)
+            if not reached:
                 break
-            path = [end]
-            while came[path[-1]] is not None:
-                path.append(came[path[-1]])
-            path.reverse()                               # pattern, source, pattern, ..., source
-            amount = min(spare[path[0][1]], left[end[1]],
-                         *[flow[p[1]][s[1]] for s, p in zip(path[1:-1:2], path[2::2])])
-            spare[path[0][1]] -= amount
-            left[end[1]] -= amount
-            for p, s in zip(path[::2], path[1::2]):
-                flow[p[1]][s[1]] += amount
-            for s, p in zip(path[1:-1:2], path[2::2]):
-                flow[p[1]][s[1]] -= amount
-    return {p: sum(f.values()) for p, f in flow.items()}
-
-
-def _amounts(patterns: DataFrame, targets: DataFrame, copies: int, max_patterns: int) -> DataFrame:
-    """members, words and amount (words to take) of every pattern."""
-    quota = targets.select("source", F.floor(F.col("target") + 0.5).cast("bigint").alias("quota"))
-    each = (patterns.withColumn("n", F.size("members"))
-                    .select("members", "words", "n", F.explode("members").alias("source")))
-    shared = (each.groupBy(F.struct("source").alias("key"))
-                  .agg((F.max("n") > 1).alias("shared")))
-    each = (each.withColumn("key", F.struct("source")).join(shared, "key")
-                .join(quota.select(F.struct("source").alias("key"), "quota"), "key"))
-    alone = (each.where(~F.col("shared"))
-                 .select("members", "words", F.least("quota", F.col("words") * copies).alias("amount")))
-    tangled = each.where("shared").select("members", "words", "source", "quota").limit(max_patterns + 1).collect()
-    if not tangled:
-        return alone
-    if len(tangled) > max_patterns:
-        raise ValueError(f"more than {max_patterns} memberships of overlapping sources; "
-                         "merge rare sources or raise max_patterns")
-    taken = route({tuple(r.members): r.words for r in tangled},
-                  {r.source: r.quota for r in tangled}, copies)
-    cap = {tuple(r.members): r.words for r in tangled}
-    rows = [(list(p), cap[p], int(a)) for p, a in taken.items()]
-    return alone.unionByName(patterns.sparkSession.createDataFrame(rows, alone.schema))
+            steps_p = {p: iter(arcs[p]) for p in layer_p}
+            steps_s = {s: iter(list(back[s])) for s in layer_s}
+            for begin in [p for p, d in layer_p.items() if d == 0]:
+                path = [begin]                                   # pattern, source, pattern, ...
+                while path and spare[begin] > 0:
+                    node, at_source = path[-1], len(path) % 2 == 0
+                    if at_source and left[node] > 0:
+                        amount = min(spare[begin], left[node], *[flow[q][s] for s, q in zip(path[1:-1:2], path[2::2])])
+                        spare[begin] -= amount
+                        left[node] -= amount
+                        for p, s in zip(path[::2], path[1::2]):
+                            flow[p][s] += amount
+                            back[s][p] = None
+                        for s, p in zip(path[1:-1:2], path[2::2]):
+                            flow[p][s] -= amount
+                            if not flow[p][s]:
+                                del back[s][p]
+                        path = [begin]
+                        continue
+                    if at_source:
+                        ahead = next((q for q in steps_s[node] if layer_p.get(q) == layer_s[node] + 1 and flow[q][node] > 0), None)
+                    else:
+                        ahead = next((s for s in steps_p[node] if layer_s.get(s) == layer_p[node] + 1
+                                      and (left[s] > 0 or s in steps_s)), None)
+                    if ahead is not None:
+                        path.append(ahead)
+                        continue
+                    path.pop()                                   # a dead end: its steps are used up
+                    (steps_s if at_source else steps_p)[node] = iter(())
+                    if at_source:
+                        layer_s[node] = -1
+                    else:
+                        layer_p[node] = -1
+    return {p: sum(f.values()) for p, f in zip(patterns, flow)}
+
+
+def _routed(copies: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """pattern and amount of a component of memberships."""
+        members = rows.sort_values(["pattern", "place"]).groupby("pattern", sort=True)["place"].agg(tuple)
+        words = rows.groupby("pattern")["words"].first()
+        # Two patterns never have the same sources.
+        number = {m: p for p, m in members.items()}
+        taken = route({m: int(words[p]) for p, m in members.items()},
+                      {int(s): int(q) for s, q in zip(rows["place"], rows["quota"])}, copies)
+        return pd.DataFrame({"pattern": [number[m] for m in taken], "amount": list(taken.values())})
+    return run
+
+
+def _amounts(patterns: DataFrame, targets: DataFrame, copies: int) -> DataFrame:
+    """members, words and amount (words to take) of every pattern with a
+    source."""
+    numbered = pinned(patterns.where(F.size("members") > 0).withColumn("pattern", F.monotonically_increasing_id()))
+    quota = pinned(targets.select(F.struct("source").alias("key"), F.floor(F.col("target") + 0.5).cast("bigint").alias("quota"))
+                          .withColumn("place", F.monotonically_increasing_id()))
+    each = pinned(numbered.select("pattern", "words", F.explode("members").alias("source"))
+                          .withColumn("key", F.struct("source")).join(quota, "key").select("pattern", "words", "place", "quota"))
+    # Patterns and sources are nodes of one graph: even and odd numbers.
+    links = each.select((F.col("place") * 2).alias("a"), (F.col("pattern") * 2 + 1).alias("b"))
+    roots = components(links).select((F.col("node") / 2).cast("bigint").alias("place"), "root").where("node % 2 = 0")
+    taken = each.join(roots, "place").groupBy("root").applyInPandas(_routed(copies), "pattern bigint, amount bigint")
+    return numbered.join(taken, "pattern").select("members", "words", "amount")
 
 
 def _cut(docs: DataFrame, need: DataFrame, depth: int, hint) -> tuple[DataFrame, DataFrame]:
@@ -177,18 +203,19 @@ def _cut(docs: DataFrame, need: DataFrame, depth: int, hint) -> tuple[DataFrame,
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, copies: int = COPIES,
-        seed: str = SEED, max_patterns: int = MAX_PATTERNS) -> Mix:
+        seed: str = SEED, carry: list[str] | None = None) -> Mix:
     """``source_col`` holds a source, or an array of sources for documents
-    of several."""
+    of several; ``carry`` names columns to keep."""
+    carry = carry or []
     source = F.col(source_col)
     many = isinstance(docs.schema[source_col].dataType, ArrayType)
     members = F.sort_array(F.array_distinct(source)) if many else F.array(source.cast("string"))
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
-    sized = pinned(docs.select(F.col(id_col).alias("id"), members.alias("members"),
+    sized = pinned(docs.select(*carry, F.col(id_col).alias("id"), members.alias("members"),
                                words(F.col(text_col)).alias("size"), F.md5(text).alias("hash")))
     patterns = pinned(sized.groupBy("members").agg(F.sum("size").alias("words")))
     targets = pinned(_targets(patterns, weights, share, copies))
-    amounts = (_amounts(patterns, targets, copies, max_patterns)
+    amounts = (_amounts(patterns, targets, copies)
                .withColumn("whole", F.when(F.col("words") > 0, F.floor(F.col("amount") / F.col("words")))
                                      .otherwise(0).cast("bigint"))
                .select(F.struct("members").alias("key"), "whole",
@@ -207,10 +234,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     second = pinned(_cut(near, first.select("key", "rest"), 1, hint))
     last = inside(near, second, 1)
     # The last bucket's documents in order: the cut lies in one of them.
-    upto = (Window.partitionBy("key").orderBy("hash", "size", "id")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = F.sum("size").over(upto) - F.col("size")
-    on_edge = (last.withColumn("before", before)
+    # Rows without an id, or of one id, share a hash: they may be very many.
+    last = pinned(last.withColumn("row", F.monotonically_increasing_id()))
+    on_edge = (running_sum(last, ["key"], ["hash", "size", "id", "row"], "size", "upto")
+                   .withColumn("before", F.col("upto") - F.col("size"))
                    .join(hint(second.select("key", "rest")), "key")
                    .join(hint(amounts.select("key", "whole")), "key")
                    .withColumn("extra", F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("before")))))
@@ -220,11 +247,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     judged = keyed.join(hint(cuts), "key", "left")
     at_edge = F.coalesce((d0 == F.col("b0")) & (d1 == F.col("b1")), F.lit(False))
     extra = F.when((d0 < F.col("b0")) | (d0 == F.col("b0")) & (d1 < F.col("b1")), F.col("size")).otherwise(0)
-    out = ["id", "members", "size", "whole", "extra"]
+    out = [*carry, "id", "members", "size", "whole", "extra"]
     rows = (judged.where(~at_edge).withColumn("extra", extra).select(*out)
                   .unionByName(on_edge.select(*out)))
     taken = F.coalesce(F.col("whole") * F.col("size") + F.col("extra"), F.lit(0)).cast("bigint")
-    return Mix(rows.select(F.col("id").alias(id_col), "members", "size", taken.alias("taken")), targets)
+    return Mix(rows.select(*carry, F.col("id").alias(id_col), "members", "size", taken.alias("taken")), targets)
 
 
 def mixed_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -244,12 +271,20 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     source_col: str = "source", **options) -> DataFrame:
     """The documents of the mix, all columns kept, each as many times as it
     is taken; the document at a source's boundary is taken whole if at
-    least half of it is.  Rows that repeat an id share what is taken."""
-    got = mix(docs, id_col, text_col, source_col, **options).documents
-    times = (got.groupBy(F.struct(F.col(id_col).alias("id")).alias("_own"))
-                .agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
-                .select("_own", F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5))
-                                 .otherwise(0).cast("int").alias("_times"))
-                .where("_times > 0"))
-    joined = docs.withColumn("_own", F.struct(F.col(id_col).alias("id"))).join(pinned(times), "_own")
-    return joined.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    least half of it is.  Rows of one id, source and text share what is
+    taken among them, so whole times come out for all of them together."""
+    named = docs.select("*", F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                                      F.xxhash64(text_col).alias("text")).alias("_own"))
+    got = mix(named, id_col, text_col, source_col, carry=["_own"], **options).documents
+    times = pinned(got.where("size > 0").groupBy("_own")
+                      .agg(F.sum("taken").alias("taken"), F.first("size").alias("size"), F.count(F.lit(1)).alias("_rows"))
+                      .select("_own", "_rows", F.floor(F.col("taken") / F.col("size") + 0.5).cast("bigint").alias("_times"))
+                      .where("_times > 0"))
+    joined = named.join(times, "_own")
+    once = joined.where("_rows = 1")
+    # Equal rows are numbered; the first ones take one time more.
+    many = pinned(joined.where("_rows > 1").withColumns({"_row": F.monotonically_increasing_id(), "_one": F.lit(1).cast("bigint")}))
+    dealt = running_sum(many, ["_own"], ["_row"], "_one", "_nth").withColumn(
+        "_times", F.floor(F.col("_times") / F.col("_rows")) + (F.col("_nth") <= F.col("_times") % F.col("_rows")).cast("bigint"))
+    rows = once.select(*docs.columns, "_times").unionByName(dealt.where("_times > 0").select(*docs.columns, "_times"))
+    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(*docs.columns)

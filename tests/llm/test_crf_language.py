@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -106,3 +107,19 @@ def test_clean_texts_in_several_languages_are_kept(spark):
     scores = {r.doc_id: r.score for r in C.predict_all(df).collect()}
     assert scores[1001] < 0.5 and scores[1002] < 0.5
     assert {r.doc_id for r in C.keep_identified(df).collect()} == {r[0] for r in rows} - {1003}
+
+
+@pytest.mark.parametrize("n", [70, 300])
+def test_any_number_of_languages(spark, n):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    def word(i, k):
+        return letters[i % 26] + letters[i // 26 % 26] + letters[(i * 7 + k) % 26] + letters[k]
+    rows = [(d * n + i, " ".join(word(i, (d + j) % 20) for j in range(12)), f"l{i:03d}") for d in range(6) for i in range(n)]
+    rows += [(10**6, None, "l000"), (10**6 + 1, "12", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in C.predict_all(df).collect()}
+    known = {f"l{i:03d}" for i in range(n)}
+    assert len(got) == len(rows) and got[10**6].lang_pred == got[10**6 + 1].lang_pred == "und"
+    assert all(got[i].lang_pred in known and 0 <= got[i].score <= 1 for i, t, _ in rows[:-2])
+    right = [got[i].lang_pred == lang for i, _, lang in rows[:-2] if got[i].held_out]
+    assert sum(right) > 0.8 * len(right)

@@ -119,3 +119,18 @@ def test_query_drops_equal_short_lines(spark, tmp_path):
     df.write.parquet(f"{tmp_path}/documents.parquet")
     got = {(r.doc_id, r.line_no): r.kept for r in QUERIES["op5_line_join"](spark, str(tmp_path)).collect()}
     assert got == {(1, 0): True, (1, 1): True, (2, 0): False, (2, 1): True}
+
+
+def test_rows_of_one_id_are_cut_by_their_own_lines(spark):
+    d, u = "a line that stands in many documents", "a line that stands nowhere else at all"
+    rows = [(3, d), (7, u), (7, d), (None, d), (None, d), (None, f"{u}!!!!!!!\n{d}"), (8, None)]
+    got = J.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id or -1), r.text) for r in got.collect() if r.doc_id != 8) == sorted(
+        [(3, d), (7, u), (7, ""), (-1, ""), (-1, ""), (-1, f"{u}!!!!!!!")])
+
+
+def test_a_text_of_very_many_lines(spark):
+    n = 150_000
+    rows = [(1, "\n".join(f"{i:07d}{i * 7919 % 1000003:07d} tail" for i in range(n))), (2, "\n".join(f"{i:07d}{i * 7919 % 1000003:07d} tail" for i in range(0, n, 2)) + "\nend")]
+    got = {r.doc_id: r.text for r in J.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string"), min_chars=10**6, min_equal=1).collect()}
+    assert got == {1: rows[0][1], 2: "end"}

@@ -75,8 +75,48 @@ def test_overlapping_sources(spark):
         taken[tuple(r.members or ())] = taken.get(tuple(r.members or ()), 0) + r.taken
     assert taken[()] == 0
     assert sum(taken.values()) == sum(int(t + 0.5) for t in target.values())
-    with pytest.raises(ValueError):
-        X.mix(df, max_patterns=1)
+
+
+def test_route_of_many_memberships():
+    """A network of over 100,000 memberships, against the bound of its cuts."""
+    rng = random.Random(1)
+    sources = range(300)
+    cap = {}
+    while sum(map(len, cap)) <= 110_000:
+        cap[tuple(sorted(rng.sample(sources, rng.choice([1, 2, 3, 4]))))] = rng.randrange(1, 50)
+    total = sum(cap.values())
+    quota = {s: total * 3 // 2 // 300 for s in sources}
+    got = X.route(cap, quota, 2)
+    assert all(got[p] <= 2 * cap[p] for p in cap) and sum(got.values()) == sum(quota.values())
+    assert sum(min(got[p], cap[p]) for p in cap) == total              # nothing is repeated before all is taken
+
+
+def test_components_of_sources_are_solved_apart(spark):
+    rng = random.Random(4)
+    docs = []
+    for i in range(600):
+        block = i % 6
+        docs.append((i, "x " * rng.randrange(1, 30), rng.sample([f"{block}{c}" for c in "abc"], rng.choice([1, 1, 2]))))
+    df = spark.createDataFrame(docs, "doc_id long, text string, source array<string>")
+    got = X.mix(df, weights=(1, 2), share=Fraction(1))
+    cap, taken = {}, {}
+    for r in got.documents.collect():
+        cap[tuple(r.members)] = cap.get(tuple(r.members), 0) + r.size
+        taken[tuple(r.members)] = taken.get(tuple(r.members), 0) + r.taken
+    quota = {r.source: int(r.target + 0.5) for r in got.targets.collect()}
+    want = X.route(cap, quota, 2)
+    assert sum(want.values()) == sum(taken.values())
+    assert sum(cost(want[p], cap[p]) for p in cap) == sum(cost(taken[p], cap[p]) for p in cap)
+
+
+def test_documents_without_an_id_meet_the_target(spark):
+    rows = [(None, f"w{i} " * 10, "a") for i in range(100)] + [(None, "same " * 10, "b")] * 40 + [(1, "one " * 10, "c")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {}
+    for r in X.mixed_documents(df).collect():
+        out[r.source] = out.get(r.source, 0) + len(r.text.split())
+    target = {r.source: r.target for r in X.mix(df).targets.collect()}
+    assert all(abs(out[s] - target[s]) <= 10 for s in target)
 
 
 def test_nulls_repeats_and_empty_tables(spark):
