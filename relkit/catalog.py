@@ -16,10 +16,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from relkit.operators import activity as T
 from relkit.operators import analytics as A
 from relkit.operators import joins as J
 from relkit.operators import select as S
 from relkit.plans import procedures as P
+from relkit.plans import streams as R
 from relkit.plans import views as V
 from relkit.sources import Tables
 
@@ -32,6 +34,7 @@ class Query:
     rows_sf001: int | None = None     # expected rows at sf0.01
     # of a query that writes a table: the rows it writes, without writing
     plan: Callable[[Tables], DataFrame] | None = None
+    portable: bool = True             # the SQL text also runs on Spark
 
     def run(self, spark: SparkSession, data_dir: str) -> DataFrame:
         return self.build(Tables.from_dir(spark, data_dir))
@@ -306,6 +309,64 @@ QUERIES: list[Query] = [
     Query("v3_persisted_view", V.frequent_customers_view, """
         SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
         FROM orders GROUP BY o_custkey HAVING count(*) >= 15""", 124, plan=V.customer_order_totals),
+    # --- over time -----------------------------------------------------
+    Query("t1_as_of_join", T.errors_after_purchases, """
+        WITH p AS (
+            SELECT user_id, ts, event_id, value,
+                   lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
+            FROM events
+            WHERE event_type = 'purchase' AND user_id IS NOT NULL AND ts IS NOT NULL AND event_id IS NOT NULL)
+        SELECT e.event_id, e.user_id, e.ts, p.event_id AS purchase_id, p.ts AS purchase_ts, p.value AS purchase_value
+        FROM events e
+        LEFT JOIN p ON p.user_id = e.user_id AND p.ts <= e.ts AND (p.next_ts IS NULL OR e.ts < p.next_ts)
+        WHERE e.event_type = 'error'"""),
+    Query("t2_trailing_window", T.trailing_spend, """
+        SELECT o_orderkey, o_custkey, o_orderdate, count(*) OVER w AS n_orders, round(sum(o_totalprice) OVER w, 2) AS spent
+        FROM orders
+        WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate
+                     RANGE BETWEEN INTERVAL '30' DAY PRECEDING AND CURRENT ROW)""", 15_000),
+    Query("t3_open_orders", T.open_orders, """
+        WITH shipped AS (SELECT l_orderkey, max(l_shipdate) AS done FROM lineitem GROUP BY l_orderkey),
+        spans AS (
+            SELECT o_orderdate, done FROM orders LEFT JOIN shipped ON o_orderkey = l_orderkey
+            WHERE o_orderdate IS NOT NULL AND (done IS NULL OR done > o_orderdate)),
+        bounds AS (
+            SELECT o_orderdate AS instant, 1 AS s, 0 AS e FROM spans
+            UNION ALL SELECT done, 0, 1 FROM spans WHERE done IS NOT NULL),
+        instants AS (
+            SELECT instant, CAST(sum(s) AS BIGINT) AS n_started, CAST(sum(e) AS BIGINT) AS n_ended FROM bounds GROUP BY instant)
+        SELECT instant, n_started, n_ended, CAST(sum(n_started - n_ended) OVER (ORDER BY instant) AS BIGINT) AS n_open
+        FROM instants"""),
+    Query("t4_sessions", T.user_sessions, """
+        WITH g AS (
+            SELECT user_id, ts, value, event_id,
+                   CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL '6' HOUR THEN 0 ELSE 1 END AS is_new
+            FROM events WHERE ts IS NOT NULL),
+        s AS (SELECT *, sum(is_new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM g)
+        SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events,
+               round(sum(value), 2) AS total_value
+        FROM s GROUP BY user_id, session"""),
+    Query("t5_event_properties", T.event_properties, """
+        WITH e AS (
+            SELECT event_type, props,
+                   CASE WHEN json_valid(props) THEN json_type(props) = 'OBJECT' ELSE false END AS valid FROM events),
+        k AS (
+            SELECT event_type, props, valid,
+                   unnest(CASE WHEN valid AND len(json_keys(props)) > 0 THEN json_keys(props) ELSE [NULL] END) AS key
+            FROM e),
+        v AS (
+            SELECT *, CASE WHEN key IS NOT NULL
+                           THEN TRY_CAST(json_extract_string(props, '$."' || key || '"') AS DOUBLE) END AS number FROM k)
+        SELECT event_type, key, count(*) AS n_events, count(*) FILTER (props IS NULL) AS n_missing,
+               count(*) FILTER (props IS NOT NULL AND NOT valid) AS n_malformed, count(number) AS n_numbers,
+               round(sum(number), 2) AS total
+        FROM v GROUP BY event_type, key""", portable=False),
+    Query("t6_stream_totals", R.daily_totals, """
+        SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n_events, round(sum(value), 2) AS total_value
+        FROM events WHERE ts IS NOT NULL
+        GROUP BY 1, 2
+        HAVING date_trunc('day', min(ts)) + INTERVAL '25' HOUR <= (SELECT max(ts) FROM events)""",
+          plan=R.daily_totals_plan),
     # --- procedures ----------------------------------------------------
     Query("p1_param_report", lambda t: P.priority_report(t, 200_000), """
         SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relkit.functions import money, month_start, net_price
-from relkit.plans.strategies import band_join, left_outer_join, not_in, right_outer_join
+from relkit.plans.strategies import band_join, broadcast_if_few, left_outer_join, not_in, right_outer_join
 from relkit.sources import Tables
 
 BIG_ORDER = 300_000
@@ -143,7 +143,9 @@ def balance_brackets(t: Tables, width: float = 1000.0) -> DataFrame:
     brackets = (t.supplier.where(F.col("s_acctbal").isNotNull())
                  .groupBy(low.alias("bracket_low")).agg(F.count(F.lit(1)).alias("n_suppliers"))
                  .withColumn("_middle", F.col("bracket_low") + width / 2))
-    near = band_join(c, brackets, "c_acctbal", "_middle", width)
+    # A handful of brackets: broadcast behind a count, so that customers are
+    # not dealt by a handful of keys.
+    near = band_join(c, broadcast_if_few(brackets), "c_acctbal", "_middle", width)
     return (near.where((F.col("c_acctbal") >= F.col("bracket_low"))
                        & (F.col("c_acctbal") < F.col("bracket_low") + width))
                 .select("c_custkey", "c_acctbal", "bracket_low", "n_suppliers"))

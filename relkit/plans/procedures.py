@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from relkit.functions import money, year_of
 from relkit.session import output_dir
 from relkit.sources import Tables
-from relkit.sources.summary import (new_version, publish, refuse_input_folder, sql_path, sql_text,
+from relkit.sources.summary import (new_version, publish, publish_after, refuse_input_folder, sql_path, sql_text,
                                     versions)
 
 
@@ -77,8 +77,9 @@ def refresh_order_summary(t: Tables, out_dir: str, year: int | None = None) -> D
     """Rebuild the order summary under ``out_dir`` as a new version,
     partitioned by year: the whole table, or only ``year``, whose rows are
     replaced (and gone if the year has no orders any more) while the other
-    years are taken over from the version before.  Returns the new version
-    read back; readers of older ones are not disturbed.  ``out_dir`` must
+    years are taken over from the version before.  If another write comes
+    between, a one-year refresh publishes nothing and raises
+    ConcurrentWrite.  Returns the new version read back; readers of older ones are not disturbed.  ``out_dir`` must
     not overlap a folder the orders are read from."""
     refuse_input_folder(t.spark, out_dir, _inputs(t, t.orders))
     base = out_dir.rstrip("/")
@@ -87,7 +88,9 @@ def refresh_order_summary(t: Tables, out_dir: str, year: int | None = None) -> D
     if year is not None and before:
         old = t.spark.read.schema(SUMMARY_SCHEMA).parquet(before[-1])
         fresh = old.where(F.col("year").isNull() | (F.col("year") != year)).unionByName(fresh)
-    path = publish(fresh, base, ["year"])
+        path = publish_after(t.spark, fresh, base, before[-1], ["year"])
+    else:
+        path = publish(fresh, base, ["year"])
     return t.spark.read.schema(SUMMARY_SCHEMA).parquet(path)
 
 

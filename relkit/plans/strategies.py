@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relkit.session import ensure_checkpoint_dir
+
 
 def left_outer_join(left: DataFrame, right: DataFrame,
                     on: Sequence[tuple[str, str]]) -> DataFrame:
@@ -120,7 +122,10 @@ BROADCAST_ROWS = 10_000
 
 
 def broadcast_if_few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it is seen to have at most ``rows``
-    rows (a job that stops after one row more); else as it is, for an
-    ordinary join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df`` marked for broadcast if it has at most ``rows`` rows, else as
+    it is, for an ordinary join.  For aggregates, which have to be finished
+    to be counted: the result is written to the checkpoint folder first, so
+    they are computed once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    done = df.checkpoint(eager=True)
+    return F.broadcast(done) if done.count() <= rows else done

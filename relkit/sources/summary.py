@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from relkit.session import qualified
@@ -54,6 +55,39 @@ def publish(df: DataFrame, base: str, partition_cols: list[str] | None = None,
     return path
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another write came between reading a table and replacing it."""
+
+
+def publish_after(spark: SparkSession, df: DataFrame, base: str, before: str,
+                  partition_cols: list[str] | None = None) -> str:
+    """``publish`` for rows made from the version ``before``: if that is no
+    longer the newest one, nothing is published and ConcurrentWrite is
+    raised.  The rows are written aside first and named when they are
+    complete; of two writes from one version, the one that creates the
+    version's successor mark (an exclusive create) is published."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    as_path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    aside = f"{base}/_writing-{uuid.uuid4().hex}"
+    fs = as_path(base).getFileSystem(conf)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(aside)
+    mark = f"{base}/_next-of-{before.rsplit('/', 1)[-1]}"
+    try:
+        if versions(spark, base)[-1:] != [before]:
+            raise ConcurrentWrite(f"{base}: {before} is not the newest version any more")
+        try:
+            fs.create(as_path(mark), False).close()
+        except Py4JJavaError as e:
+            raise ConcurrentWrite(f"{base}: another write from {before} was published") from e
+        path = new_version(base)
+        if not fs.rename(as_path(aside), as_path(path)):
+            raise RuntimeError(f"could not move {aside} to {path}")
+        return path
+    finally:
+        fs.delete(as_path(aside), True)
+
+
 def remove_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` committed versions; returns the
     paths deleted.  For the caller to run when no reader uses them."""

@@ -19,7 +19,7 @@ from relkit.sources.tables import SCHEMAS
 # row key used to pick the rows that get a null, per table
 ROW_KEY = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
            "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
-           "lineitem": "l_orderkey"}
+           "lineitem": "l_orderkey", "events": "event_id"}
 
 
 @pytest.fixture(scope="module")
