@@ -3,7 +3,8 @@
 smallest of them, until each component is a star around its smallest
 node.  Before each step every task joins the links of its own partition to
 stars (union-find over a bounded number of rows), so long chains shrink at
-once and a node has one link a partition to a smaller one.  Minima are
+once and a node has one link a partition to a smaller one (left out if ``native``, for
+operators that run no Python: the same result in more rounds).  Minima are
 combined map-side, so a hub's links are not gathered; the tables of minima
 are broadcast behind a count, and else joined with adaptive skew handling.
 Links stay distributed and are pinned between rounds; what a round has
@@ -57,24 +58,25 @@ def _mark(edges: DataFrame) -> tuple[int, object]:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", native: bool = False) -> DataFrame:
     """node, root for every node of a link between two different nodes
     (whole numbers); root is the smallest node of the component.  Null ends
     are ignored."""
     spark = links.sparkSession
 
     def joined(df: DataFrame, rows: int) -> DataFrame:
-        return pinned(df.coalesce(parts_for(spark, rows)).mapInArrow(_stars, "u bigint, v bigint"))
+        few = df.coalesce(parts_for(spark, rows))
+        return pinned(few if native else few.mapInArrow(_stars, "u bigint, v bigint"))
 
     def bounded(df: DataFrame, rows: int) -> DataFrame:
         return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
     own = pinned(links.where(F.col(a) != F.col(b))
                       .select(F.greatest(a, b).cast("bigint").alias("u"), F.least(a, b).cast("bigint").alias("v")))
-    edges = joined(own, own.count())
+    edges = joined(own.distinct() if native else own, own.count())
     released(own)
     before, now = None, _mark(edges)
-    while now != before and edges.rdd.getNumPartitions() > 1:
+    while now != before and (native or edges.rdd.getNumPartitions() > 1):
         # large-star: (u, v) goes to the smallest that v hangs on
         least = bounded(edges.groupBy("u").agg(F.min("v").alias("m")), now[0])
         up = least.withColumnRenamed("u", "v")

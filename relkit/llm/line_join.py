@@ -284,7 +284,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars:
     links = pinned(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     n_links = (links.select(F.explode(F.array("a", "b")).alias("lid")).groupBy("lid")
                     .agg(F.count(F.lit(1)).alias("n_links")))
-    roots = components(links)
+    roots = components(links, native=True)
     near = _bounded(pinned(texts.select("h1", "h2", "lid").join(n_links, "lid")
                                 .join(roots.withColumnRenamed("node", "lid"), "lid").drop("lid")),
                     BROADCAST_WIDE_ROWS)

@@ -167,4 +167,5 @@ def test_components_of_chains_and_hubs(spark, monkeypatch):
     want = sorted((x, top(x)) for x in list(up))
     df = spark.createDataFrame(links, "a long, b long").repartition(8)
     assert sorted(map(tuple, C.components(df).collect())) == want
+    assert sorted(map(tuple, C.components(df, native=True).collect())) == want
     assert C.components(df.limit(0)).count() == 0
