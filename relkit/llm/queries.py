@@ -91,7 +91,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10, dim: int = 64) -> str:
+    """k-means in whole numbers, a step after the other.  A distance and a
+    centroid's number make one number, so the smaller one wins ties."""
+    near = """
+        SELECT r, vec_id, x, best % {k} AS c, best // {k} AS d FROM (
+            SELECT v.r, any_value(v.vec_id) AS vec_id, any_value(v.x) AS x,
+                   min({k} * CAST(list_sum(list_transform(list_zip(v.x, m.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)
+                       + m.c) AS best
+            FROM v, {centroids} AS m GROUP BY v.r)"""
+    steps = [f"""
+        v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor({1024} * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h NULLS LAST, x) - 1 AS c, x
+            FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h NULLS LAST, x LIMIT {k}))"""]
+    for i in range(rounds):
+        steps.append(f"""
+        a{i} AS MATERIALIZED ({near.format(k=k, centroids=f"c{i}")}),
+        m{i} AS (
+            SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS x
+            FROM (SELECT c, j, sum(y) AS s, count(*) AS n
+                  FROM (SELECT c, unnest(x) AS y, generate_subscripts(x, 1) AS j FROM a{i}) GROUP BY c, j) GROUP BY c),
+        c{i + 1} AS MATERIALIZED (
+            SELECT o.c, coalesce(m.x, o.x) AS x FROM c{i} AS o LEFT JOIN m{i} AS m ON m.c = o.c)""")
+    return f"""
+        WITH {",".join(steps)},
+        f AS MATERIALIZED ({near.format(k=k, centroids=f"c{rounds}")})
+        SELECT f.vec_id, CAST(f.c AS INTEGER) AS cluster, CAST(f.d AS BIGINT) AS distance,
+               CAST(sum(f.d) OVER (PARTITION BY f.c) AS BIGINT) AS cluster_inertia, CAST(sum(f.d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(m.x, ',')) AS centroid_sha256
+        FROM f JOIN c{rounds} AS m ON m.c = f.c"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_vantage_clusters": _clusters_sql(),
     # Shares: sources in order of 2 * size / weight are full up to the first
     # one that the level of the rest does not fill.
     "op3_mix_flow": """
