@@ -131,6 +131,60 @@ def _clusters_sql(k: int = 8, rounds: int = 10, dim: int = 64) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "op11_vantage_clusters": _clusters_sql(),
+    # The checksum is the exclusive or of a table's entries for each byte and
+    # its distance from the end; 3988292384 is the reversed polynomial.
+    "op12_spelling_trie": """
+        WITH RECURSIVE found AS (
+            SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{C0}-\\x{FF}]{5,}')) AS run FROM documents),
+        runs AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, * FROM (
+                SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+                FROM found GROUP BY 1, 2)),
+        hexed AS MATERIALIZED (SELECT r, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS h FROM runs WHERE doc_id IS NOT NULL),
+        bits AS (
+            SELECT b, 0 AS i, b AS v FROM range(256) AS x(b)
+            UNION ALL
+            SELECT b, i + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE i < 8),
+        first AS MATERIALIZED (SELECT b, v FROM bits WHERE i = 8),
+        entries AS (
+            SELECT 0 AS k, b, v FROM first
+            UNION ALL
+            SELECT k + 1, entries.b, xor(entries.v >> 8, first.v) FROM entries JOIN first ON first.b = entries.v & 255
+            WHERE k < (SELECT max(len(h)) // 2 FROM hexed)),
+        bytes AS (
+            SELECT r, len(h) // 2 - 1 - i AS k,
+                   xor(CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT), CASE WHEN i < 4 THEN 255 ELSE 0 END) AS b
+            FROM (SELECT r, h, unnest(range(len(h) // 2)) AS i FROM hexed)),
+        sums AS (
+            SELECT r, xor(bit_xor(v), 4294967295) AS h FROM bytes JOIN entries ON entries.k = bytes.k AND entries.b = bytes.b GROUP BY r),
+        spelt AS (
+            SELECT CASE WHEN h % 97 = 0
+                        THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) + 2 AS BIGINT))
+                        ELSE run END AS word, n
+            FROM runs LEFT JOIN sums USING (r)),
+        w AS MATERIALIZED (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        less AS MATERIALIZED (
+            SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+            FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+        links AS (
+            SELECT a.word, b.word AS near FROM less AS a JOIN less AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT less.word, w.word FROM less JOIN w ON less.rest = w.word
+            UNION SELECT w.word, less.word FROM less JOIN w ON less.rest = w.word),
+        ranked AS (
+            SELECT links.word, near, m.n AS near_n, count(*) OVER (PARTITION BY links.word) AS n_near,
+                   row_number() OVER (PARTITION BY links.word ORDER BY m.n DESC, near) AS place
+            FROM links JOIN w AS m ON m.word = near),
+        told AS MATERIALIZED (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+                   CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+            FROM w LEFT JOIN ranked ON ranked.word = w.word AND place = 1),
+        walk AS (
+            SELECT word, word AS root, form AS next FROM told
+            UNION ALL
+            SELECT walk.word, told.word, told.form FROM walk JOIN told ON told.word = walk.next)
+        SELECT told.word, told.form, walk.root, told.n, told.n_near, told.form_n
+        FROM told JOIN walk ON walk.word = told.word AND walk.next IS NULL""",
     # Shares: sources in order of 2 * size / weight are full up to the first
     # one that the level of the rest does not fill.
     "op3_mix_flow": """
