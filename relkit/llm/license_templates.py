@@ -4,6 +4,7 @@ A template is the wording of a license with marks for what may differ:
 
     <<beginOptional>> words that may be missing <<endOptional>>
     <<var;words=0..8>>   any words, as many as stated, may stand here
+    <<oneOf;a|b c>>      one of these wordings stands here
 
 Every template is compiled to an automaton over words; all templates form
 one automaton, whose deterministic states are made as texts need them.  A
@@ -11,6 +12,11 @@ text is accepted from a place on if the mandatory wording matches exactly,
 word by word; case, punctuation and line breaks do not count.  The
 automaton is started only at words with which some template can begin.
 
+Labels that end in ``-text`` stand for the whole mandatory wording of a
+license, conditions and disclaimer included; a text that lacks, changes or
+adds a word there does not get them.  Labels that end in ``-notice`` stand
+for a sentence that names a license.
+
 Words of a text: A-Z are lower-cased; a word is a run of characters other
 than ASCII ones that are neither digits nor letters.  Texts are scanned in
 blocks that overlap by the longest template, whole texts at any length.
@@ -51,9 +57,28 @@ TEMPLATES = (
         restriction, including without limitation the rights to use, copy, modify, merge,
         publish, distribute, sublicense, and/or sell copies of the Software, and to permit
         persons to whom the Software is furnished to do so, subject to the following
-        conditions: <<var;words=0..8>> The above copyright notice and this permission notice
+        conditions: The above copyright notice and this permission notice
         <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in
-        all copies or substantial portions of the Software."""),
+        all copies or substantial portions of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
+        PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+        THE <<var;words=1..12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER
+        IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+        WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("mit-0-text", """
+        Permission is hereby granted, free of charge, to any person obtaining a copy
+        of this software and associated documentation files
+        <<beginOptional>>(the "Software")<<endOptional>>, to deal in the Software without
+        restriction, including without limitation the rights to use, copy, modify, merge,
+        publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
+        PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+        THE <<var;words=1..12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER
+        IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+        WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
     ("mit-notice", """
         <<beginOptional>>released<<endOptional>> under the <<beginOptional>>terms of
         the<<endOptional>> MIT License"""),
@@ -82,15 +107,103 @@ TEMPLATES = (
     ("cc-by-sa-4.0-notice", """
         licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>>
         CC BY-SA 4.0"""),
-    ("bsd-text", """
+    ("bsd-2-clause-text", """
         Redistribution and use in source and binary forms, with or without modification, are
-        permitted provided that the following conditions are met"""),
+        permitted provided that the following conditions are met:
+        <<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the
+        above copyright notice, this list of conditions and the following disclaimer.
+        <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution.
+        THIS SOFTWARE IS PROVIDED BY <<var;words=1..12>> "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY
+        AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+        <<var;words=1..12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+        SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+        STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+        OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("bsd-3-clause-text", """
+        Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met:
+        <<beginOptional>>1.<<endOptional>> Redistributions of source code must retain the
+        above copyright notice, this list of conditions and the following disclaimer.
+        <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution.
+        <<beginOptional>>3.<<endOptional>> Neither the name of <<var;words=1..12>> nor the
+        names of <<oneOf;its|the>> contributors may be used to endorse or promote products
+        derived from this software without specific prior written permission.
+        THIS SOFTWARE IS PROVIDED BY <<var;words=1..12>> "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY
+        AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+        <<var;words=1..12>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+        SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+        STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+        OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
     ("isc-text", """
         Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this
-        software for any purpose with or without fee is hereby granted"""),
+        software for any purpose with or without fee is hereby granted, provided that
+        the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND <<var;words=1..12>> DISCLAIMS ALL WARRANTIES WITH
+        REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+        FITNESS. IN NO EVENT SHALL <<var;words=1..12>> BE LIABLE FOR ANY SPECIAL, DIRECT,
+        INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF
+        USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS
+        ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+        SOFTWARE."""),
+    ("0bsd-text", """
+        Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this
+        software for any purpose with or without fee is hereby granted.
+        THE SOFTWARE IS PROVIDED "AS IS" AND <<var;words=1..12>> DISCLAIMS ALL WARRANTIES WITH
+        REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+        FITNESS. IN NO EVENT SHALL <<var;words=1..12>> BE LIABLE FOR ANY SPECIAL, DIRECT,
+        INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF
+        USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS
+        ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+        SOFTWARE."""),
+    ("zlib-text", """
+        This software is provided <<oneOf;'as-is'|'as is'>>, without any express or implied
+        warranty. In no event will the <<oneOf;author|authors>> be held liable for any
+        damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including
+        commercial applications, and to alter it and redistribute it freely, subject to the
+        following restrictions:
+        <<beginOptional>>1.<<endOptional>> The origin of this software must not be
+        misrepresented; you must not claim that you wrote the original software. If you use
+        this software in a product, an acknowledgment in the product documentation would be
+        appreciated but is not required.
+        <<beginOptional>>2.<<endOptional>> Altered source versions must be plainly marked as
+        such, and must not be misrepresented as being the original software.
+        <<beginOptional>>3.<<endOptional>> This notice may not be removed or altered from any
+        source distribution."""),
     ("mpl-2.0-notice", """
         This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"""),
     ("unlicense-text", """
+        This is free and unencumbered software released into the public domain.
+        Anyone is free to copy, modify, publish, use, compile, sell, or distribute this
+        software, either in source code form or as a compiled binary, for any purpose,
+        commercial or non-commercial, and by any means.
+        In jurisdictions that recognize copyright laws, the author or authors of this
+        software dedicate any and all copyright interest in the software to the public
+        domain. We make this dedication for the benefit of the public at large and to the
+        detriment of our heirs and successors. We intend this dedication to be an overt act
+        of relinquishment in perpetuity of all present and future rights to this software
+        under copyright law.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
+        PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+        THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION
+        OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+        SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+        <<beginOptional>>For more information, please refer to
+        <<var;words=1..4>><<endOptional>>"""),
+    ("bsd-notice", """
+        Use of this source code is governed by a BSD-style license"""),
+    ("unlicense-notice", """
         This is free and unencumbered software released into the public domain"""),
     ("all-rights-reserved", """
         copyright <<beginOptional>>(c)<<endOptional>> <<var;words=1..6>> all rights reserved"""),
@@ -163,6 +276,17 @@ def compile_templates(templates: list[str]) -> Automaton:
                 auto.free[at].append(to)
                 auto.free[opened.pop()].append(to)
                 at = to
+            elif mark == "oneOf":
+                end, longest = auto.new(), 0
+                for wording in part.split(";", 1)[1].split("|"):
+                    branch, ways = at, words_of(wording.encode())
+                    for w in ways:
+                        to = auto.new()
+                        auto.step[branch].setdefault(w, []).append(to)
+                        branch = to
+                    auto.free[branch].append(end)
+                    longest = max(longest, len(ways))
+                at, most = end, most + longest
             elif mark == "var" and (m := re.search(r"words=(\d+)\.\.(\d+)", part)):
                 low, high = map(int, m.groups())
                 end = auto.new()

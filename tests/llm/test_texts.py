@@ -117,6 +117,88 @@ def test_templates_need_their_mandatory_words():
             L.compile_templates([bad])
 
 
+def filled(name, rng=None):
+    """A template's wording with its regions filled in one of the ways that
+    its marks allow (all optional ones present without ``rng``)."""
+    text = dict(L.TEMPLATES)[name]
+    pick = (lambda options: rng.choice(options)) if rng else (lambda options: options[0])
+    text = re.sub(r"<<oneOf;(.*?)>>", lambda m: pick(m[1].split("|")), text, flags=re.S)
+    text = re.sub(r"<<var;words=(\d+)\.\.(\d+)>>", lambda m: " some" * pick([int(m[2]), int(m[1])]), text)
+    return re.sub(r"<<beginOptional>>(.*?)<<endOptional>>", lambda m: pick([m[1], ""]), text, flags=re.S)
+
+
+def plain_matches(text):
+    """(template, start) of every accepted place, by regular expressions
+    over the words."""
+    words = L.words_of(text.encode())
+    line, starts = " ".join(w.decode() for w in words) + " ", [0]
+    for w in words:
+        starts.append(starts[-1] + len(w.decode()) + 1)
+    found = set()
+    for name, template in L.TEMPLATES:
+        rule = ""
+        for k, part in enumerate(re.split(r"<<(.*?)>>", template, flags=re.S)):
+            wording = lambda x: "".join(re.escape(w.decode()) + " " for w in L.words_of(x.encode()))
+            if k % 2 == 0:
+                rule += wording(part)
+            elif part == "beginOptional":
+                rule += "(?:"
+            elif part == "endOptional":
+                rule += ")?"
+            elif part.startswith("oneOf"):
+                rule += "(?:" + "|".join(map(wording, part.split(";", 1)[1].split("|"))) + ")"
+            else:
+                low, high = re.search(r"(\d+)\.\.(\d+)", part).groups()
+                rule += r"(?:\S+ ){%s,%s}" % (low, high)
+        whole = re.compile(rule)
+        found |= {(name, n) for n, at in enumerate(starts[:-1]) if whole.match(line, at)}
+    return found
+
+
+def test_whole_license_wordings():
+    scanner = L.Scanner([x for _, x in L.TEMPLATES])
+    def labels(text):
+        return {L.TEMPLATES[t][0] for t, _, _ in scanner.scan(text.encode())[1]}
+    texts = [x for x, _ in L.TEMPLATES if x.endswith("-text")]
+    assert len(texts) == 8
+    rng = random.Random(5)
+    for name in texts:
+        for _ in range(5):
+            assert name in labels("Copyright 2020\n" + filled(name, rng) + " more")
+        whole = filled(name).split()
+        assert {x for x in labels(" ".join(whole)) if x.endswith("-text")} == {name}
+        assert name not in labels(" ".join(whole[:len(whole) // 2]))
+        assert name not in labels(" ".join(whole[:40] + ["never"] + whole[40:]))
+    # one sentence or an altered condition is not the license
+    for text in ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+                 "provided that the following conditions are met: you pay us.",
+                 filled("mit-text").split("THE SOFTWARE IS")[0],
+                 filled("mit-text").replace("conditions:", "conditions: no commercial use."),
+                 "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+                 "fee is hereby granted only on Mondays"):
+        assert not {x for x in labels(text) if x.endswith("-text")}
+
+
+def test_random_edits_match_a_plain_matcher(monkeypatch):
+    monkeypatch.setattr(L, "_BLOCK", 700)
+    rng = random.Random(6)
+    scanner = L.Scanner([x for _, x in L.TEMPLATES])
+    names, accepted = [x for x, _ in L.TEMPLATES], 0
+    for _ in range(120):
+        text = []
+        for name in rng.sample(names, 3):
+            words = filled(name, rng).split()
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                at = rng.randrange(len(words))
+                words[at:at + rng.choice([0, 1])] = rng.choice([[], ["word"], [words[-1]], ["some", "more"]])
+            text += words + ["end"]
+        text = " ".join(text)
+        want = plain_matches(text)
+        assert {(names[t], a) for t, a, _ in scanner.scan(text.encode())[1]} == want
+        accepted += len(want)
+    assert accepted > 100
+
+
 def test_feistel_is_a_permutation_and_turns_back():
     f = P.Feistel(b"k")
     for n in (1, 2, 3, 10, 97, 1000):
