@@ -19,7 +19,13 @@ unit returns, per vector, its number of links and one link to a
 representative that keeps connectivity, never the pairs.
 
 The codebooks are fitted on a bounded sample (the ``sample_rows`` rows with
-the smallest hash of their id); every vector is indexed.
+the smallest hash of their id, of the ``LENGTHS`` commonest lengths, and
+fewer of them if they take more than ``SAMPLE_BYTES``); every vector is
+indexed.  Vectors shorter than the codebooks are filled with zeros, longer
+ones are folded: their components are added up with fixed random signs at
+as many places as the codebooks have, which keeps distances in expectation.
+So a few very long vectors cost no more than themselves.  Links are always
+verified on whole vectors.
 
 Defined results: a vector that is null, zero or holds a null or non-finite
 component, or whose label or id is null, links with nothing and is its own
@@ -48,6 +54,9 @@ BLOCK = 512
 VISITORS = 8                     # blocks' worth of visitors in a unit
 PER_CELL = 200                   # vectors a cell of the grid has on average
 MAX_CODEWORDS = 1024             # of each half
+MAX_DIM = 4096                   # of the codebooks
+LENGTHS = 8                      # lengths that the sample is taken from
+SAMPLE_BYTES = 256 << 20
 BROADCAST_ROWS = 200_000
 _SLICE = 2048
 _COPIES = 16_384                 # visits that are in memory at a time
@@ -60,10 +69,18 @@ class Index:
     dim: int
 
 
+def _fold(x: np.ndarray, dim: int) -> np.ndarray:
+    if x.shape[1] < dim:
+        return np.pad(x, ((0, 0), (0, dim - x.shape[1])))
+    if x.shape[1] == dim:
+        return x
+    sign = np.random.default_rng(x.shape[1]).choice([-1.0, 1.0], x.shape[1])
+    return np.add.reduceat(x * sign, np.arange(dim) * x.shape[1] // dim, axis=1)
+
+
 def _halves(x: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors cut or filled up to the codebooks' length, in halves."""
-    if x.shape[1] != dim:
-        x = np.pad(x[:, :dim], ((0, 0), (0, max(0, dim - x.shape[1]))))
+    """Unit vectors folded or filled up to the codebooks' length, in halves."""
+    x = _fold(x, dim)
     return x[:, :dim // 2], x[:, dim // 2:]
 
 
@@ -258,18 +275,25 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     classes = pinned(good.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m"))
                          .withColumn("h", F.xxhash64("v")).withColumn("dim", F.size("v")))
     rows = classes.count()
-    # Hashes below a bound that some times the sample's size stay under, so
-    # few rows meet for the choice of the smallest.
-    place = F.pmod(F.xxhash64("rep"), F.lit(1 << 40))
-    near = place < float(1 << 40) * 4 * sample_rows / max(1, rows)
-    first = classes.where(near).orderBy(place, "rep", "h").select("v").limit(sample_rows).toPandas()
     result = ["id", "n_links", "component_id"]
     alone = bad.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
     if not rows:
         return _named(alone, id_col)
-    dim = int(first["v"].map(len).max())
-    sample = np.stack([np.pad(np.asarray(v, np.float64), (0, dim - len(v))) for v in first["v"]])
-    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    # The commonest length, and the next ones unless they alone would take
+    # the sample's bytes.
+    lengths = classes.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(LENGTHS).collect()
+    fits = lengths[:1] + [r for r in lengths[1:] if 8 * r.dim * sample_rows <= SAMPLE_BYTES]
+    longest = max(r.dim for r in fits)
+    dim = min(max(2, longest), MAX_DIM)
+    most = max(2, min(sample_rows, SAMPLE_BYTES // (8 * longest)))
+    # Hashes below a bound that some times the sample's size stay under, so
+    # few rows meet for the choice of the smallest.
+    place = F.pmod(F.xxhash64("rep"), F.lit(1 << 40))
+    near = place < float(1 << 40) * 4 * most / sum(r["count"] for r in fits)
+    first = (classes.where(F.col("dim").isin([r.dim for r in fits]) & near)
+                    .orderBy(place, "rep", "h").select("v").limit(most).toPandas())
+    sample = np.concatenate([_fold(_unit(own), dim) for _, own in first["v"].groupby(first["v"].map(len))])
+    sample /= np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-12)
     handle = spark.sparkContext.broadcast(build(sample, rows, threshold, target_recall))
 
     element = classes.schema["v"].dataType.simpleString()

@@ -67,6 +67,29 @@ def test_hot_group_of_near_copies(spark):
     check(spark, rows, block=32)
 
 
+def test_long_vectors_cost_no_more_than_themselves(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    long = [[float(x) for x in rng.standard_normal(6000)] for _ in range(3)]
+    near = [[x + 0.05 * float(e) for x, e in zip(v, rng.standard_normal(6000))] for v in long]
+    rows = made(7, 200, 8) + [(700 + i, v, 1) for i, v in enumerate(long + near)] + [(800, [1.0], 1), (801, [2.0], 1)]
+    built = []
+    build = M.build
+    monkeypatch.setattr(M, "build", lambda sample, *rest: built.append(sample.shape) or build(sample, *rest))
+    check(spark, rows)
+    assert built[0][1] == 8
+    assert [n for i, n, _ in brute(rows) if 700 <= (i or 0) < 706] == [1] * 6
+    # all vectors long: the codebooks are folded
+    monkeypatch.setattr(M, "MAX_DIM", 16)
+    monkeypatch.setattr(M, "SAMPLE_BYTES", 8 * 40 * 150)
+    built.clear()
+    check(spark, made(8, 200, 40))
+    assert built == [(150, 16)]
+
+
+def test_one_component(spark):
+    check(spark, [(i, [float(1 + i % 3)], 1) for i in range(9)] + [(20, [-1.0], 1)])
+
+
 def test_bad_vectors_repeats_and_empty_tables(spark):
     one = [1.0, 0.0, 0.0, 0.0]
     rows = [(1, one, 0), (2, one, 0), (2, one, 0), (3, None, 0), (4, [0.0] * 4, 0), (5, [float("nan"), 1.0, 0.0, 0.0], 0),
