@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from relkit.operators import activity as T
 from relkit.operators import analytics as A
 from relkit.operators import joins as J
+from relkit.operators import patterns as M
+from relkit.operators import sampling as G
 from relkit.operators import select as S
 from relkit.plans import procedures as P
 from relkit.plans import streams as R
@@ -367,6 +369,34 @@ QUERIES: list[Query] = [
         GROUP BY 1, 2
         HAVING date_trunc('day', min(ts)) + INTERVAL '25' HOUR <= (SELECT max(ts) FROM events)""",
           plan=R.daily_totals_plan),
+    Query("t7_event_funnel", M.funnel, """
+        WITH e AS (
+            SELECT event_id, ts, user_id, event_type FROM events WHERE event_type IN ('view', 'click', 'purchase')),
+        f AS (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+            FROM e WHERE user_id IS NOT NULL AND ts IS NOT NULL AND event_id IS NOT NULL),
+        g AS (
+            SELECT *,
+                   min(CASE WHEN event_type = 'click' THEN n END) OVER later AS click,
+                   min(CASE WHEN event_type = 'purchase' THEN n END) OVER later AS purchase
+            FROM f WINDOW later AS (PARTITION BY user_id ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+        SELECT v.user_id, v.event_id, v.ts, c.event_id AS step_2_event_id, c.ts AS step_2_ts,
+               b.event_id AS step_3_event_id, b.ts AS step_3_ts,
+               CASE WHEN b.n IS NOT NULL THEN 3 WHEN c.n IS NOT NULL THEN 2 ELSE 1 END AS n_steps
+        FROM g v LEFT JOIN g c ON c.user_id = v.user_id AND c.n = v.click AND c.ts <= v.ts + INTERVAL '72' HOUR
+                 LEFT JOIN g b ON b.user_id = v.user_id AND b.n = c.purchase AND b.ts <= v.ts + INTERVAL '72' HOUR
+        WHERE v.event_type = 'view'
+        UNION ALL
+        SELECT user_id, event_id, ts, NULL, NULL, NULL, NULL, 1 FROM e
+        WHERE event_type = 'view' AND (user_id IS NULL OR ts IS NULL OR event_id IS NULL)"""),
+    Query("g1_stratified_sample", G.order_sample, """
+        SELECT o_orderkey, o_custkey, o_orderpriority FROM (
+            SELECT o_orderkey, o_custkey, o_orderpriority,
+                   row_number() OVER (PARTITION BY o_orderpriority ORDER BY
+                       md5(concat_ws('|', '7', coalesce(CAST(o_orderkey AS VARCHAR(20)), '-'), coalesce(CAST(o_custkey AS VARCHAR(20)), '-'))),
+                       o_orderkey, o_custkey) AS n
+            FROM orders) ranked
+        WHERE n <= 100"""),
     # --- procedures ----------------------------------------------------
     Query("p1_param_report", lambda t: P.priority_report(t, 200_000), """
         SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
