@@ -3,8 +3,10 @@
 The words that occur often enough form a trie, kept as a table of edges:
 a level, a node (its prefix), the edge's letter, a letter that can follow,
 and the lengths of the words below both (bits of a long).  The frontier
-holds states (word, position, node, edits).  Level by level it is joined
-with the edges of that level, on the node and the letter after next.  A state without edits
+holds states (word, position, node, edits), the position told by the node
+and the neighbour's wanted length.  Level by level it is joined with the
+edges of that level, on the node and the letter after next; no level's
+number is in the plan, so one generated code serves them all.  A state without edits
 stands on the word's own prefix; it spends its edit on another letter
 (replace) or on skipping a letter of the word (delete).  A state whose
 edit is spent follows the word's next letters, and if it ends on a word,
@@ -57,6 +59,7 @@ PRIME = (1 << 127) - 1
 BASE = 0x2545F4914F6CDD1D2545F4914F6CDD1D
 
 EDGES = "level int, d int, node string, letter string, next string, lengths bigint"
+STARTS = "level int, d int, word string, node string, wanted int, edits int"
 
 
 def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_length: int = LEAST_LENGTH,
@@ -97,6 +100,24 @@ def _trie(both: DataFrame, lowest: int, parts: int) -> tuple[str, dict[int, int]
     return folder, {r.level: r.n for r in sizes.collect()}            # a row per level
 
 
+def _starts(both: DataFrame, parts: int) -> str:
+    """The folder of the states that leave a word's own prefix, by level:
+    ``wanted`` is the length of the neighbours looked for, which tells a
+    state's position in its word from the length of its node."""
+    level, word, n = F.col("level"), F.col("word"), F.length("word")
+    folder = f"{ensure_checkpoint_dir(both.sparkSession)}/starts-{uuid.uuid4().hex}"
+    # Of equal letters in a row the first one may be skipped.
+    skips = (level == F.col("start")) | (_letter(word, level) != _letter(word, level - 1))
+    replace = F.struct(n.alias("wanted"), F.lit(0).alias("edits"))
+    skip = F.struct((n - 1).alias("wanted"), F.lit(1).alias("edits"))
+    states = (both.where(F.col("start") < n).withColumn("level", F.explode(F.sequence(F.col("start"), n - 1)))
+                  .select("level", "d", "word", F.substring(word, F.lit(1), level).alias("node"),
+                          F.explode(F.when(skips, F.array(replace, skip)).otherwise(F.array(replace))).alias("s"))
+                  .select("level", "d", "word", "node", "s.wanted", "s.edits"))
+    states.coalesce(parts).write.partitionBy("level").parquet(folder)
+    return folder
+
+
 def _trie_pairs(short: DataFrame, n_words: int, lowest: int) -> DataFrame:
     """a, b: words at one edit, a the longer one, or the greater one of one
     length."""
@@ -107,27 +128,23 @@ def _trie_pairs(short: DataFrame, n_words: int, lowest: int) -> DataFrame:
         short.select(F.lit(1).alias("d"), F.reverse("word").alias("word"), (F.length("word") - half).alias("start"))))
     folder, sizes = _trie(both, lowest, parts)
     trie = spark.read.schema(EDGES).parquet(folder)
-    position, n = F.col("position"), F.length("word")
+    started = _starts(both, parts)
+    starts = spark.read.schema(STARTS).parquet(started)
+    letter, end = F.col("letter"), F.col("letter") == ""
     frontier, ends = None, []
     for level in sorted(sizes):
-        at = F.lit(level)
-        own = both.where((F.col("start") <= level) & (n > level)).withColumn("node", F.substring("word", 1, level))
-        # Of equal letters in a row the first one may be skipped.
-        skips = own.where((F.col("start") == level) | (_letter("word", at) != _letter("word", at - 1)))
-        states = own.select("d", "word", "node", at.alias("position"), F.lit(0).alias("edits")).unionByName(
-            skips.select("d", "word", "node", (at + 1).alias("position"), F.lit(1).alias("edits")))
+        states = starts.where(F.col("level") == level).drop("level")
         if frontier is not None:
-            states = states.unionByName(frontier.where("not at_end").select("d", "word", "node", "position", F.lit(1).alias("edits")))
+            states = states.unionByName(frontier.where("not at_end").select("d", "word", "node", "wanted", F.lit(1).alias("edits")))
         edges = trie.where(F.col("level") == level).drop("level")
         if sizes[level] <= BROADCAST_EDGES:
             edges = F.broadcast(edges)
+        position = F.length("node") + F.length("word") - F.col("wanted")
         states = states.withColumns({"own": _letter("word", position), "next": _letter("word", position + 1)})
-        taken = (F.col("letter") == F.col("own")) & (F.col("edits") == 1) | (
-            (F.col("letter") < F.col("own")) & (F.col("letter") != "") & (F.col("edits") == 0))
-        below = F.col("lengths").bitwiseAND(_bit(n - (position - at))) != 0
+        taken = (letter == F.col("own")) & (F.col("edits") == 1) | (letter < F.col("own")) & ~end & (F.col("edits") == 0)
+        below = F.col("lengths").bitwiseAND(_bit(F.col("wanted"))) != 0
         frontier = pinned(states.join(edges, ["d", "node", "next"]).where(taken & below).select(
-            "d", "word", F.concat("node", "letter").alias("node"), (position + 1).alias("position"),
-            (F.col("letter") == "").alias("at_end")).coalesce(parts))
+            "d", "word", F.concat("node", "letter").alias("node"), "wanted", end.alias("at_end")).coalesce(parts))
         ends.append(frontier)
     forth = lambda c: F.when(F.col("d") == 1, F.reverse(c)).otherwise(F.col(c))
     found = short.select(F.col("word").alias("a"), F.col("word").alias("b")).where("false")
@@ -136,6 +153,7 @@ def _trie_pairs(short: DataFrame, n_words: int, lowest: int) -> DataFrame:
     found = pinned(found.distinct())
     released(both, *ends)
     remove_folder(spark, folder)
+    remove_folder(spark, started)
     return found
 
 
