@@ -397,6 +397,19 @@ QUERIES: list[Query] = [
                        o_orderkey, o_custkey) AS n
             FROM orders) ranked
         WHERE n <= 100"""),
+    Query("a23_filled_months", A.filled_months, """
+        WITH RECURSIVE big AS (
+            SELECT CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS INTEGER) AS slot, o_totalprice
+            FROM orders WHERE o_totalprice > 495000 AND o_orderdate IS NOT NULL),
+        m AS (SELECT slot, count(*) AS n_orders, sum(o_totalprice) AS total FROM big GROUP BY slot),
+        ends AS (SELECT min(slot) AS slot, max(slot) AS last FROM m),
+        calendar(slot, last) AS (
+            SELECT slot, last FROM ends WHERE slot IS NOT NULL
+            UNION ALL
+            SELECT slot + 1, last FROM calendar WHERE slot < last)
+        SELECT CAST(floor(c.slot / 12) AS INTEGER) AS year, CAST(c.slot % 12 + 1 AS INTEGER) AS month,
+               coalesce(n_orders, 0) AS n_orders, coalesce(round(total, 2), 0) AS total
+        FROM calendar c LEFT JOIN m ON c.slot = m.slot"""),
     # --- procedures ----------------------------------------------------
     Query("p1_param_report", lambda t: P.priority_report(t, 200_000), """
         SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price

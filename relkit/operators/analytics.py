@@ -259,3 +259,28 @@ def order_streaks(t: Tables) -> DataFrame:
                     .agg(F.count(F.lit(1)).alias("_len")))
     return runs.groupBy("o_custkey").agg(F.max("_len").alias("longest_streak"),
                                          F.count(F.lit(1)).alias("n_streaks"))
+
+
+def filled_months(t: Tables, min_total: float = 495_000) -> DataFrame:
+    """Orders above a total per month, from the first such month to the last,
+    months without any included.  The months come from a recursive query
+    that halves a span until it is one month, so its depth is the binary
+    logarithm of the span and the calendar, not the orders, bounds its rows.
+    Orders without a date or a total are left out; no order, no month."""
+    big = (t.orders.where((F.col("o_totalprice") > min_total) & F.col("o_orderdate").isNotNull())
+                   .select((F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).alias("at"), "o_totalprice"))
+    per_month = big.groupBy("at").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total"))
+    return t.spark.sql(
+        """
+        WITH RECURSIVE span(first, n) AS (
+            SELECT bigint(min(at)), bigint(max(at) - min(at) + 1) FROM {per_month} HAVING min(at) IS NOT NULL
+            UNION ALL
+            SELECT half.first, half.n
+            FROM span LATERAL VIEW explode(array(named_struct('first', first, 'n', n div 2),
+                                                 named_struct('first', first + n div 2, 'n', n - n div 2))) h AS half
+            WHERE n > 1)
+        SELECT int(first div 12) AS year, int(first % 12 + 1) AS month,
+               coalesce(n_orders, 0) AS n_orders, coalesce(round(total, 2), 0) AS total
+        FROM span LEFT JOIN {per_month} AS m ON first = m.at
+        WHERE n = 1
+        """, per_month=per_month)

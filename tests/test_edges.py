@@ -395,3 +395,28 @@ def test_bracket_join_is_linear_and_exact(spark):
                                        "s_suppkey long, s_acctbal double"))
     got = {r.c_custkey: (r.bracket_low, r.n_suppliers) for r in J.balance_brackets(t).collect()}
     assert got == {0: (1000.0, 1), 1: (0.0, 2), 2: (1000.0, 1), 3: (0.0, 2), 4: (-1000.0, 1), 5: (1000.0, 1)}
+
+
+def _filled(spark, *rows):
+    t = Tables.from_frames(spark, orders=spark.createDataFrame(
+        [(i, 1, "O", total, day, "1-URGENT") for i, (day, total) in enumerate(rows)], ORD))
+    return sorted(tuple(r) for r in A.filled_months(t, 100.0).collect())
+
+
+def test_filled_months_hold_the_months_without_orders(spark):
+    got = _filled(spark, (D(2020, 11, 30, 23, 59), 150.0), (D(2021, 2, 1), 200.0), (D(2021, 2, 28), 101.5),
+                  (D(2021, 1, 5), 100.0), (D(2021, 9, 1), 3.0), (None, 900.0), (D(2025, 1, 1), None))
+    assert got == [(2020, 11, 1, 150.0), (2020, 12, 0, 0.0), (2021, 1, 0, 0.0), (2021, 2, 2, 301.5)]
+
+
+def test_filled_months_without_orders_and_of_one_month(spark):
+    assert _filled(spark) == []
+    assert _filled(spark, (D(2021, 2, 1), 100.0), (None, 900.0)) == []
+    assert _filled(spark, (D(2021, 12, 1), 101.0), (D(2021, 12, 1), 101.0)) == [(2021, 12, 2, 202.0)]
+
+
+def test_filled_months_of_a_long_span_end(spark):
+    # 4000 years: 16 levels, far below Spark's limit of 100
+    got = _filled(spark, (D(3, 1, 1), 101.0), (D(4002, 12, 1), 102.0))
+    assert [(y, m) for y, m, _, _ in got] == [(y, m) for y in range(3, 4003) for m in range(1, 13)]
+    assert sum(n for _, _, n, _ in got) == 2
