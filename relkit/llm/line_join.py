@@ -94,17 +94,22 @@ def _plan(edits: int) -> list[tuple[int, int]]:
 
 def _keys(edits: int, min_chars: int) -> Column:
     """Keys of a line in its class and, if a line of the class below can be
-    linked to it, in that one."""
-    line, chars = F.col("line"), F.col("chars")
+    linked to it, in that one.  ``raw`` holds the bytes of a line with one
+    byte a character: a place in them is found without a walk over the
+    line, and equal bytes have equal hashes."""
+    chars = F.col("chars")
+    base = _base(chars)
+    below = (chars - base < edits) & (base > min_chars // CLASS * CLASS)
 
-    def of(base: Column) -> Column:
+    def of(text: Column, base: Column) -> Column:
         size = F.floor(base / (edits + 1)).cast("int")
-        return F.array(*[F.xxhash64(base, F.lit(n), F.substring(line, at + 1, size))
+        return F.array(*[F.xxhash64(base, F.lit(n), F.substring(text, at + 1, size))
                          for n, _, at, size in _pieces(edits, F.lit(0), chars, size)])
 
-    base = _base(chars)
-    below = (chars - base < edits) & (base > min_chars // CLASS * CLASS)
-    return F.concat(of(base), F.when(below, of(base - CLASS)).otherwise(F.array().cast("array<bigint>")))
+    def all_of(text: Column) -> Column:
+        return F.concat(of(text, base), F.when(below, of(text, base - CLASS)).otherwise(F.array().cast("array<bigint>")))
+
+    return F.when(F.col("raw").isNotNull(), all_of(F.col("raw"))).otherwise(all_of(F.col("line")))
 
 
 def _finer(edits: int) -> Column:
@@ -245,7 +250,8 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars:
     lines = _lines(docs, id_col, text_col, row)
     more = lines.columns[1:-3]
     least = min_chars if min_equal is None else min(min_equal, min_chars)
-    judged = lines.where(F.col("chars") >= min_chars)
+    judged = lines.where(F.col("chars") >= min_chars).withColumn(
+        "raw", F.when(F.octet_length("line") == F.col("chars"), F.col("line").cast("binary")))
     plan = _plan(edits)
     keyed = judged.select(*_names(), F.col("chars"), F.posexplode(_keys(edits, min_chars)).alias("pos", "key"))
     k = (F.col("pos") % len(plan)).cast("int")
