@@ -10,8 +10,12 @@ from __future__ import annotations
 
 import posixpath
 import tempfile
+import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter for scale.  ``shuffle.partitions`` is only a
 # starting point: adaptive execution coalesces small partitions and
@@ -109,15 +113,52 @@ def qualified(spark: SparkSession, path: str) -> str:
     return f"{full.getScheme()}://{full.getAuthority() or ''}{posixpath.normpath(full.getPath())}"
 
 
+def _has_executors(spark: SparkSession) -> bool:
+    """Whether other processes than the driver run tasks now."""
+    return len(spark.sparkContext._jsc.sc().statusTracker().getExecutorInfos()) > 1
+
+
+_shared: set[tuple[str, str]] = set()
+
+
+def _executors_share(spark: SparkSession, folder: str) -> bool:
+    """Whether the driver and the executors see each other's files in the
+    folder: a row per core is written there and read back, once per
+    application.  Where the driver runs the tasks itself, or the folder
+    can't be written, nothing is shown."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key in _shared:
+        return True
+    probe = f"{folder}/_shared-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(probe)
+    n = max(2, spark.sparkContext.defaultParallelism)
+    try:
+        spark.range(0, n, 1, n).write.parquet(probe)
+        found = spark.read.schema("id bigint").parquet(probe).agg(F.count("id"), F.sum("id")).first()
+        if tuple(found) == (n, n * (n - 1) // 2) and _has_executors(spark):
+            _shared.add(key)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except (PySparkException, Py4JJavaError):
+        return False
+    return key in _shared
+
+
 def output_dir(spark: SparkSession) -> str:
     """Where written tables live: the folder named by
     ``spark.relkit.output.dir``, or else the session's warehouse.  On a
-    cluster a warehouse on a local file system may not be shared, so there
-    the folder must be named."""
+    cluster a warehouse on a local file system may not be shared: it is
+    used if the executors are seen to share it, else the folder that
+    ``spark.checkpoint.dir`` names, and if that is not shared either the
+    output folder must be named."""
     named = spark.conf.get(OUTPUT_DIR, None)
     if named:
         return named.rstrip("/")
     warehouse = qualified(spark, spark.conf.get("spark.sql.warehouse.dir"))
-    if warehouse.startswith("file:") and not _local(spark):
-        raise RuntimeError(f"set {OUTPUT_DIR} to a folder that driver and executors share")
-    return f"{warehouse}/relkit"
+    # local-cluster has executors of its own
+    if not warehouse.startswith("file:") or (_local(spark) and not spark.sparkContext.master.startswith("local-cluster")):
+        return f"{warehouse}/relkit"
+    checkpoints = spark.conf.get("spark.checkpoint.dir", None)
+    for folder in [warehouse] + ([qualified(spark, checkpoints)] if checkpoints else []):
+        if _executors_share(spark, f"{folder}/relkit"):
+            return f"{folder}/relkit"
+    raise RuntimeError(f"set {OUTPUT_DIR} to a folder that driver and executors share")

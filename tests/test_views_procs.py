@@ -231,3 +231,58 @@ def test_output_folder_must_be_named_on_a_cluster(spark, monkeypatch):
         assert session.output_dir(spark) == "/shared/out"
     finally:
         spark.conf.unset(session.OUTPUT_DIR)
+
+
+def on_a_cluster(monkeypatch):
+    """The session passes for one whose executors are not in the driver."""
+    import relkit.session as session
+    monkeypatch.setattr(session, "_local", lambda s: False)
+    monkeypatch.setattr(session, "_has_executors", lambda s: True, raising=False)
+    monkeypatch.setattr(session, "_shared", set(), raising=False)
+    return session
+
+
+def made_orders(spark, folder):
+    """2 customers with 16 orders each, one a month; one order has no date."""
+    rows = [(16 * c + k, c, "OF"[c], 100.0 * (k + 1), None if k == 15 else f"{1995 + k // 12}-{k % 12 + 1:02d}-01 00:00:00", "1-URGENT")
+            for c in range(2) for k in range(16)]
+    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                                         "o_orderdate string, o_orderpriority string")
+    orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(c, "name", 1, 0.0, "AB"[c]) for c in range(2)], "c_custkey bigint, c_name string, "
+                          "c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    events = spark.createDataFrame([(k, f"2024-01-{k // 2 + 1:02d} 10:00:00", k, "view", 1.5, None) for k in range(6)],
+                                   "event_id bigint, ts string, user_id bigint, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+SUMMARY_ROWS = {(s, y, n, t) for s in "OF" for y, n, t in ((1995, 12, 7800.0), (1996, 3, 4200.0), (None, 1, 1600.0))}
+
+
+def written_on_a_cluster(spark, monkeypatch, scratch_dir, name):
+    from relkit.catalog import BY_NAME
+    on_a_cluster(monkeypatch)
+    return BY_NAME[name].run(spark, made_orders(spark, scratch_dir))
+
+
+def test_refresh_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch_dir):
+    df = written_on_a_cluster(spark, monkeypatch, scratch_dir, "p3_refresh_summary")
+    assert {(r.o_orderstatus, r.year, r.n_orders, r.total_price) for r in df.collect()} == SUMMARY_ROWS
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    assert all(f.removeprefix("file://").startswith(f"{warehouse}/relkit/") for f in df.inputFiles())
+    assert not [f for f in os.listdir(f"{warehouse}/relkit") if f.startswith("_shared-")]
+
+
+def test_checkpoint_folder_stands_in_for_a_warehouse_that_is_not_shared(spark, monkeypatch, scratch_dir):
+    session = on_a_cluster(monkeypatch)
+    assert not session._executors_share(spark, "file:///proc/version/relkit")
+    assert session._executors_share(spark, f"file://{scratch_dir}/relkit")
+    class Named:                              # a session that names these folders
+        conf = {"spark.sql.warehouse.dir": "/own/warehouse", "spark.checkpoint.dir": "/shared/checkpoints"}
+        sparkContext, _jvm, _jsc = spark.sparkContext, spark._jvm, spark._jsc
+    monkeypatch.setattr(session, "_executors_share", lambda s, folder: folder.startswith("file:///shared/"))
+    assert session.output_dir(Named) == "file:///shared/checkpoints/relkit"
+    monkeypatch.setattr(session, "_executors_share", lambda s, folder: False)
+    with pytest.raises(RuntimeError):
+        session.output_dir(Named)
