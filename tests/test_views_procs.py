@@ -286,3 +286,8 @@ def test_checkpoint_folder_stands_in_for_a_warehouse_that_is_not_shared(spark, m
     monkeypatch.setattr(session, "_executors_share", lambda s, folder: False)
     with pytest.raises(RuntimeError):
         session.output_dir(Named)
+
+
+def test_script_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch_dir):
+    df = written_on_a_cluster(spark, monkeypatch, scratch_dir, "p5_sql_script")
+    assert {tuple(r) for r in df.collect()} == {("A", 8, 10000.0), ("B", 8, 10000.0)}
