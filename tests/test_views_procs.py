@@ -291,3 +291,8 @@ def test_checkpoint_folder_stands_in_for_a_warehouse_that_is_not_shared(spark, m
 def test_script_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch_dir):
     df = written_on_a_cluster(spark, monkeypatch, scratch_dir, "p5_sql_script")
     assert {tuple(r) for r in df.collect()} == {("A", 8, 10000.0), ("B", 8, 10000.0)}
+
+
+def test_versioned_refresh_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch_dir):
+    df = written_on_a_cluster(spark, monkeypatch, scratch_dir, "p6_versioned_refresh")
+    assert {(r.o_orderstatus, r.year, r.n_orders, r.total_price) for r in df.collect()} == SUMMARY_ROWS
