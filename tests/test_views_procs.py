@@ -296,3 +296,9 @@ def test_script_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch
 def test_versioned_refresh_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch_dir):
     df = written_on_a_cluster(spark, monkeypatch, scratch_dir, "p6_versioned_refresh")
     assert {(r.o_orderstatus, r.year, r.n_orders, r.total_price) for r in df.collect()} == SUMMARY_ROWS
+
+
+def test_stream_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch_dir):
+    df = written_on_a_cluster(spark, monkeypatch, scratch_dir, "t6_stream_totals")
+    assert {(str(r.day)[:10], r.event_type, r.n_events, r.total_value) for r in df.collect()} == \
+           {("2024-01-01", "view", 2, 3.0), ("2024-01-02", "view", 2, 3.0)}
