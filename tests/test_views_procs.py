@@ -302,3 +302,8 @@ def test_stream_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch
     df = written_on_a_cluster(spark, monkeypatch, scratch_dir, "t6_stream_totals")
     assert {(str(r.day)[:10], r.event_type, r.n_events, r.total_value) for r in df.collect()} == \
            {("2024-01-01", "view", 2, 3.0), ("2024-01-02", "view", 2, 3.0)}
+
+
+def test_persisted_view_on_a_cluster_with_a_shared_warehouse(spark, monkeypatch, scratch_dir):
+    df = written_on_a_cluster(spark, monkeypatch, scratch_dir, "v3_persisted_view")
+    assert {tuple(r) for r in df.collect()} == {(0, 16, 13600.0), (1, 16, 13600.0)}
