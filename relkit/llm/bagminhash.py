@@ -61,7 +61,7 @@ _NAMES = 4096                     # columns of an incidence matrix
 _SLACK = 0.01                     # for equal short names of different shingles
 _KNOWN = 100_000                  # names of words a task remembers
 _TEXTS = 4_000                    # texts whose processes are drawn together, at most
-_BATCH = 300_000                  # shingles whose processes are drawn together
+_BATCH = 100_000                  # shingles whose processes are drawn together; a worker keeps what they took
 
 _U = np.uint64
 

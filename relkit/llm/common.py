@@ -48,10 +48,14 @@ def parts_for(spark: SparkSession, rows: int, each: int = 100_000) -> int:
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a few rows, so that only the texts of one
-    slice are Python objects at a time."""
+    slice are Python objects at a time.  Free memory goes back to the
+    system after each batch: a worker lives on into later stages, beside
+    others that are idle, and all count for the executor."""
     for batch in batches:
         for a in range(0, batch.num_rows, rows):
             yield batch.slice(a, rows)
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()
 
 
 def key_runs(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:

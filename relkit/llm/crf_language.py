@@ -52,14 +52,14 @@ MAX_LANGUAGES = 64
 BITS = 18
 ROUNDS = 40
 BLOCK = 64                       # words of a block in forward-backward
-_SLICE_WORDS = 300_000
+_SLICE_WORDS = 50_000            # a worker keeps what one slice took, whatever it runs next
 _SLICE_CHARS = 1_000_000
 SAMPLE = 3200                    # documents of a sample, if it has few languages
 SAMPLE_LEAST = 8                 # documents of a language, whatever their number
 WEIGHTS = 1 << 26                # of all fields
 OTHER = "\U0010ffff"             # the languages of the later fields
 BROADCAST_LANGUAGES = 100_000
-_KNOWN_WORDS = 200_000           # entries of a task's word cache
+_KNOWN_WORDS = 50_000            # entries of a task's word cache
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")

@@ -169,3 +169,15 @@ def test_components_of_chains_and_hubs(spark, monkeypatch):
     assert sorted(map(tuple, C.components(df).collect())) == want
     assert sorted(map(tuple, C.components(df, native=True).collect())) == want
     assert C.components(df.limit(0)).count() == 0
+
+
+def test_few_shingles_are_drawn_together(monkeypatch):
+    import pyarrow as pa
+    sizes, signatures = [], B.signatures
+    monkeypatch.setattr(B, "signatures", lambda bags, m: sizes.append(sum(map(len, bags))) or signatures(bags, m))
+    texts = [" ".join(f"w{(k * 7919 + j * j) % 5003}" for j in range(1000)) for k in range(250)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(250)), "text": texts})
+    got = pa.Table.from_batches(B._signed(B.BANDS, B.ROWS, B.WORDS)([batch])).to_pydict()
+    assert sum(sizes) == 250 * 996 and max(sizes) <= 101_000
+    alone = pa.Table.from_batches(B._signed(B.BANDS, B.ROWS, B.WORDS)([batch.slice(120, 1)])).to_pydict()
+    assert {n: v[120] for n, v in got.items()} == {n: v[0] for n, v in alone.items()}

@@ -123,3 +123,37 @@ def test_any_number_of_languages(spark, n):
     assert all(got[i].lang_pred in known and 0 <= got[i].score <= 1 for i, t, _ in rows[:-2])
     right = [got[i].lang_pred == lang for i, _, lang in rows[:-2] if got[i].held_out]
     assert sum(right) > 0.8 * len(right)
+
+
+def test_a_task_works_on_few_words_at_a_time(monkeypatch):
+    """Small parts bound what a worker holds, and change no result."""
+    rng, seen, known = random.Random(0), [], []
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(1000)) for _ in range(250)]
+    shares = C.shares
+
+    def told(emissions, lengths, m):
+        seen.append(len(emissions))
+        known.append(len(labeller.known))
+        return shares(emissions, lengths, m)
+
+    monkeypatch.setattr(C, "shares", told)
+    labeller = C.Labeller(model())
+    pred, score = C.label([labeller], texts)
+    assert sum(seen) == 250_000 and max(seen) <= 60_000 and max(known) <= 60_000
+    for i in (0, 77, 249):
+        one, x = C.label([C.Labeller(model())], [texts[i]])
+        assert one == [pred[i]] and abs(x[0] - score[i]) < 1e-9
+
+
+def test_free_memory_goes_back_after_each_batch(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from relkit.llm import common
+    calls = []
+    pools = {n: (lambda n=n: SimpleNamespace(release_unused=lambda: calls.append(n)))
+             for n in ("default_memory_pool", "system_memory_pool")}
+    monkeypatch.setattr(common, "pa", SimpleNamespace(**pools))
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(n))}) for n in (5, 0, 3)]
+    got = [b.column("x").to_pylist() for b in common.slices(batches, 2)]
+    assert got == [[0, 1], [2, 3], [4], [0, 1], [2]] and calls == [*pools] * 3
