@@ -51,6 +51,8 @@ CLASS = 8                        # lengths of a class; segments are as long for
 WHOLE = {"min_chars": CLASS, "min_equal": 1}     # all lines but empty ones; segments hold a character from CLASS on
 BROADCAST_ROWS = 1_000_000       # of one number
 BROADCAST_WIDE_ROWS = 250_000    # of up to five numbers
+WORDS = 1 << 21                  # of 64 bits, for keys too many for a broadcast of their own
+PART_WORDS = 1 << 15             # in a row
 CHUNKS = 8                       # of a line, to sort out candidates
 FIRST_CHARS = 12                 # characters that sort out false candidates
 
@@ -149,6 +151,17 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _odd(line: str) -> Column:
+    """A bit for each of 64 sets of character pairs: whether the line holds
+    an odd number of them.  A change takes and gives two pairs at most."""
+    def bits(w: Column) -> Column:
+        def flipped(bits: Column, i: Column) -> Column:
+            pair = F.hash(F.get(w, i), F.get(w, i + 1)).bitwiseAND(63)
+            return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), pair))
+        return F.aggregate(F.sequence(F.lit(0), F.size(w) - 1), F.lit(0).cast("bigint"), flipped)
+    return _let(F.split(line, ""), bits)
+
+
 def _common(x: Column, y: Column, part: Callable[[Column, Column, Column], Column], longest: int = 1 << 16) -> Column:
     """How far x and y have the same part, by halving steps (of longer
     common parts some)."""
@@ -236,6 +249,25 @@ def _bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def _found(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key``, a 64-bit hash, is in ``keys``.  Too
+    many keys for a broadcast go as a bit each, by their last bits, in a
+    broadcast of fixed size; only rows that hit one meet the keys."""
+    if keys.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(keys), key, "left_semi")
+    bit = F.col(key).bitwiseAND(64 * WORDS - 1)
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))
+    word = F.shiftright(bit, 6)
+    words = (keys.select(word.alias("word"), one.alias("bits"))
+                 .unionByName(keys.sparkSession.range(WORDS).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits")))
+                 .groupBy("word").agg(F.bit_or("bits").alias("bits")))
+    parts = pinned(words.groupBy(F.floor(F.col("word") / PART_WORDS).cast("bigint").alias("part"))
+                        .agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("words")))
+    part = F.shiftright(word, PART_WORDS.bit_length() - 1)
+    hit = F.get("words", word.bitwiseAND(PART_WORDS - 1).cast("int")).bitwiseAND(one) != 0
+    return df.join(F.broadcast(parts), (part == F.col("part")) & hit, "left_semi").join(keys, key, "left_semi")
+
+
 def link_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                edits: int = EDITS, min_chars: int = MIN_CHARS, min_equal: int | None = None) -> DataFrame:
     """One row per line: id, line_no (from 0), n_chars, group_doc and
@@ -250,10 +282,18 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars:
     lines = _lines(docs, id_col, text_col, row)
     more = lines.columns[1:-3]
     least = min_chars if min_equal is None else min(min_equal, min_chars)
-    judged = lines.where(F.col("chars") >= min_chars).withColumn(
-        "raw", F.when(F.octet_length("line") == F.col("chars"), F.col("line").cast("binary")))
     plan = _plan(edits)
-    keyed = judged.select(*_names(), F.col("chars"), F.posexplode(_keys(edits, min_chars)).alias("pos", "key"))
+    # Place in the table as one number, so that the first line is a minimum.
+    place = (F.col("id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("no")).cast("decimal(38,0)")
+    # One row per different line, with its keys: the texts are cut once, and
+    # keys are counted and looked up without them.
+    keys = F.when(F.col("chars") >= min_chars, _keys(edits, min_chars)).otherwise(F.array().cast("array<bigint>"))
+    classes = pinned(lines.where(F.col("chars") >= least)
+                          .withColumn("raw", F.when(F.octet_length("line") == F.col("chars"), F.col("line").cast("binary")))
+                          .select(*_names(), "chars", keys.alias("keys"), place.alias("place"))
+                          .groupBy("h1", "h2", "chars", "keys")
+                          .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")))
+    keyed = classes.select("h1", "h2", "chars", F.posexplode("keys").alias("pos", "key"))
     k = (F.col("pos") % len(plan)).cast("int")
     index = k.isin([i for i, (_, shift) in enumerate(plan) if shift == 0])
     shared = pinned(keyed.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"),
@@ -261,29 +301,34 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars:
                          .where("lo != hi and index").select("key"))
     base = _base(F.col("chars")) - F.when(F.col("pos") >= len(plan), CLASS).otherwise(0)
     rows = pinned(keyed.join(_bounded(shared), "key")
-                       .select("key", "h1", "h2", k.alias("k"), base.alias("base"), index.alias("index")).distinct())
-    wanted = _bounded(pinned(rows.select("h1").distinct()))
-    named = judged.select("line", "chars", *_names()).join(wanted, "h1", "left_semi")
+                       .select("key", "h1", "h2", k.alias("k"), base.alias("base"), index.alias("index")))
+    wanted = pinned(rows.select("h1").distinct())
+    named = _found(lines.where(F.col("chars") >= min_chars).select("line", "chars", *_names()), wanted, "h1")
     texts = pinned(named.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("chars").alias("chars")))
-    texts = pinned(texts.withColumn("lid", F.monotonically_increasing_id()))
+    texts = pinned(texts.select("h1", "h2", "line", "chars", _odd("line").alias("odd"),
+                                F.monotonically_increasing_id().alias("lid")))
     parts = parts_for(docs.sparkSession, rows.count())
     rows = rows.join(texts, ["h1", "h2"])
-    sieve = pinned(rows.select("lid", "base", "line", "chars").dropDuplicates(["lid", "base"])
-                       .select("lid", "base", "line", "chars", _chunks(edits, False).alias("own"),
+    sieve = pinned(rows.select("lid", "base", "line", "chars", "odd").dropDuplicates(["lid", "base"])
+                       .select("lid", "base", "line", "chars", "odd", _chunks(edits, False).alias("own"),
                                _chunks(edits, True).alias("places")))
     fine = (rows.select("key", "base", "index", "lid", F.explode(_finer(edits)).alias("f"))
                 .select("key", "f.key2", "base", (F.col("index") & F.col("f.index2")).alias("index"), "lid")
                 .groupBy("key", "key2", "base", "lid").agg(F.max("index").alias("index")))
     at = pinned(fine.coalesce(parts))
     a = (at.where("index").join(sieve.drop("places"), ["lid", "base"])
-           .select("key", "key2", F.col("lid").alias("a"), F.col("chars").alias("ca"), F.col("line").alias("x"), "own"))
+           .select("key", "key2", F.col("lid").alias("a"), F.col("chars").alias("ca"), F.col("line").alias("x"),
+                   F.col("odd").alias("odd_a"), "own"))
     b = (at.join(sieve.drop("own"), ["lid", "base"])
            .select("key", "key2", "index", F.col("lid").alias("b"), F.col("chars").alias("cb"),
-                   F.col("line").alias("y"), "places"))
-    # Two index rows meet once; each change spoils one chunk at most.  The
-    # edit distance is taken inside the join, so only links leave it.
+                   F.col("line").alias("y"),
+                   F.col("odd").alias("odd_b"), "places"))
+    # Two index rows meet once; each change spoils one chunk and flips four
+    # bits at most.  Lines of a family that differ in words meet in numbers
+    # that grow with its square, so the cheapest test is first.  The edit
+    # distance is taken inside the join, so only links leave it.
     once = (F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & ~F.col("index"))
-    near = F.abs(F.col("ca") - F.col("cb")) <= edits
+    near = (F.abs(F.col("ca") - F.col("cb")) <= edits) & (F.bit_count(F.col("odd_a").bitwiseXOR(F.col("odd_b"))) <= 4 * edits)
     kept = F.size(F.array_intersect("own", "places")) >= F.size("own") - edits
     met = a.join(b, (a["key"] == b["key"]) & (a["key2"] == b["key2"]) & once & near & kept
                  & within(F.col("x"), F.col("y"), edits))
@@ -294,20 +339,14 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars:
     near = _bounded(pinned(texts.select("h1", "h2", "lid").join(n_links, "lid")
                                 .join(roots.withColumnRenamed("node", "lid"), "lid").drop("lid")),
                     BROADCAST_WIDE_ROWS)
-    # Place in the table as one number, so that the first line is a minimum.
-    place = F.col("id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("no")
-    occur = lines.where(F.col("chars") >= least).select("id", *more, "no", "chars", *_names(), place.cast("decimal(38,0)").alias("place"))
-    classes = (occur.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-                    .join(near, ["h1", "h2"], "left"))
-    classes = pinned(classes)
-    groups = (classes.where("root is not null").groupBy("root")
-                     .agg(F.min("first").alias("group_first"), F.sum("n").alias("group_n")))
-    of_class = (classes.join(groups, "root", "left")
-                       .select("h1", "h2", F.coalesce("group_first", "first").alias("first"),
-                               F.coalesce("group_n", "n").alias("group_size"),
-                               F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")))
+    linked = pinned(classes.select("h1", "h2", "first", "n").join(near, ["h1", "h2"]))
+    groups = linked.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("group_size"))
     # Only lines that repeat or are linked need their group looked up.
-    many = _bounded(pinned(of_class.where("group_size > 1")), BROADCAST_WIDE_ROWS)
+    again = (classes.where("n > 1").select("h1", "h2", "first", F.col("n").alias("group_size"), F.lit(0).cast("bigint").alias("n_links"))
+                    .join(_bounded(linked.select("h1", "h2"), BROADCAST_WIDE_ROWS), ["h1", "h2"], "left_anti"))
+    many = _bounded(pinned(linked.drop("first", "n").join(groups, "root")
+                                 .select("h1", "h2", "first", "group_size", "n_links").unionByName(again)), BROADCAST_WIDE_ROWS)
+    occur = lines.where(F.col("chars") >= least).select("id", *more, "no", "chars", *_names(), place.alias("place"))
     found = occur.join(many, ["h1", "h2"], "left")
     first = F.coalesce("first", "place")
     doc = F.floor(first / F.lit(1 << 32)).cast("bigint")

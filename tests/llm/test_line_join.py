@@ -134,3 +134,41 @@ def test_a_text_of_very_many_lines(spark):
     rows = [(1, "\n".join(f"{i:07d}{i * 7919 % 1000003:07d} tail" for i in range(n))), (2, "\n".join(f"{i:07d}{i * 7919 % 1000003:07d} tail" for i in range(0, n, 2)) + "\nend")]
     got = {r.doc_id: r.text for r in J.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string"), min_chars=10**6, min_equal=1).collect()}
     assert got == {1: rows[0][1], 2: "end"}
+
+
+def test_lines_of_a_family_with_other_words_are_not_compared(spark, monkeypatch):
+    words = ["".join("aeioudnrst"[(k * m + m) % 10] for m in (1, 3, 7, 9)) for k in range(60)]
+    lines = [" ".join([*words[:k], word, *words[k + 1:]]) for k, word in ((2, "ZQXW"), (10, "VKJY"), (17, "BFGH"))]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    monkeypatch.setattr(J, "within", lambda x, y, edits: F.raise_error(F.concat(x, F.lit(" | "), y)).cast("boolean"))
+    assert {r.n_links for r in J.link_lines(df).collect()} == {0}
+    with pytest.raises(Exception, match="a line of more"):
+        J.link_lines(spark.createDataFrame([(1, "a line of more than twenty characters"), (2, "a line of more than twenty charakters")], df.schema))
+
+
+def test_each_change_flips_four_bits_at_most(spark):
+    rng = random.Random(4)
+    pairs = []
+    for _ in range(300):
+        x = "".join(rng.choice("abcdé ü") for _ in range(rng.randrange(8, 60)))
+        pairs.append((x, edited(rng, x, 2)))
+    df = spark.createDataFrame(pairs, "x string, y string")
+    worst = df.select(F.bit_count(J._odd("x").bitwiseXOR(J._odd("y"))).alias("n")).agg(F.max("n")).first()[0]
+    assert 0 < worst <= 8
+
+
+def test_many_keys_are_sieved_and_joined(spark, monkeypatch):
+    for name in ("BROADCAST_ROWS", "BROADCAST_WIDE_ROWS"):
+        monkeypatch.setattr(J, name, 0)
+    monkeypatch.setattr(J._bounded, "__defaults__", (0,))
+    monkeypatch.setattr(J, "WORDS", 64)
+    monkeypatch.setattr(J, "PART_WORDS", 16)
+    df = spark.range(-3000, 3000).select(F.xxhash64("id").alias("h"), "id")
+    got = J._found(df, df.where("id % 50 = 0").select("h"), "h")
+    assert sorted(r.id for r in got.collect()) == list(range(-3000, 3000, 50))
+    rng = random.Random(11)
+    base = ["".join(rng.choice("abcdé ü") for _ in range(rng.randrange(8, 40))) for _ in range(20)]
+    lines = [edited(rng, x, rng.randrange(0, 5)) for x in base for _ in range(6)]
+    docs = [(d, "\n".join(lines[d * 5:d * 5 + 5])) for d in range(len(lines) // 5)]
+    got = J.link_lines(spark.createDataFrame(docs, "doc_id long, text string"), edits=2, min_chars=6)
+    assert sorted(tuple(r) for r in got.collect()) == expected(docs, 2, 6)
